@@ -7,18 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemart.functions import blank_to_null, day_column
 from tidemart.functions.exprs import DateLike
 from tidemart.schemas import CONTRACTS, EVENT_TYPES
 
-ORDER_DOC = (
-    "order_id STRING, user_id STRING, product_id STRING, quantity STRING, price STRING, "
-    "timestamp STRING, status STRING"
-)
-PRODUCT_DOC = (
-    "product_id STRING, product_name STRING, category STRING, brand STRING, current_price STRING"
-)
+ORDER_FIELDS = ("order_id", "user_id", "product_id", "quantity", "price", "timestamp", "status")
+PRODUCT_FIELDS = ("product_id", "product_name", "category", "brand", "current_price")
 BAD_RECORD_COLUMNS = ["source_table", "record_id", "failure_reason", "failed_value", "raw_data", "run_date"]
 
 
@@ -44,9 +40,15 @@ def keep_latest(df: DataFrame, keys: list[str], newest_first: list[Column]) -> D
     ``row_number() = 1`` lets Spark drop all but one row per key in each map task
     (WindowGroupLimit) before the shuffle, so even a key that holds a third of the input
     sends one row per task.  ``newest_first`` must end in a tiebreak.
+
+    Sorting compares a short prefix of the first key only, and text keys tend to begin
+    alike, so a hash of the keys goes in front of them.
     """
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy(*newest_first))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    by = keys
+    if isinstance(df.schema[keys[0]].dataType, StringType):
+        df, by = df.withColumn("_hash", F.xxhash64(*keys)), ["_hash", *keys]
+    rank = F.row_number().over(W.partitionBy(*by).orderBy(*newest_first))
+    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_hash")
 
 
 def slice_of(df: DataFrame, run_date: DateLike, column: str = "run_date") -> DataFrame:
@@ -61,7 +63,8 @@ def _problem(condition: Column, reason: str, value: Column) -> Column:
 
 
 def _with_problems(df: DataFrame, problems: list[Column]) -> DataFrame:
-    return df.withColumn("_problems", F.filter(F.array(*problems), lambda p: p.isNotNull()))
+    checked = df.withColumn("_problems", F.array_compact(F.array(*problems)))
+    return checked.drop(*[c for c in df.columns if c.startswith("doc_")])
 
 
 def _bad_rows(df: DataFrame, source: str, record_id: str, raw: str, day: str) -> DataFrame:
@@ -109,16 +112,29 @@ def _stamps(at: Column | None) -> list[Column]:
     return [stamp.alias("created_at"), stamp.alias("updated_at")]
 
 
+def document_fields(raw: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """Top-level fields of a JSON document as text columns ``doc_<field>``.
+
+    ``json_tuple`` reads each document once.  Being a generator it also keeps filters on
+    its output from being pushed below it, which would parse every document twice.
+    """
+    return raw.select("*", F.json_tuple("raw_json", *fields).alias(*[f"doc_{f}" for f in fields]))
+
+
 def order_documents(raw: DataFrame) -> DataFrame:
-    """Order documents with their fields as text, one parse per document."""
-    return raw.withColumn("doc", F.from_json("raw_json", ORDER_DOC))
+    """Order documents with their fields as text."""
+    return document_fields(raw, ORDER_FIELDS)
 
 
 def latest_orders(docs: DataFrame, tiebreak: list[Column] | None = None) -> DataFrame:
-    """The newest document per order id and day, still untyped."""
-    ties = tiebreak or [F.col("file_name").desc(), F.col("raw_json").desc()]
-    keyed = docs.filter(F.col("doc.order_id").isNotNull()).withColumn("_id", F.col("doc.order_id"))
-    return keep_latest(keyed, ["run_date", "_id"], [F.col("ingested_at").desc(), *ties]).drop("_id")
+    """The newest document per order id and day, still untyped.
+
+    Copies that arrive at the same moment are told apart by their fields, so the document
+    text itself need not be shuffled unless it is asked for.
+    """
+    ties = tiebreak or [F.col("file_name").desc(), *[F.col(f"doc_{f}").desc() for f in ORDER_FIELDS[1:]]]
+    keyed = docs.filter(F.col("doc_order_id").isNotNull())
+    return keep_latest(keyed, ["doc_order_id", "run_date"], [F.col("ingested_at").desc(), *ties])
 
 
 def stage_orders(
@@ -130,13 +146,12 @@ def stage_orders(
     Revenue is quantity times the price as delivered; only the stored result is rounded.
     """
     table = "staging.orders_clean"
-    d = {f: F.col(f"doc.{f}") for f in ("order_id", "user_id", "product_id", "quantity", "price",
-                                        "timestamp", "status")}
+    d = {f: F.col(f"doc_{f}") for f in ORDER_FIELDS}
     quantity = d["quantity"].try_cast("int")
     exact_price = d["price"].try_cast("decimal(26,12)")
     docs = order_documents(slice_of(raw, run_date))
     typed = latest_orders(docs, tiebreak).select(
-        "raw_json", "doc",
+        "raw_json", "doc_quantity", "doc_price", "doc_timestamp",
         d["order_id"].alias("order_id"), d["user_id"].alias("user_id"),
         d["product_id"].alias("product_id"),
         quantity.alias("quantity"),
@@ -148,18 +163,18 @@ def stage_orders(
         F.col("run_date").alias("load_date"),
     )
     problems = [
-        _problem(d["user_id"].isNull(), "user_id missing", F.lit(None)),
-        _problem(d["product_id"].isNull(), "product_id missing", F.lit(None)),
+        _problem(F.col("user_id").isNull(), "user_id missing", F.lit(None)),
+        _problem(F.col("product_id").isNull(), "product_id missing", F.lit(None)),
         _problem(F.col("quantity").isNull(), "quantity missing or not an integer", d["quantity"]),
         _problem(F.col("unit_price").isNull(), "price missing or out of range", d["price"]),
         _problem(
             F.col("revenue").isNull() & F.col("quantity").isNotNull() & F.col("unit_price").isNotNull(),
             "revenue out of range", F.concat_ws(" x ", d["quantity"], d["price"])),
         _problem(F.col("order_ts").isNull(), "timestamp missing or unreadable", d["timestamp"]),
-        _problem(d["status"].isNull(), "status missing", F.lit(None)),
+        _problem(F.col("status").isNull(), "status missing", F.lit(None)),
         *_too_long(table, {c: F.col(c) for c in ("order_id", "user_id", "product_id", "status")}),
     ]
-    unkeyed = docs.filter(F.col("doc.order_id").isNull())
+    unkeyed = docs.filter(F.col("doc_order_id").isNull())
     return _split(_with_problems(typed, problems), unkeyed, table, "raw.orders_json", "order_id",
                   "raw_json", strict)
 
@@ -173,7 +188,7 @@ def stage_events(
     day = slice_of(raw, run_date)
     ties = tiebreak or [F.col("file_name").desc(), F.col("raw_line").desc()]
     keyed = day.filter(F.col("event_id").isNotNull())
-    latest = keep_latest(keyed, ["run_date", "event_id"], [F.col("ingested_at").desc(), *ties])
+    latest = keep_latest(keyed, ["event_id", "run_date"], [F.col("ingested_at").desc(), *ties])
     typed = latest.select(
         "raw_line", "event_id", "user_id",
         blank_to_null(F.col("product_id")).alias("product_id"),
@@ -202,14 +217,14 @@ def stage_products(
 ) -> Staged:
     """Typed catalogue rows, one per product id and day."""
     table = "staging.products_clean"
-    docs = slice_of(raw, run_date).withColumn("doc", F.from_json("raw_json", PRODUCT_DOC))
-    ties = tiebreak or [F.col("raw_json").desc()]
-    keyed = docs.filter(F.col("doc.product_id").isNotNull()).withColumn("_id", F.col("doc.product_id"))
-    latest = keep_latest(keyed, ["run_date", "_id"], [F.col("fetched_at").desc(), *ties]).drop("_id")
-    price = F.col("doc.current_price")
+    docs = document_fields(slice_of(raw, run_date), PRODUCT_FIELDS)
+    ties = tiebreak or [F.col(f"doc_{f}").desc() for f in PRODUCT_FIELDS[1:]]
+    keyed = docs.filter(F.col("doc_product_id").isNotNull())
+    latest = keep_latest(keyed, ["doc_product_id", "run_date"], [F.col("fetched_at").desc(), *ties])
+    price = F.col("doc_current_price")
     typed = latest.select(
-        "raw_json", "doc",
-        *[F.col(f"doc.{c}").alias(c) for c in ("product_id", "product_name", "category", "brand")],
+        "raw_json", "doc_current_price",
+        *[F.col(f"doc_{c}").alias(c) for c in PRODUCT_FIELDS[:-1]],
         price.try_cast("decimal(26,12)").try_cast("decimal(10,2)").alias("current_price"),
         *_stamps(loaded_at),
         F.col("run_date").alias("load_date"),
@@ -218,6 +233,6 @@ def stage_products(
         _problem(price.isNotNull() & F.col("current_price").isNull(), "price out of range", price),
         *_too_long(table, {c: F.col(c) for c in ("product_id", "product_name", "category", "brand")}),
     ]
-    unkeyed = docs.filter(F.col("doc.product_id").isNull())
+    unkeyed = docs.filter(F.col("doc_product_id").isNull())
     return _split(_with_problems(typed, problems), unkeyed, table, "raw.products_json", "product_id",
                   "raw_json", strict)

@@ -112,7 +112,7 @@ class DriverTables:
 
     @property
     def copy_order(self) -> list[Column]:
-        return [F.col("file_name").desc(), F.col("doc.price").try_cast("decimal(26,12)").desc()]
+        return [F.col("file_name").desc(), F.col("doc_price").try_cast("decimal(26,12)").desc()]
 
     def staged_from_documents(self, **overrides: Column) -> Staged:
         """Orders staged through their JSON documents."""

@@ -122,7 +122,7 @@ def lineage(raw_orders: DataFrame, orders: DataFrame, fact_orders: DataFrame, ru
     split when one order id dominates.
     """
     docs = order_documents(slice_of(raw_orders, run_date)).select(
-        "run_date", "file_name", "ingested_at", F.col("doc.order_id").alias("order_id"))
+        "run_date", "file_name", "ingested_at", F.col("doc_order_id").alias("order_id"))
     staged = slice_of(orders, run_date, "load_date").select("order_id", F.col("load_date").alias("run_date"))
     facts = fact_orders.select(
         "order_id", F.col("order_id").alias("fact_order_id"), F.col("load_date").alias("fact_load_date"))

@@ -57,6 +57,12 @@ def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
 # ---- sources ---------------------------------------------------------------------------
 
 
+def _fields(raw: DataFrame, *columns: str) -> DataFrame:
+    """The order fields of raw documents under their own names."""
+    return staging.order_documents(raw).select(
+        *columns, *[F.col(f"doc_{f}").alias(f) for f in staging.ORDER_FIELDS])
+
+
 @query
 def raw_orders_scan(t: DriverTables) -> DataFrame:
     """Land order documents (objects and arrays, one per line), then scan them."""
@@ -66,7 +72,7 @@ def raw_orders_scan(t: DriverTables) -> DataFrame:
     line = F.when(F.col("status") == "paid", F.concat(F.lit("["), doc, F.lit("]"))).otherwise(doc)
     t.order_lines.select(line).write.text(path)
     rows = landing.read_orders(t.spark, path, ORDERS_AS_OF)
-    return staging.order_documents(rows).select("run_date", "doc.*")
+    return _fields(rows, "run_date")
 
 
 @query
@@ -229,19 +235,20 @@ def stg_products(t: DriverTables) -> DataFrame:
 
 @query
 def json_extract_orders(t: DriverTables) -> DataFrame:
-    return staging.order_documents(t.raw_orders()).select("doc.*")
+    return _fields(t.raw_orders())
 
 
 @query
 def dedup_latest_order(t: DriverTables) -> DataFrame:
     docs = staging.order_documents(t.raw_orders())
-    return staging.latest_orders(docs, t.copy_order).select("doc.order_id", "doc.product_id", "ingested_at")
+    return staging.latest_orders(docs, t.copy_order).select(
+        F.col("doc_order_id").alias("order_id"), F.col("doc_product_id").alias("product_id"), "ingested_at")
 
 
 @query
 def dedup_latest_event(t: DriverTables) -> DataFrame:
     latest = staging.keep_latest(
-        t.raw_events, ["run_date", "event_id"], [F.desc("ingested_at"), F.desc("file_name")])
+        t.raw_events, ["event_id", "run_date"], [F.desc("ingested_at"), F.desc("file_name")])
     return latest.select("event_id", "event_type", "ingested_at")
 
 
@@ -746,8 +753,8 @@ def stream_upsert_orders(t: DriverTables) -> DataFrame:
     # The documents carry their own ingest date, so the latest copy is that of the batch path.
     raw = raw.withColumn("ingested_at", F.get_json_object("raw_json", "$.ingested").cast("timestamp_ntz")) \
         .withColumn("run_date", F.get_json_object("raw_json", "$.timestamp").cast("timestamp_ntz").cast("date"))
-    ties = [F.col("doc.product_id").cast("bigint").desc(),
+    ties = [F.col("doc_product_id").cast("bigint").desc(),
             F.get_json_object("raw_json", "$.supplier").cast("bigint").desc(),
-            F.col("doc.quantity").cast("int").desc(), F.col("doc.price").try_cast("decimal(26,12)").desc()]
+            F.col("doc_quantity").cast("int").desc(), F.col("doc_price").try_cast("decimal(26,12)").desc()]
     ingest.keep_orders_current(raw, store, f"{root}/checkpoint", tiebreak=ties, loaded_at=_seen()).awaitTermination()
     return store.read("staging.orders_clean").drop("created_at", "updated_at")
