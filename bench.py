@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemart.operators.store import TableStore  # noqa: E402
 from tidemart.plans import customers, funnel, products, registry, revenue  # noqa: E402
 from tidemart.plans.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, DriverTables  # noqa: E402
-from tidemart.plans.warehouse import Warehouse  # noqa: E402
+from tidemart.plans.warehouse import StoredWarehouse, Warehouse  # noqa: E402
 from tidemart.session import build_session, scratch_dir  # noqa: E402
 
 HEADLINE = (
@@ -80,7 +80,7 @@ def main() -> None:
         times[name] = timed(lambda: drain(registry.run(name, spark, folder)), runs)
     store = TableStore(spark, scratch_dir(spark, "bench"))
     times["warehouse_build"] = timed(lambda: build(store, tables), 1)
-    warehouse = Warehouse.open(store)
+    warehouse = StoredWarehouse(store)
     for name, plan in STORED.items():
         times[name] = timed(lambda: drain(plan(warehouse)), runs)
     print(json.dumps({

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import quality
 from tidemart.plans import daily, revenue
-from tidemart.plans.warehouse import Warehouse
+from tidemart.plans.warehouse import StoredWarehouse
 from tidemart.streaming import ingest
 
 DAY1, DAY2 = "2024-03-04", "2024-03-05"
@@ -133,7 +133,7 @@ def test_daily_run_end_to_end(spark, store, tmp_path):
     assert not any(task.startswith("load_") for task, _ in steps)
 
     # Analytics and SQL over the stored tables.
-    wh = Warehouse.open(store)
+    wh = StoredWarehouse(store)
     by_date = revenue.revenue_by_date(wh, DAY1).collect()
     assert len(by_date) == 1 and by_date[0].daily_revenue == Decimal("288.00") and by_date[0].order_count == 96
     store.publish()
@@ -146,7 +146,7 @@ def test_daily_run_end_to_end(spark, store, tmp_path):
 def test_date_filter_reaches_the_scan(spark, store, tmp_path):
     land(tmp_path, DAY1, 100, 500, products=10)
     daily.run_daily(store, str(tmp_path), DAY1)
-    wh = Warehouse.open(store)
+    wh = StoredWarehouse(store)
     plan = revenue.revenue_by_date(wh, DAY1)._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "order_id" in line)
     assert "GreaterThanOrEqual(date_id,20231205)" in scan and "EqualTo(status,paid)" in scan

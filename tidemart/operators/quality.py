@@ -93,10 +93,11 @@ def _found(name: str, count: Column, what: str, details: Column) -> Column:
 
 
 def check_report(orders: DataFrame, events: DataFrame, run_date: DateLike = None,
-                 as_of: Column | None = None) -> DataFrame:
-    """All six checks: one row per check and day (every day present, or just ``run_date``).
+                 as_of: Column | None = None, only: Iterable[str] | None = None) -> DataFrame:
+    """The checks, one row per check and day (every day present, or just ``run_date``).
 
-    A given ``run_date`` is reported even when it has no rows at all.
+    A given ``run_date`` is reported even when it has no rows at all.  ``only`` names the
+    checks to run; counts that none of them needs are pruned from the plan.
     """
     parts = [
         order_counts(slice_of(orders, run_date, "load_date"), as_of),
@@ -112,19 +113,24 @@ def check_report(orders: DataFrame, events: DataFrame, run_date: DateLike = None
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS]
     )
     future = n["orders_future"] + n["events_future"]
-    checks = F.array(
-        _volume("orders_volume", "Orders", n["orders"], ORDERS_MIN, ORDERS_MAX),
-        _volume("events_volume", "Events", n["events"], EVENTS_MIN, EVENTS_MAX),
-        _found("orders_no_duplicates", n["order_dups"], "duplicate order IDs",
-               F.struct(n["order_dups"].alias("duplicates"))),
-        _found("events_no_duplicates", n["event_dups"], "duplicate event IDs",
-               F.struct(n["event_dups"].alias("duplicates"))),
-        _found("orders_revenue_valid", n["negative"], "orders with negative revenue",
-               F.struct(n["negative"].alias("invalid_records"))),
-        _found("timestamps_not_future", future, "records with future timestamps",
-               F.struct(n["orders_future"].alias("orders"), n["events_future"].alias("events"))),
-    )
-    return per_day.select("run_date", F.explode(checks).alias("c")).select("run_date", "c.*")
+    checks = {
+        "orders_volume": _volume("orders_volume", "Orders", n["orders"], ORDERS_MIN, ORDERS_MAX),
+        "events_volume": _volume("events_volume", "Events", n["events"], EVENTS_MIN, EVENTS_MAX),
+        "orders_no_duplicates": _found(
+            "orders_no_duplicates", n["order_dups"], "duplicate order IDs",
+            F.struct(n["order_dups"].alias("duplicates"))),
+        "events_no_duplicates": _found(
+            "events_no_duplicates", n["event_dups"], "duplicate event IDs",
+            F.struct(n["event_dups"].alias("duplicates"))),
+        "orders_revenue_valid": _found(
+            "orders_revenue_valid", n["negative"], "orders with negative revenue",
+            F.struct(n["negative"].alias("invalid_records"))),
+        "timestamps_not_future": _found(
+            "timestamps_not_future", future, "records with future timestamps",
+            F.struct(n["orders_future"].alias("orders"), n["events_future"].alias("events"))),
+    }
+    wanted = F.array(*[checks[name] for name in (only or CHECKS)])
+    return per_day.select("run_date", F.explode(wanted).alias("c")).select("run_date", "c.*")
 
 
 def failures(report: DataFrame) -> DataFrame:

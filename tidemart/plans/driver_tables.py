@@ -11,6 +11,7 @@ import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart.functions import date_key, raw_line
 from tidemart.operators import dimensions, facts, metrics, quality
@@ -28,6 +29,7 @@ EVENT_TYPE = {
     "view": "page_view", "click": "view_product", "signup": "add_to_cart", "error": "checkout",
     "purchase": "purchase",
 }
+_SCHEMAS: dict[str, StructType] = {}
 LATEST_LINE = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
@@ -43,7 +45,7 @@ def money(col: Column, kind: str = "decimal(26,12)") -> Column:
     return col.cast(kind)
 
 
-class DriverTables:
+class DriverTables(Warehouse):
     """Layer views over one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -51,7 +53,11 @@ class DriverTables:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """One test table; its schema is read from the footer once per process."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # ---- orders ------------------------------------------------------------------
     @functools.cached_property
@@ -292,9 +298,6 @@ class DriverTables:
             money(F.col("p_retailprice")).cast("decimal(10,2)").alias("current_price"),
             average.alias("discount_percentage"))
 
-    def warehouse(self) -> Warehouse:
-        return Warehouse(self.fact_orders, self.fact_events, self.dim_date, self.dim_user, self.dim_product)
-
     # ---- run metrics and audit -------------------------------------------------------
     def checked_fact_orders(self) -> DataFrame:
         return facts.load_fact_orders(self.staged_orders, self.dim_date, self.listed_products, self.good_users)
@@ -302,9 +305,9 @@ class DriverTables:
     def checked_fact_events(self) -> DataFrame:
         return facts.load_fact_events(self.staged_events, self.dim_date, self.good_users)
 
-    def check_report(self) -> DataFrame:
+    def check_report(self, *only: str) -> DataFrame:
         return quality.check_report(self.loaded_orders, self.staged_events,
-                                    as_of=F.lit("2001-01-01").cast("timestamp_ntz"))
+                                    as_of=F.lit("2001-01-01").cast("timestamp_ntz"), only=only or None)
 
     def dq_failures(self) -> DataFrame:
         return quality.failures(self.check_report())

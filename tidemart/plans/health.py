@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -72,15 +72,25 @@ def thin_runs(metrics: DataFrame, as_of: DateLike = None, days: int = 7,
 
 def alerts(metrics: DataFrame, as_of: DateLike = None, days: int = 7, seconds: int = SLOW_RUN_SECONDS,
            failures: int = MANY_FAILURES, orders: int = FEW_RAW_ORDERS) -> DataFrame:
-    """All alerts as (alert, run_date, value)."""
-    def tagged(rows: DataFrame, name: str, value: str) -> DataFrame:
-        return rows.select(F.lit(name).alias("alert"), "run_date", F.col(value).cast("bigint").alias("value"))
-
-    return (
-        tagged(slow_runs(metrics, as_of, days, seconds), "slow_run", "runtime_seconds")
-        .unionByName(tagged(failing_runs(metrics, failures, days), "many_failures", "dq_failed_count"))
-        .unionByName(tagged(thin_runs(metrics, as_of, days, orders), "few_orders", "raw_orders_count"))
-    )
+    """All alerts as (alert, run_date, value), from one pass over the metrics.
+
+    The window ranks the runs of each alert: one row per day at most.
+    """
+    recent = F.col("run_date") >= F.date_sub(day_column(as_of), days)
+
+    def alert(name: str, condition: Column, value: str) -> Column:
+        return F.when(condition, F.struct(
+            F.lit(name).alias("alert"), F.col(value).cast("bigint").alias("value")))
+
+    raised = F.array_compact(F.array(
+        alert("slow_run", recent & (F.col("runtime_seconds") > seconds), "runtime_seconds"),
+        alert("many_failures", F.col("dq_failed_count") > failures, "dq_failed_count"),
+        alert("few_orders", recent & (F.col("raw_orders_count") < orders), "raw_orders_count"),
+    ))
+    rows = metrics.select("run_date", F.explode(raised).alias("a")).select("a.alert", "run_date", "a.value")
+    rank = F.row_number().over(W.partitionBy("alert").orderBy(F.desc("run_date")))
+    return rows.withColumn("_r", rank) \
+        .filter((F.col("alert") != "many_failures") | (F.col("_r") <= days)).drop("_r")
 
 
 def failure_trend(dq_failures: DataFrame, as_of: DateLike = None, days: int = 90) -> DataFrame:
@@ -139,7 +149,8 @@ def change_tracking(orders: DataFrame, raw_orders: DataFrame) -> DataFrame:
     """
     per_day = raw_orders.groupBy(F.to_date("ingested_at").alias("_day")).agg(F.count("*").alias("_n"))
     return orders.withColumn("_day", F.to_date("updated_at")).join(F.broadcast(per_day), "_day", "left").select(
-        "order_id", "created_at", "updated_at", F.coalesce("_n", F.lit(0)).alias("raw_records_that_day"))
+        "order_id", "created_at", "updated_at", F.coalesce("_n", F.lit(0)).alias("raw_records_that_day")
+    ).orderBy(F.desc("updated_at"), "order_id")
 
 
 def distinct_product_names(raw_products: DataFrame, limit: int | None = None) -> DataFrame:

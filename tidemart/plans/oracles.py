@@ -366,7 +366,7 @@ ORACLES: dict[str, str] = {
         FROM ev WHERE source_type = 'signup'"""),
     "event_type_domain": """
         SELECT event_type, COUNT(*) AS events FROM events WHERE event_type <> 'purchase' GROUP BY 1""",
-    "date_key_of_orders": f"SELECT o_orderkey, {day_key('o_orderdate')} AS date_id FROM orders",
+    "date_key": f"SELECT o_orderkey, {day_key('o_orderdate')} AS date_id FROM orders",
     # ---- quality
     "dq_orders_volume": _one_check("orders_volume"),
     "dq_events_volume": _one_check("events_volume"),

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.functions import date_key, raw_line
+from tidemart.functions import exprs, raw_line
 from tidemart.operators import dimensions, facts, merge, metrics, quality, staging
 from tidemart.operators.store import TableStore
 from tidemart.plans import customers, funnel, health, products, revenue
@@ -269,48 +269,43 @@ def event_type_domain(t: DriverTables) -> DataFrame:
 
 
 @query
-def date_key_of_orders(t: DriverTables) -> DataFrame:
-    return t.table("orders").select("o_orderkey", date_key(F.col("o_orderdate")).alias("date_id"))
+def date_key(t: DriverTables) -> DataFrame:
+    return t.table("orders").select("o_orderkey", exprs.date_key(F.col("o_orderdate")).alias("date_id"))
 
 
 # ---- quality ---------------------------------------------------------------------------
 
 
-def _check(t: DriverTables, name: str) -> DataFrame:
-    return t.check_report().filter(F.col("check_name") == name)
-
-
 @query
 def dq_orders_volume(t: DriverTables) -> DataFrame:
-    return _check(t, "orders_volume")
+    return t.check_report("orders_volume")
 
 
 @query
 def dq_events_volume(t: DriverTables) -> DataFrame:
-    return _check(t, "events_volume")
+    return t.check_report("events_volume")
 
 
 @query
 def dq_orders_duplicates(t: DriverTables) -> DataFrame:
-    return _check(t, "orders_no_duplicates")
+    return t.check_report("orders_no_duplicates")
 
 
 @query
 def dq_events_duplicates(t: DriverTables) -> DataFrame:
     """The event check over a staging table that holds every event twice."""
     twice = t.staged_events.unionByName(t.staged_events)
-    report = quality.check_report(t.loaded_orders, twice, as_of=F.lit("2001-01-01"))
-    return report.filter(F.col("check_name") == "events_no_duplicates")
+    return quality.check_report(t.loaded_orders, twice, only=["events_no_duplicates"])
 
 
 @query
 def dq_negative_revenue(t: DriverTables) -> DataFrame:
-    return _check(t, "orders_revenue_valid")
+    return t.check_report("orders_revenue_valid")
 
 
 @query
 def dq_future_timestamps(t: DriverTables) -> DataFrame:
-    return _check(t, "timestamps_not_future")
+    return t.check_report("timestamps_not_future")
 
 
 @query
@@ -434,7 +429,7 @@ def _part_snapshot(t: DriverTables, part: DataFrame, **changes) -> DataFrame:
 
 @query
 def product_price_asof(t: DriverTables) -> DataFrame:
-    return products.price_at_order(t.warehouse(), t.product_history())
+    return products.price_at_order(t, t.product_history())
 
 
 # ---- facts and metrics -----------------------------------------------------------------
@@ -503,49 +498,49 @@ def reload_day_idempotent(t: DriverTables) -> DataFrame:
 
 @query
 def revenue_by_date(t: DriverTables) -> DataFrame:
-    return revenue.revenue_by_date(t.warehouse(), ORDERS_AS_OF)
+    return revenue.revenue_by_date(t, ORDERS_AS_OF)
 
 
 @query
 def revenue_by_category(t: DriverTables) -> DataFrame:
-    return revenue.revenue_by_category(t.warehouse(), "2000-12-31")
+    return revenue.revenue_by_category(t, "2000-12-31")
 
 
 @query
 def revenue_by_brand(t: DriverTables) -> DataFrame:
-    return revenue.revenue_by_brand(t.warehouse(), ORDERS_AS_OF)
+    return revenue.revenue_by_brand(t, ORDERS_AS_OF)
 
 
 @query
 def category_revenue_simple(t: DriverTables) -> DataFrame:
-    return revenue.category_revenue_simple(t.warehouse())
+    return revenue.category_revenue_simple(t)
 
 
 @query
 def category_revenue_recent(t: DriverTables) -> DataFrame:
-    return revenue.category_revenue_simple(t.warehouse(), ORDERS_AS_OF, 30)
+    return revenue.category_revenue_simple(t, ORDERS_AS_OF, 30)
 
 
 @query
 def daily_sales_summary(t: DriverTables) -> DataFrame:
-    return revenue.daily_sales_summary(t.warehouse())
+    return revenue.daily_sales_summary(t)
 
 
 @query
 def daily_revenue_trend(t: DriverTables) -> DataFrame:
-    return revenue.daily_revenue_trend(t.warehouse(), ORDERS_AS_OF)
+    return revenue.daily_revenue_trend(t, ORDERS_AS_OF)
 
 
 @query
 def orders_by_weekday(t: DriverTables) -> DataFrame:
-    return revenue.orders_by_weekday(t.warehouse())
+    return revenue.orders_by_weekday(t)
 
 
 @query
 def revenue_by_grain(t: DriverTables) -> DataFrame:
     parts = []
     for grain, keys in revenue.GRAINS.items():
-        rows = revenue.revenue_by_grain(t.warehouse(), grain)
+        rows = revenue.revenue_by_grain(t, grain)
         period = F.concat_ws("-", *[F.col(k).cast("string") for k in keys])
         parts.append(rows.select(F.lit(grain).alias("grain"), period.alias("period"), "order_count", "revenue"))
     return reduce(DataFrame.unionByName, parts)
@@ -553,72 +548,72 @@ def revenue_by_grain(t: DriverTables) -> DataFrame:
 
 @query
 def orders_between_date_ids(t: DriverTables) -> DataFrame:
-    return revenue.orders_between_date_ids(t.warehouse(), 19970101, 19991231)
+    return revenue.orders_between_date_ids(t, 19970101, 19991231)
 
 
 @query
 def wow_growth(t: DriverTables) -> DataFrame:
-    return revenue.week_over_week(t.warehouse(), "2000-12-31")
+    return revenue.week_over_week(t, "2000-12-31")
 
 
 @query
 def wow_growth_iso(t: DriverTables) -> DataFrame:
-    return revenue.week_over_week(t.warehouse(), "1998-06-30", iso_year=True)
+    return revenue.week_over_week(t, "1998-06-30", iso_year=True)
 
 
 @query
 def day_of_week_seasonality(t: DriverTables) -> DataFrame:
-    return revenue.day_of_week_seasonality(t.warehouse(), ORDERS_AS_OF)
+    return revenue.day_of_week_seasonality(t, ORDERS_AS_OF)
 
 
 @query
 def top_customers(t: DriverTables) -> DataFrame:
-    return customers.top_customers(t.warehouse())
+    return customers.top_customers(t)
 
 
 @query
 def repeat_customers(t: DriverTables) -> DataFrame:
-    return customers.repeat_customers(t.warehouse())
+    return customers.repeat_customers(t)
 
 
 @query
 def tenure_segments(t: DriverTables) -> DataFrame:
-    return customers.tenure_segments(t.warehouse(), TENURE_AS_OF)
+    return customers.tenure_segments(t, TENURE_AS_OF)
 
 
 @query
 def tenure_segments_simple(t: DriverTables) -> DataFrame:
-    return customers.tenure_segments_simple(t.warehouse(), TENURE_AS_OF)
+    return customers.tenure_segments_simple(t, TENURE_AS_OF)
 
 
 @query
 def marketing_source_performance(t: DriverTables) -> DataFrame:
-    return customers.marketing_source_performance(t.warehouse())
+    return customers.marketing_source_performance(t)
 
 
 @query
 def users_by_marketing_source(t: DriverTables) -> DataFrame:
-    return customers.users_by_marketing_source(t.warehouse())
+    return customers.users_by_marketing_source(t)
 
 
 @query
 def product_performance(t: DriverTables) -> DataFrame:
-    return products.product_performance(t.warehouse(), ORDERS_AS_OF)
+    return products.product_performance(t, ORDERS_AS_OF)
 
 
 @query
 def top_products_by_category(t: DriverTables) -> DataFrame:
-    return products.top_products_by_category(t.warehouse(), ORDERS_AS_OF)
+    return products.top_products_by_category(t, ORDERS_AS_OF)
 
 
 @query
 def top_products_by_revenue(t: DriverTables) -> DataFrame:
-    return products.top_products_by_revenue(t.warehouse())
+    return products.top_products_by_revenue(t)
 
 
 @query
 def top_products_recent(t: DriverTables) -> DataFrame:
-    return products.top_products_recent(t.warehouse(), ORDERS_AS_OF)
+    return products.top_products_recent(t, ORDERS_AS_OF)
 
 
 @query
@@ -638,22 +633,22 @@ def discount_revenue_loss(t: DriverTables) -> DataFrame:
 
 @query
 def event_funnel(t: DriverTables) -> DataFrame:
-    return funnel.event_funnel(t.warehouse(), EVENTS_AS_OF)
+    return funnel.event_funnel(t, EVENTS_AS_OF)
 
 
 @query
 def event_funnel_3stage(t: DriverTables) -> DataFrame:
-    return funnel.event_funnel_3stage(t.warehouse(), EVENTS_AS_OF)
+    return funnel.event_funnel_3stage(t, EVENTS_AS_OF)
 
 
 @query
 def product_conversion(t: DriverTables) -> DataFrame:
-    return funnel.product_conversion(t.warehouse(), EVENTS_AS_OF)
+    return funnel.product_conversion(t, EVENTS_AS_OF)
 
 
 @query
 def event_counts(t: DriverTables) -> DataFrame:
-    return funnel.event_counts(t.warehouse())
+    return funnel.event_counts(t)
 
 
 @query

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +12,11 @@ from tidemart.operators.store import TableStore
 PAID = "paid"
 
 
-@dataclass
 class Warehouse:
-    """Facts and dimensions; where they come from (tables, views) does not matter here."""
+    """Facts and dimensions; where they come from (tables, views) does not matter here.
+
+    Sources are opened on first use, so a query touches only the tables it reads.
+    """
 
     fact_orders: DataFrame
     fact_events: DataFrame
@@ -24,16 +24,24 @@ class Warehouse:
     dim_user: DataFrame
     dim_product: DataFrame
 
-    @classmethod
-    def open(cls, store: TableStore) -> Warehouse:
-        """The star schema as stored: scans prune by load_date and push filters down."""
-        return cls(*(store.read(f"warehouse.{t}") for t in (
-            "fact_orders", "fact_events", "dim_date", "dim_user", "dim_product")))
-
     def paid_orders(self) -> DataFrame:
         return self.fact_orders.filter(F.col("status") == PAID)
 
 
+class StoredWarehouse(Warehouse):
+    """The star schema as stored: scans prune by load_date and push filters down."""
+
+    def __init__(self, store: TableStore):
+        self.store = store
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in Warehouse.__annotations__:
+            raise AttributeError(name)
+        frame = self.store.read(f"warehouse.{name}")
+        setattr(self, name, frame)
+        return frame
+
+
 def recent(facts: DataFrame, as_of: DateLike, days: int) -> DataFrame:
     """Fact rows of the last ``days`` days, by the stored integer key: the bound folds to
     a constant, so it reaches the Parquet scan."""
