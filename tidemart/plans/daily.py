@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import contextlib
 import datetime as dt
-from collections.abc import Iterator
+import functools
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.operators import dimensions, facts, metrics, quality, staging
@@ -35,11 +36,10 @@ class _RunLog:
         self.started = dt.datetime.now()
         self.rows: list[tuple] = []
 
-    @contextlib.contextmanager
-    def step(self, name: str) -> Iterator[None]:
+    def run(self, name: str, action: Callable[[], None]) -> None:
         started, status, error = dt.datetime.now(), "success", None
         try:
-            yield
+            action()
         except Exception as exc:
             status, error = "failed", f"{type(exc).__name__}: {exc}"[:2000]
             raise
@@ -49,20 +49,135 @@ class _RunLog:
                 JOB_NAME, name, self.started, status, started, ended,
                 int((ended - started).total_seconds()), error, dt.date.fromisoformat(self.run_date)))
 
+    def together(self, steps: dict[str, Callable[[], None]]) -> None:
+        """Submit independent steps at once, so that one step's last tasks do not leave the
+        cluster idle.  Each writes a table of its own."""
+        with ThreadPoolExecutor(max_workers=max(len(steps), 1)) as pool:
+            running = [pool.submit(self.run, name, action) for name, action in steps.items()]
+        for step in running:
+            step.result()
+
     @property
     def seconds(self) -> int:
         return int((dt.datetime.now() - self.started).total_seconds())
 
 
-def _stage(store: TableStore, result: RunResult, table: str, staged: staging.Staged, day: str) -> None:
-    """Write both halves of a staging load from one evaluation of its input."""
-    staged.typed.persist()
-    try:
-        result.rows[table] = store.reload_day(table, staged.good, day)
-        result.rows[f"{table} quarantined"] = store.reload_day(
-            "audit.bad_records", staged.bad, day, within=table.split(".")[1])
-    finally:
-        staged.typed.unpersist()
+class _Run:
+    """One day's run over a store."""
+
+    def __init__(self, store: TableStore, landing_root: str, day: str, now: Column, options: dict):
+        self.store, self.spark, self.root, self.day, self.now = store, store.spark, landing_root, day, now
+        self.options = options
+        self.result, self.log = RunResult(day), _RunLog(day)
+
+    def reload(self, table: str, df: DataFrame, within: str | None = None, name: str | None = None) -> None:
+        self.result.rows[name or table] = self.store.reload_day(table, df, self.day, within)
+
+    def extract(self) -> None:
+        day, whole = self.day, self.options["whole_file"]
+        readers = {
+            "orders": ("raw.orders_json", lambda p: landing.read_orders(self.spark, p, day, whole_file=whole)),
+            "events": ("raw.events_csv", lambda p: landing.read_events(self.spark, p, day)),
+        }
+        if landing.is_weekly_snapshot_day(day):
+            readers["products"] = (
+                "raw.products_json", lambda p: landing.read_products(self.spark, p, day, whole_file=whole))
+
+        def step(kind: str, table: str, read: Callable[[str], DataFrame]) -> Callable[[], None]:
+            def action() -> None:
+                self.result.rows[table] = self.store.append(
+                    table, read(landing.landing_path(self.root, kind, day)))
+            return action
+
+        self.log.together({f"extract_{k}": step(k, table, read) for k, (table, read) in readers.items()})
+
+    def transform(self) -> None:
+        store, day, strict = self.store, self.day, self.options["strict"]
+        staged = {
+            "staging.orders_clean": staging.stage_orders(
+                store.read("raw.orders_json"), day, strict=strict, loaded_at=self.now),
+            "staging.events_clean": staging.stage_events(
+                store.read("raw.events_csv"), day, strict=strict,
+                check_types=self.options["check_types"], loaded_at=self.now),
+        }
+        if self.result.rows.get("raw.products_json"):
+            staged["staging.products_clean"] = staging.stage_products(
+                store.read("raw.products_json"), day, strict=strict, loaded_at=self.now)
+        try:
+            # Both halves are written from one evaluation of the input.
+            for load in staged.values():
+                load.typed.persist()
+            self.log.together({
+                f"transform_{table.split('.')[1]}": functools.partial(self.reload, table, load.good)
+                for table, load in staged.items()})
+            for table, load in staged.items():
+                kind = table.split(".")[1]
+                self.log.run(f"quarantine_{kind}", functools.partial(
+                    self.reload, "audit.bad_records", load.bad, kind, f"{table} quarantined"))
+        finally:
+            for load in staged.values():
+                load.typed.unpersist()
+
+    def check(self) -> None:
+        report = quality.check_report(
+            self.store.read("staging.orders_clean"), self.store.read("staging.events_clean"),
+            self.day, as_of=self.now)
+
+        def action() -> None:
+            self.reload("audit.dq_failures", quality.failures(report))
+            failed = self.result.rows["audit.dq_failures"]
+            self.result.passed = failed == 0
+            if failed:
+                raise quality.QualityGateError(f"{failed} quality checks failed for {self.day}")
+
+        self.log.run("quality_checks", action)
+
+    def load_dimensions(self) -> None:
+        store, day = self.store, self.day
+        read = store.read
+        loads = {
+            "dim_date": lambda: dimensions.load_dim_date(read("warehouse.dim_date"), day),
+            "dim_user": lambda: dimensions.load_dim_user(
+                read("warehouse.dim_user"), read("staging.orders_clean"), day,
+                self.options["user_attributes"], self.now),
+        }
+        if self.result.rows.get("staging.products_clean"):
+            loads["dim_product"] = lambda: dimensions.load_dim_product(
+                read("warehouse.dim_product"), read("staging.products_clean"), day, self.now)
+            loads["dim_product_history"] = lambda: dimensions.load_product_history(
+                read("warehouse.dim_product_history"), read("staging.products_clean"), day)
+
+        def step(name: str, load: Callable[[], DataFrame]) -> Callable[[], None]:
+            def action() -> None:
+                self.result.rows[f"warehouse.{name}"] = store.write_snapshot(f"warehouse.{name}", load())
+            return action
+
+        self.log.together({f"load_{name}": step(name, load) for name, load in loads.items()})
+
+    def load_facts(self) -> None:
+        read, day = self.store.read, self.day
+        orders, events = read("staging.orders_clean"), read("staging.events_clean")
+        dates, items, users = (read(f"warehouse.{d}") for d in ("dim_date", "dim_product", "dim_user"))
+        self.log.together({
+            "load_fact_orders": lambda: self.reload(
+                "warehouse.fact_orders", facts.load_fact_orders(orders, dates, items, users, day)),
+            "load_fact_events": lambda: self.reload(
+                "warehouse.fact_events", facts.load_fact_events(events, dates, users, day)),
+        })
+        rejects = {
+            "fact_orders": facts.reject_fact_orders(orders, dates, items, users, day),
+            "fact_events": facts.reject_fact_events(events, dates, users, day),
+        }
+        for name, rows in rejects.items():
+            self.log.run(f"reject_{name}", functools.partial(
+                self.reload, "audit.bad_records", rows, name, f"{name} rejected"))
+        loaded = read("warehouse.fact_orders")
+        self.log.together({
+            "refresh_orders_summary": lambda: self.reload(
+                "warehouse.mv_daily_orders_summary", facts.orders_summary_parts(loaded, day)),
+            "refresh_revenue": lambda: self.reload(
+                "warehouse.mv_daily_revenue", facts.revenue_parts(loaded, day)),
+        })
 
 
 def run_daily(
@@ -76,81 +191,19 @@ def run_daily(
     which keep every delivery (staging keeps the latest copy of each key).  When the gate
     stops the run, failures, metrics and the run log are still written.
     """
-    spark, day = store.spark, str(run_date)
-    result, log = RunResult(day), _RunLog(day)
-    now = F.lit(as_of or log.started).cast("timestamp_ntz")
-    weekly = landing.is_weekly_snapshot_day(day)
+    now = F.lit(as_of or dt.datetime.now()).cast("timestamp_ntz")
+    run = _Run(store, landing_root, str(run_date), now, {
+        "whole_file": whole_file, "strict": strict, "check_types": check_types,
+        "user_attributes": user_attributes})
     try:
-        with log.step("extract_orders"):
-            rows = landing.read_orders(
-                spark, landing.landing_path(landing_root, "orders", day), day, whole_file=whole_file)
-            result.rows["raw.orders_json"] = store.append("raw.orders_json", rows)
-        with log.step("extract_events"):
-            rows = landing.read_events(spark, landing.landing_path(landing_root, "events", day), day)
-            result.rows["raw.events_csv"] = store.append("raw.events_csv", rows)
-        if weekly:
-            with log.step("extract_products"):
-                rows = landing.read_products(
-                    spark, landing.landing_path(landing_root, "products", day), day, whole_file=whole_file)
-                result.rows["raw.products_json"] = store.append("raw.products_json", rows)
-
-        with log.step("transform_orders"):
-            _stage(store, result, "staging.orders_clean", staging.stage_orders(
-                store.read("raw.orders_json"), day, strict=strict, loaded_at=now), day)
-        with log.step("transform_events"):
-            _stage(store, result, "staging.events_clean", staging.stage_events(
-                store.read("raw.events_csv"), day, strict=strict, check_types=check_types,
-                loaded_at=now), day)
-        if result.rows.get("raw.products_json"):
-            with log.step("transform_products"):
-                _stage(store, result, "staging.products_clean", staging.stage_products(
-                    store.read("raw.products_json"), day, strict=strict, loaded_at=now), day)
-
-        orders, events = store.read("staging.orders_clean"), store.read("staging.events_clean")
-        with log.step("quality_checks"):
-            report = quality.check_report(orders, events, day, as_of=now)
-            failed = store.reload_day("audit.dq_failures", quality.failures(report), day)
-            result.rows["audit.dq_failures"] = failed
-            result.passed = failed == 0
-            if not result.passed:
-                raise quality.QualityGateError(f"{failed} quality checks failed for {day}")
-
-        with log.step("load_dimensions"):
-            store.write_snapshot("warehouse.dim_date", dimensions.load_dim_date(
-                store.read("warehouse.dim_date"), day))
-            if result.rows.get("staging.products_clean"):
-                products = store.read("staging.products_clean")
-                store.write_snapshot("warehouse.dim_product", dimensions.load_dim_product(
-                    store.read("warehouse.dim_product"), products, day, now))
-                store.write_snapshot("warehouse.dim_product_history", dimensions.load_product_history(
-                    store.read("warehouse.dim_product_history"), products, day))
-            store.write_snapshot("warehouse.dim_user", dimensions.load_dim_user(
-                store.read("warehouse.dim_user"), orders, day, user_attributes, now))
-
-        dim_date, dim_product, dim_user = (
-            store.read(f"warehouse.{d}") for d in ("dim_date", "dim_product", "dim_user"))
-        with log.step("load_fact_orders"):
-            result.rows["warehouse.fact_orders"] = store.reload_day(
-                "warehouse.fact_orders",
-                facts.load_fact_orders(orders, dim_date, dim_product, dim_user, day), day)
-            result.rows["fact_orders rejected"] = store.reload_day(
-                "audit.bad_records",
-                facts.reject_fact_orders(orders, dim_date, dim_product, dim_user, day), day,
-                within="fact_orders")
-        with log.step("load_fact_events"):
-            result.rows["warehouse.fact_events"] = store.reload_day(
-                "warehouse.fact_events", facts.load_fact_events(events, dim_date, dim_user, day), day)
-            result.rows["fact_events rejected"] = store.reload_day(
-                "audit.bad_records", facts.reject_fact_events(events, dim_date, dim_user, day), day,
-                within="fact_events")
-        with log.step("refresh_summaries"):
-            fact_orders = store.read("warehouse.fact_orders")
-            store.reload_day("warehouse.mv_daily_orders_summary",
-                             facts.orders_summary_parts(fact_orders, day), day)
-            store.reload_day("warehouse.mv_daily_revenue", facts.revenue_parts(fact_orders, day), day)
+        run.extract()
+        run.transform()
+        run.check()
+        run.load_dimensions()
+        run.load_facts()
     finally:
-        _write_metrics(store, result, log)
-    return result
+        _write_metrics(store, run.result, run.log)
+    return run.result
 
 
 def _write_metrics(store: TableStore, result: RunResult, log: _RunLog) -> None:
@@ -161,10 +214,8 @@ def _write_metrics(store: TableStore, result: RunResult, log: _RunLog) -> None:
         "staging_events_count": "staging.events_clean", "fact_events_count": "warehouse.fact_events",
         "dq_failed_count": "audit.dq_failures",
     }
-    with log.step("compute_metrics"):
-        row = metrics.daily_metrics(
-            {m: store.read(t) for m, t in layers.items()}, result.run_date, log.seconds)
-        store.upsert("warehouse.daily_metrics", row)
+    row = metrics.daily_metrics({m: store.read(t) for m, t in layers.items()}, result.run_date, log.seconds)
+    log.run("compute_metrics", lambda: store.upsert("warehouse.daily_metrics", row))
     store.append("audit.pipeline_runs",
                  store.spark.createDataFrame(log.rows, CONTRACTS["audit.pipeline_runs"].ddl))
 
