@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tidemart.operators import staging
 from tidemart.sources import documents, landing
 
 DAY = "2024-03-04"  # a Monday
@@ -47,6 +48,15 @@ def test_json_lines_mix_objects_and_arrays(spark, tmp_path):
     assert ids == {"A", "B", "C"}
 
 
+def test_unreadable_lines_are_kept_for_quarantine(spark, tmp_path):
+    path = write(tmp_path / "lines.json", '{"order_id":"A"}\n\n  \n{"order_id":\n[{"order_id":"B"}\nnonsense\n')
+    rows = landing.read_orders(spark, path, DAY)
+    assert sorted(r.raw_json for r in rows.collect()) == sorted(
+        ['{"order_id":"A"}', '{"order_id":', '[{"order_id":"B"}', "nonsense"])
+    staged = staging.stage_orders(rows)
+    assert staged.bad.filter("failure_reason = 'order_id missing'").count() == 3
+
+
 def test_event_csv_by_header_name(spark, tmp_path):
     text = ("user_id,event_id,event_type,event_ts,product_id,agent\n"
             'U1,E1,PAGE_VIEW,2024-03-04T01:02:03,,"Browser, 1"\n'

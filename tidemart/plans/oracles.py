@@ -669,5 +669,6 @@ ORACLES: dict[str, str] = {
                {_EV_TEXT} AS event_ts FROM ev"""),
     "stream_dedup_events": with_ctes("ev", f"""
         SELECT event_id, user_id, COALESCE(product_id, '') AS product_id, event_type, {_EV_TEXT} AS event_ts FROM ev"""),
-    "stream_upsert_orders": with_ctes("latest", f"SELECT {_STAGED} FROM latest"),
+    "stream_upsert_orders": with_ctes("latest", f"""
+        SELECT * REPLACE ('2001-08-01' AS load_date) FROM (SELECT {_STAGED} FROM latest)"""),
 }

@@ -745,9 +745,10 @@ def stream_upsert_orders(t: DriverTables) -> DataFrame:
     t.order_lines.select(doc).write.text(f"{root}/landing")
     store = TableStore(t.spark, f"{root}/tables")
     raw = ingest.order_stream(t.spark, f"{root}/landing")
-    # The documents carry their own ingest date, so the latest copy is that of the batch path.
+    # The documents carry their own ingest date, so the latest copy is that of the batch
+    # path; all of them arrive on one day.
     raw = raw.withColumn("ingested_at", F.get_json_object("raw_json", "$.ingested").cast("timestamp_ntz")) \
-        .withColumn("run_date", F.get_json_object("raw_json", "$.timestamp").cast("timestamp_ntz").cast("date"))
+        .withColumn("run_date", F.lit(ORDERS_AS_OF).cast("date"))
     ties = [F.col("doc_product_id").cast("bigint").desc(),
             F.get_json_object("raw_json", "$.supplier").cast("bigint").desc(),
             F.col("doc_quantity").cast("int").desc(), F.col("doc_price").try_cast("decimal(26,12)").desc()]

@@ -53,13 +53,19 @@ def weekly_snapshot_filter(df: DataFrame, day: str) -> DataFrame:
 
 
 def documents(text: Column) -> Column:
-    """Split JSON text into one string per document; a root object counts as one document.
+    """Split JSON text into one string per document; a root object is one document as it is.
 
-    ``array<string>`` keeps each document's own text, with unknown keys and nulls.
+    ``array<string>`` keeps each element's own text, with unknown keys and nulls.  Text
+    that is neither stays one (unreadable) document, so that staging can quarantine it
+    instead of losing it here; blank lines hold no document.
     """
     body = F.trim(text)
-    wrapped = F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)
-    return F.explode(F.from_json(wrapped, "array<string>"))
+    elements = F.coalesce(F.from_json(body, "array<string>"), F.array(body))
+    return F.explode(
+        F.when(body == "", F.array().cast("array<string>"))
+        .when(body.startswith("{"), F.array(body))
+        .otherwise(elements)
+    )
 
 
 def read_json_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
