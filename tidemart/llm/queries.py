@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_count, line_runs, mixing, url_rules
+from tidemart.llm import bpe_count, line_runs, mixing, quality_rules, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
@@ -26,6 +26,10 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_table(table(spark, sf_dir, "documents"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -40,6 +44,7 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filter,
     "op3_mix_sources": mix_sources,
+    "op4_quality_rules": quality,
     "op7_token_counts": token_counts,
     "op9_line_dedup": line_dedup,
 }
