@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_count, line_runs, mixing, quality_rules, url_rules
+from tidemart.llm import bpe_count, decontaminate, line_runs, mixing, quality_rules, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
@@ -21,6 +21,10 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(pages, url_rules.rules_frame(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -43,6 +47,7 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filter,
+    "op2_decontamination": decontamination,
     "op3_mix_sources": mix_sources,
     "op4_quality_rules": quality,
     "op7_token_counts": token_counts,
@@ -65,6 +70,25 @@ ORACLES: dict[str, str] = {
                    row_number() OVER (PARTITION BY n ORDER BY length(r.h || r.p) DESC) AS k
             FROM p LEFT JOIN r ON (p.host = r.h OR ends_with(p.host, '.' || r.h)) AND starts_with(p.path, r.p))
         SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1""",
+    "op2_decontamination": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+        i AS (
+            SELECT coalesce(item_id::VARCHAR, '') AS item, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
+        w AS (
+            SELECT DISTINCT item, least(len(ws), 13) AS n, array_to_string(list_slice(ws, s, s + least(len(ws), 13) - 1), ' ') AS win
+            FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS s FROM i WHERE len(ws) > 0)),
+        o AS (
+            SELECT r, s, n, array_to_string(list_slice(ws, s, s + n - 1), ' ') AS win
+            FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM w) WHERE len(ws) >= n)),
+        m AS (SELECT r, s, n, item FROM o JOIN w USING (n, win)),
+        h AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM m) GROUP BY r),
+        t AS (SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256 FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), FALSE) AS contaminated
+        FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
     "op9_line_dedup": r"""
         WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls, row_number() OVER () AS r FROM documents),
         l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),
