@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_count, decontaminate, line_runs, mixing, quality_rules, url_rules
+from tidemart.llm import bpe_count, decontaminate, line_runs, longest_factor, mixing, quality_rules, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
@@ -34,6 +34,11 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_table(table(spark, sf_dir, "documents"))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = longest_factor.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("data", 256).alias("kept_sha256"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": decontamination,
     "op3_mix_sources": mix_sources,
     "op4_quality_rules": quality,
+    "op5_suffix_dedup": suffix_dedup,
     "op7_token_counts": token_counts,
     "op9_line_dedup": line_dedup,
 }
