@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_count, decontaminate, line_runs, longest_factor, mixing, quality_rules, url_rules
+from tidemart.llm import bpe_count, decontaminate, line_runs, longest_factor, mixing, quality_rules, subtree_dedup, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
@@ -39,6 +39,11 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("data", 256).alias("kept_sha256"))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = subtree_dedup.without_repeated_words(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("data", 256).alias("kept_sha256"))
+
+
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": mix_sources,
     "op4_quality_rules": quality,
     "op5_suffix_dedup": suffix_dedup,
+    "op6_substring_dedup": substring_dedup,
     "op7_token_counts": token_counts,
     "op9_line_dedup": line_dedup,
 }
@@ -95,6 +101,18 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), FALSE) AS contaminated
         FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
+    "op6_substring_dedup": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                          list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        w AS (SELECT r, doc_id, s, md5(array_to_string(list_slice(ws, s, s + 49), ' ')) AS h
+              FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 48)) AS s FROM d WHERE len(ws) >= 50)),
+        f AS (SELECT h, min(doc_id) AS first FROM w GROUP BY h),
+        g AS (SELECT DISTINCT r, unnest(range(s, s + 50)) AS pos FROM w JOIN f USING (h) WHERE doc_id > first),
+        l AS (SELECT r, doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM d),
+        k AS (SELECT l.r, count(*) FILTER (g.r IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (g.r IS NULL) AS kept
+              FROM l LEFT JOIN g ON l.r = g.r AND l.pos = g.pos GROUP BY l.r)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM d LEFT JOIN k USING (r)""",
     "op9_line_dedup": r"""
         WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls, row_number() OVER () AS r FROM documents),
         l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM d),

@@ -116,11 +116,15 @@ def found_batch(t1, t2, lo, hi, w1, w2, owner, spread) -> pa.RecordBatch:
 
 
 class Part:
-    """The stretches of one part as arrays: one entry for each window, one row for each stretch."""
+    """The stretches of one part as arrays: one entry for each window, one row for each stretch.
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], values: Values, window: int) -> None:
+    ``w1`` and ``w2`` hash the whole window; ``levels`` hash its first values, for each length in ``prefixes``.
+    """
+
+    def __init__(self, batches: Iterator[pa.RecordBatch], values: Values, window: int, prefixes: tuple[int, ...] = ()) -> None:
         columns: list[list] = [[] for _ in range(7)]
         first, second, sizes = [], [], []
+        levels: list[list] = [[] for _ in prefixes]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -132,6 +136,9 @@ class Part:
                     h, n = A.window_hashes(v, window, family), np.diff(bounds) - window + 1
                     inside = np.repeat(bounds[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                     out.append(h[inside])
+                    if family == 0:
+                        for prefix, level in zip(prefixes, levels, strict=True):
+                            level.append(A.window_hashes(v, prefix, 0)[inside])
                 sizes.append(n)
         self.empty = not first
         if self.empty:
@@ -141,6 +148,7 @@ class Part:
         self.row = np.repeat(np.arange(len(n)), n)
         self.pos = self.at[self.row] + np.arange(len(self.row)) - (np.cumsum(n) - n)[self.row]
         self.w1, self.w2 = np.concatenate(first), np.concatenate(second)
+        self.levels = [np.concatenate(level) for level in levels]
         # Rows that repeat each other bring the same stretch twice.
         order = np.lexsort((self.at, self.t2, self.t1))
         again = np.zeros(len(n), bool)
