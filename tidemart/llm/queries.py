@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_count, decontaminate, line_runs, longest_factor, mixing, quality_rules, subtree_dedup, url_rules
+from tidemart.llm import bpe_count, decontaminate, jaccard_join, line_runs, longest_factor, mixing, quality_rules, subtree_dedup, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
@@ -55,6 +55,10 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicate_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filter,
     "op2_decontamination": decontamination,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": substring_dedup,
     "op7_token_counts": token_counts,
     "op9_line_dedup": line_dedup,
+    "op10_jaccard_join": near_duplicates,
 }
 
 SPACE_SET = r"[\x20\x09-\x0D]"
@@ -109,7 +114,7 @@ ORACLES: dict[str, str] = {
         f AS (SELECT h, min(doc_id) AS first FROM w GROUP BY h),
         g AS (SELECT DISTINCT r, unnest(range(s, s + 50)) AS pos FROM w JOIN f USING (h) WHERE doc_id > first),
         l AS (SELECT r, doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS pos FROM d),
-        k AS (SELECT l.r, count(*) FILTER (g.r IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY pos) FILTER (g.r IS NULL) AS kept
+        k AS (SELECT l.r, count(*) FILTER (g.r IS NOT NULL) AS n_removed, string_agg(word, ' ' ORDER BY l.pos) FILTER (g.r IS NULL) AS kept
               FROM l LEFT JOIN g ON l.r = g.r AND l.pos = g.pos GROUP BY l.r)
         SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
         FROM d LEFT JOIN k USING (r)""",
