@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemart.llm.html_blocks import blocks_of
 
 WEIGHTS = Path(__file__).with_name("block_labeller.npz")
-PATH_DIM, WORD_DIM, NUMBERS = 64, 48, 8
+PATH_DIM, WORD_DIM, NUMBERS = 160, 32, 8
 INPUT = PATH_DIM + WORD_DIM + NUMBERS
 HIDDEN = 20
 # Blocks of pages that are labelled together, about; a longer page is labelled alone.
@@ -70,9 +70,10 @@ class Features:
                     known[word] = at
                 counts[at[0]] += at[1]
             n = len(words)
-            x[PATH_DIM:PATH_DIM + WORD_DIM] = np.array(counts, np.float32) / math.sqrt(n)
-            x[-NUMBERS:] = (math.log1p(n) / 3, min(links / len(text), 1.0), text[-1] in ".!?:;\"'…", len(text) / n / 8, text.count(",") / n * 4,
-                            row / len(blocks), sum(map(text.count, "0123456789")) / len(text), math.log1p(len(blocks)) / 4)
+            norm = math.sqrt(sum(c * c for c in counts))
+            x[PATH_DIM:PATH_DIM + WORD_DIM] = np.array(counts, np.float32) * (3 / (1 + norm))
+            x[-NUMBERS:] = (min(math.log1p(n), 7.0) / 3, min(links / len(text), 1.0), text[-1] in ".!?:;\"'…", min(len(text) / n, 20.0) / 8, text.count(",") / n * 4,
+                            row / len(blocks), sum(map(text.count, "0123456789")) / len(text), min(math.log1p(len(blocks)), 6.0) / 4)
         return out
 
 

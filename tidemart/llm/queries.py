@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_count, decontaminate, jaccard_join, line_runs, longest_factor, mixing, quality_rules, subtree_dedup, url_rules
+from tidemart.llm import block_labeller, bpe_count, decontaminate, jaccard_join, line_runs, longest_factor, mixing, quality_rules, subtree_dedup, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
@@ -50,6 +50,10 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_labeller.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_runs.drop_repeated_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_dedup": suffix_dedup,
     "op6_substring_dedup": substring_dedup,
     "op7_token_counts": token_counts,
+    "op8_main_text": main_text,
     "op9_line_dedup": line_dedup,
     "op10_jaccard_join": near_duplicates,
 }

@@ -12,7 +12,7 @@ import time
 
 import numpy as np
 
-from tidemart.llm.block_labeller import HIDDEN, WEIGHTS, BlockLabeller, Features, padded
+from tidemart.llm.block_labeller import HIDDEN, PATH_DIM, WEIGHTS, WORD_DIM, BlockLabeller, Features, padded
 from tidemart.llm.html_blocks import blocks_of
 
 # Private-use characters that mark text of a known label while a page is written.
@@ -94,6 +94,10 @@ class Writer:
                 f"<{b}{a}><p>{OTHER}{self.prose(said)}</p></{b}>" for b, a in r.choices([("div", ' class="comment"'), ("li", ""), ("article", ' class="comment"')], k=r.randrange(1, 6))))
         if kind == "header" and r.random() < 0.6:
             return self.part(kind, f"<h1>{item(5)}</h1>" if r.random() < 0.5 else f"<div>{item(6)}</div>")
+        if r.random() < 0.4:  # nothing in the words tells the part
+            said = []
+            lead = r.choice(["", "&copy; ", ""]) + f"{self.word()}.example.{r.choice(['com', 'org', 'net'])} &middot; " if kind == "footer" else ""
+            return self.part(kind, OTHER + lead + self.sentence(r.randrange(3, 20)))
         text = OTHER + (self.prose(said) if r.random() < 0.6 else self.sentence(r.randrange(2, 14), said))
         return self.part(kind, text if r.random() < 0.5 else f"<p>{text}</p>" + (f"<p>{OTHER}{self.sentence(5, said)}</p>" if r.random() < 0.3 else ""))
 
@@ -143,7 +147,10 @@ def labelled(seed: int, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     for _ in range(n):
         blocks = blocks_of(writer.page())
         kept = [(text.replace(MAIN, "").replace(OTHER, "").strip() or "-", path, links) for text, path, links in blocks]
-        out.append((features.page(kept), np.array([MAIN in b[0] for b in blocks], np.float32)))
+        x = features.page(kept)
+        if writer.rng.random() < 0.3:  # some pages without words, so that paths are learned for themselves
+            x[:, PATH_DIM:PATH_DIM + WORD_DIM] = 0
+        out.append((x, np.array([MAIN in b[0] for b in blocks], np.float32)))
     return [x for x in out if len(x[1])]
 
 
@@ -176,7 +183,7 @@ def gradients(model: BlockLabeller, x: np.ndarray, mask: np.ndarray, y: np.ndarr
     return loss, grads
 
 
-def train(pages: int = 6000, epochs: int = 8, batch: int = 64, rate: float = 0.006, seed: int = 7) -> BlockLabeller:
+def train(pages: int = 7000, epochs: int = 8, batch: int = 64, rate: float = 0.006, seed: int = 7) -> BlockLabeller:
     model, data, rng = BlockLabeller.fresh(), labelled(seed, pages), np.random.default_rng(seed)
     first, second, step = ({k: np.zeros_like(v) for k, v in model.w.items()} for _ in range(2)), None, 0
     first, second = first
