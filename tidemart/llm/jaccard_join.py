@@ -416,8 +416,17 @@ def near_duplicate_table(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns; of rows that tie, the first text by hash, once."""
-    kept = groups(docs).where("owner = first").groupBy("owner").agg(F.min("twin").alias("_t"))
-    marks = stored(kept.withColumnRenamed("owner", "_o"), "kept")
-    owner, twin = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.join(marks, (owner == F.col("_o")) & (twin == F.col("_t"))).drop("_o", "_t")
+    """One document of each component, the one with the smallest doc_id, with all its columns.
+
+    Of rows with that doc_id the least text by hash stays, and of rows that repeat each other any one.
+    """
+    text = F.coalesce("text", F.lit(""))
+    owner, twin = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(text)
+    of_owner = groups(docs).where("owner = first").groupBy("owner", "twin").agg(F.count(F.lit(1)).alias("_rows"))
+    marks = stored(of_owner.groupBy(F.col("owner").alias("_o")).agg(F.min(F.struct("twin", "_rows")).alias("_m"))
+                   .select("_o", F.col("_m.twin").alias("_t"), F.col("_m._rows").alias("_rows")), "kept")
+    kept = docs.join(marks, (owner == F.col("_o")) & (twin == F.col("_t")))
+    if marks.where("_rows > 1").isEmpty():
+        return kept.select(*docs.columns)
+    again = kept.where("_rows > 1").dropDuplicates(["_o", "_t"])
+    return kept.where("_rows = 1").unionByName(again).select(*docs.columns)
