@@ -39,7 +39,7 @@ def given(rng):
     return rows + [rows[-1], (None, texts[20], None, None, 1)]
 
 
-@pytest.mark.parametrize("places", [2000, 3])
+@pytest.mark.parametrize("places", [20_000, 3])
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_bytes_match_brute_force(spark, monkeypatch, places, keep_first):
     monkeypatch.setattr(repeats, "GROUP_PLACES", places)

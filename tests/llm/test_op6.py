@@ -30,7 +30,7 @@ def brute(rows, window=50):
     return Counter(out)
 
 
-@pytest.mark.parametrize("places", [2000, 3])
+@pytest.mark.parametrize("places", [20_000, 3])
 def test_words_match_brute_force(spark, monkeypatch, places):
     monkeypatch.setattr(repeats, "GROUP_PLACES", places)
     rng = random.Random(places)

@@ -21,19 +21,19 @@ def byte_values(chunk: A.Chunk, family: int = 0) -> tuple[np.ndarray, np.ndarray
     return A.BYTE_VALUES[family][chunk.data], chunk.bounds
 
 
-def factor_arrays(w1: np.ndarray, w2: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Suffix order, and whether each suffix has an earlier and a later one with the same first ``length`` bytes.
+def factor_arrays(w1: np.ndarray, w2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each suffix has an earlier and a later one with the same first ``length`` bytes, which ``w1`` and ``w2`` hash.
 
-    ``w1`` and ``w2`` hash the first bytes of each suffix and ``rank`` gives its text position.  Suffixes with a common prefix of
-    that length stand together in order, by position.  The previous smaller position of an entry is then the entry before it, and
-    its longest previous factor reaches the length exactly if that entry's prefix is equal; the same holds for later copies.
+    Entries come in text order.  Put in suffix order, those with a common prefix of that length stand together, by position.  The
+    previous smaller position of an entry is then the entry before it, and its longest previous factor reaches the length exactly
+    if that entry's prefix is equal; the same holds for later copies.
     """
-    order = np.lexsort((rank, w2, w1))
+    order = np.lexsort((w2, w1))
     same = (w1[order[1:]] == w1[order[:-1]]) & (w2[order[1:]] == w2[order[:-1]])
     earlier, later = np.zeros(len(order), bool), np.zeros(len(order), bool)
     earlier[order[1:]] = same
     later[order[:-1]] = same
-    return order, earlier, later
+    return earlier, later
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, keep_first: bool = False) -> DataFrame:
@@ -50,14 +50,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, keep_first: bool = Fa
         part = R.Part(batches, byte_values, length)
         if part.empty:
             return
-        live = np.flatnonzero(part.single)
-        row, pos, w1, w2 = part.row[live], part.pos[live], part.w1[live], part.w2[live]
-        by_text = np.lexsort((part.t2, part.t1, part.owner))
-        text_rank = np.empty(len(by_text), np.int64)
-        text_rank[by_text] = A.runs_of([part.owner[by_text], part.t1[by_text], part.t2[by_text]])
-        rank = np.empty(len(live), np.int64)
-        rank[np.lexsort((pos, text_rank[row]))] = np.arange(len(live))
-        order, earlier, later = factor_arrays(w1, w2, rank)
+        row, pos, w1, w2 = part.row, part.pos, part.w1, part.w2
+        earlier, later = factor_arrays(w1, w2)
         gone = np.flatnonzero(earlier if keep_first else earlier | later)
         # Windows of one stretch follow each other: their union is cut where a window is missing.
         if len(gone):
@@ -66,13 +60,12 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, keep_first: bool = Fa
             at = np.flatnonzero(new)
             r, last = row[gone[at]], gone[np.append(at[1:], len(gone)) - 1]
             yield R.found_batch(part.t1[r], part.t2[r], pos[gone[at]], pos[last] + length, 0 * r, 0 * r, part.owner[r], np.zeros(len(r), bool))
-        # Of anchors that are split over parts: each distinct window once, in hi whether this part has it twice.
-        first = ~np.isin(np.arange(len(live)), order[1:][(w1[order[1:]] == w1[order[:-1]]) & (w2[order[1:]] == w2[order[:-1]])])
-        split = np.flatnonzero(first & (part.salt[row] > 0))
+        # Of anchors that are split over parts, the first of each distinct window goes on.
+        split = np.flatnonzero(~earlier & (part.salt[row] > 0))
         for k in range(0, len(split), 100_000):
             s = split[k:k + 100_000]
             r = row[s]
-            yield R.found_batch(part.t1[r], part.t2[r], pos[s], later[s], w1[s].view(np.int64), w2[s].view(np.int64), part.owner[r], np.ones(len(s), bool))
+            yield R.found_batch(part.t1[r], part.t2[r], pos[s], 0 * r, w1[s].view(np.int64), w2[s].view(np.int64), part.owner[r], np.ones(len(s), bool))
 
     stretches = R.repeated_stretches(texts, byte_values, length, GRAM, cut, bytes_each=700)
     found = stored(stretches.mapInArrow(solve, R.FOUND), "factors")

@@ -17,8 +17,9 @@ from tidemart.llm import text_arrays as A
 from tidemart.llm.common import stored
 
 NO_ID = -(1 << 63)
-# An anchor with more places than this is split over parts, and its windows are compared across parts afterwards.
-GROUP_PLACES = 2_000
+# An anchor with more places than this is split over parts, and its windows are compared across parts afterwards.  Bounded by
+# a task's memory: 20,000 places have some 4 million windows of about 40 bytes each.
+GROUP_PLACES = 20_000
 # Bytes of text that a part holds on average.
 PART_BYTES = 4 << 20
 # Texts whose marks are broadcast by hint: rows and marks, both counted.
@@ -143,14 +144,19 @@ class Part:
         self.empty = not first
         if self.empty:
             return
-        self.a, self.salt, self.t1, self.t2, self.owner, self.at, n = (np.concatenate(c) for c in columns)
+        salt, t1, t2, owner, at, n = (np.concatenate(c) for c in columns[1:])
         assert (np.concatenate(sizes) == n).all()
-        self.row = np.repeat(np.arange(len(n)), n)
-        self.pos = self.at[self.row] + np.arange(len(self.row)) - (np.cumsum(n) - n)[self.row]
-        self.w1, self.w2 = np.concatenate(first), np.concatenate(second)
-        self.levels = [np.concatenate(level) for level in levels]
-        # Rows that repeat each other bring the same stretch twice.
-        order = np.lexsort((self.at, self.t2, self.t1))
+        begins = np.cumsum(n) - n
+        # Stretches in the order of their places, so that windows are in that order too; rows that repeat each other bring the
+        # same stretch twice.
+        order = np.lexsort((at, t2, t1, owner))
         again = np.zeros(len(n), bool)
-        again[order[1:]] = ((self.at[order[1:]] == self.at[order[:-1]]) & (self.t1[order[1:]] == self.t1[order[:-1]]) & (self.t2[order[1:]] == self.t2[order[:-1]]))
-        self.single = ~again[self.row]
+        again[1:] = (at[order[1:]] == at[order[:-1]]) & (t1[order[1:]] == t1[order[:-1]]) & (t2[order[1:]] == t2[order[:-1]])
+        order = order[~again]
+        self.salt, self.t1, self.t2, self.owner, at, n, begins = (x[order] for x in (salt, t1, t2, owner, at, n, begins))
+        self.row = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        within = np.arange(len(self.row)) - np.repeat(np.cumsum(n) - n, n)
+        self.pos = at[self.row] + within
+        within += begins[self.row]
+        self.w1, self.w2 = np.concatenate(first)[within], np.concatenate(second)[within]
+        self.levels = [np.concatenate(level)[within] for level in levels]

@@ -37,7 +37,7 @@ def deep_nodes(part: R.Part) -> tuple[np.ndarray, np.ndarray]:
     The tree is grown from the root down: leaves are ordered by node and by the words up to the next depth, and only nodes with
     two leaves or more are entered, so most leaves stop early.
     """
-    leaves = np.flatnonzero(part.single)
+    leaves = np.arange(len(part.row))
     node = np.zeros(len(leaves), np.int64)
     for keys in [*[(level,) for level in part.levels], (part.w1, part.w2)]:
         order = np.lexsort((*(k[leaves] for k in keys), node))
@@ -81,7 +81,7 @@ def later_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
             at = np.flatnonzero(new)
             r, last = row[at], np.append(at[1:], len(w)) - 1
             yield R.found_batch(part.t1[r], part.t2[r], pos[at], pos[last] + window, 0 * r, 0 * r, part.owner[r], np.zeros(len(r), bool))
-        left = np.flatnonzero(~gone & part.single & (part.salt[part.row] > 0))
+        left = np.flatnonzero(~gone & (part.salt[part.row] > 0))
         for k in range(0, len(left), 100_000):
             w = left[k:k + 100_000]
             r = part.row[w]
