@@ -2,13 +2,14 @@
 
 import datetime as dt
 import json
+import re
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemart.operators import quality
-from tidemart.plans import daily, revenue
+from tidemart.plans import daily, funnel, products, revenue
 from tidemart.plans.warehouse import StoredWarehouse
 from tidemart.streaming import ingest
 
@@ -65,7 +66,11 @@ def test_keyed_tables_merge_over_themselves(spark, store):
         store.upsert(name, rows)
     found = {r.user_id: r.city for r in store.read(name).collect()}
     assert found == {"U1": "Wien", "Rome": "Rome", "Oslo": "Oslo", "Bern": "Bern", "Wien": "Wien"}
-    assert len(store._versions(name)) == 2
+    # Readers keep what they hold for a while; a version whose successor is old enough goes.
+    assert len(store._versions(name)) == 4
+    store.kept_for = dt.timedelta(0)
+    store.upsert(name, rows)
+    assert len(store._versions(name)) <= 2
     assert store.scalar(store.read(name).agg(F.count("*"))) == 5
     store.truncate(name)
     assert store.read(name).count() == 0
@@ -84,7 +89,7 @@ def land(root, day, n_orders, n_events, products=None, orders=()):
     docs = [{"order_id": f"{day}-{i}", "user_id": f"U{i % 40}", "product_id": f"P{i % 10}", "quantity": 2,
              "price": 1.5, "timestamp": f"{day}T10:00:00", "status": "paid"} for i in range(n_orders)]
     (base / "orders" / day).mkdir(parents=True, exist_ok=True)
-    (base / "orders" / day / "orders.json").write_text(json.dumps([*docs, *orders], indent=1))
+    (base / "orders" / day / "orders.json").write_text("\n".join(json.dumps(d) for d in [*docs, *orders]))
     lines = ["event_id,user_id,product_id,event_type,event_ts"]
     lines += [f"{day}-e{i},U{i % 60},P{i % 10},PURCHASE,{day}T11:00:00" for i in range(n_events)]
     (base / "events" / day).mkdir(parents=True, exist_ok=True)
@@ -147,10 +152,11 @@ def test_date_filter_reaches_the_scan(spark, store, tmp_path):
     land(tmp_path, DAY1, 100, 500, products=10)
     daily.run_daily(store, str(tmp_path), DAY1)
     wh = StoredWarehouse(store)
-    plan = revenue.revenue_by_date(wh, DAY1)._jdf.queryExecution().executedPlan().toString()
-    scan = next(line for line in plan.splitlines() if "FileScan" in line and "order_id" in line)
-    assert "GreaterThanOrEqual(date_id,20231205)" in scan and "EqualTo(status,paid)" in scan
-    assert "user_id" not in scan.split("ReadSchema")[1]
+    for query in (revenue.revenue_by_date(wh, DAY1), products.product_performance(wh, DAY1), funnel.event_funnel(wh, DAY1)):
+        plan = query._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan" in line and "date_id" in line and "load_date" in line)
+        assert re.search(r"PartitionFilters: \[[^\]]*date_id", scan), scan
+    assert "EqualTo(status,paid)" in revenue.revenue_by_date(wh, DAY1)._jdf.queryExecution().executedPlan().toString()
 
 
 def test_backfill_goes_on_after_a_stopped_day(store, tmp_path):
@@ -198,3 +204,63 @@ def test_stream_ingest_appends_each_file_once(spark, store, tmp_path):
     assert poll() == ["E1"]
     (landing / "2.csv").write_text(header + "E2,U,,page_view,2024-03-04T00:00:00\n")
     assert poll() == ["E1", "E2"] and poll() == ["E1", "E2"]
+
+
+def test_late_rows_reach_the_facts(spark, store, tmp_path):
+    land(tmp_path, DAY1, 120, 600, products=10)
+    for kind, name in (("orders", "orders.json"), ("events", "events.csv")):
+        path = tmp_path / "incoming" / kind / DAY1 / name
+        path.write_text(path.read_text().replace(f"{DAY1}T1", "2024-03-02T1"))
+    run = daily.run_daily(store, str(tmp_path), DAY1)
+    assert run.rows["warehouse.fact_orders"] == 120
+    assert {r.date_id for r in store.read("warehouse.fact_orders").select("date_id").distinct().collect()} == {20240302}
+    # A reload with other days leaves none of the old ones behind.
+    land(tmp_path, DAY1, 120, 600)
+    daily.run_daily(store, str(tmp_path), DAY1)
+    assert {r.date_id for r in store.read("warehouse.fact_orders").select("date_id").distinct().collect()} >= {20240304}
+
+
+def test_published_views_survive_loads(spark, store, tmp_path):
+    land(tmp_path, DAY1, 120, 600, products=10)
+    daily.run_daily(store, str(tmp_path), DAY1)
+    store.publish()
+    users = store.scalar(store.sql("SELECT COUNT(*) FROM warehouse.dim_user"))
+    for _ in range(3):
+        daily.run_daily(store, str(tmp_path), DAY1)
+    assert store.scalar(store.sql("SELECT COUNT(*) FROM warehouse.dim_user")) == users
+    for layer in ("raw", "staging", "warehouse", "audit"):
+        spark.sql(f"DROP DATABASE IF EXISTS {layer} CASCADE")
+
+
+def test_volume_bounds_can_be_set(spark, store, tmp_path):
+    orders = spark.range(500_001).selectExpr("CAST(id AS STRING) AS order_id", "CAST(1 AS DECIMAL(12,2)) AS revenue",
+                                             "TIMESTAMP_NTZ '2024-03-04 10:00:00' AS order_ts", "DATE '2024-03-04' AS load_date")
+    events = events_of(spark, *[(f"e{i}", DAY1) for i in range(500)])
+    at = F.lit("2024-03-05").cast("timestamp_ntz")
+    assert [r.check_name for r in quality.failures(quality.check_report(orders, events, DAY1, at)).collect()] == ["orders_volume"]
+    assert quality.failures(quality.check_report(orders, events, DAY1, at, orders_range=(1, 10**9))).collect() == []
+    land(tmp_path, DAY1, 3, 4, products=3)
+    assert daily.run_daily(store, str(tmp_path), DAY1, orders_range=(1, 10), events_range=(1, 10)).passed
+
+
+def test_errors_are_stored_whole(store, tmp_path):
+    log = daily._RunLog(DAY1)
+    with pytest.raises(ValueError):
+        log.run("step", lambda: (_ for _ in ()).throw(ValueError("x" * 5000)))
+    assert len(log.rows[0][7]) > 5000
+
+
+def test_stream_and_batch_share_the_raw_table(spark, store, tmp_path):
+    (tmp_path / "in").mkdir()
+    header = "event_id,user_id,product_id,event_type,event_ts\n"
+    (tmp_path / "in/a.csv").write_text(header + "E1,U1,P1,purchase,2024-03-04T10:00:00\n")
+    stream = ingest.event_stream(spark, str(tmp_path / "in"))
+    ingest.ingest_to_table(stream, store, "raw.events_csv", str(tmp_path / "check")).awaitTermination()
+    one = store.read("raw.events_csv")
+    assert store.append("raw.events_csv", one.withColumn("event_id", F.lit("E2"))) == 1
+    assert sorted(r.event_id for r in store.read("raw.events_csv").collect()) == ["E1", "E2"]
+    assert store.append("raw.events_csv", one, "again") == store.append("raw.events_csv", one, "again") == 1
+    assert store.read("raw.events_csv").count() == 3
+    (tmp_path / "in/b.csv").write_text("user_id,event_id,product_id,event_type,event_ts\nU1,E3,P1,purchase,2024-03-04T10:00:00\n")
+    with pytest.raises(Exception, match="header"):
+        ingest.ingest_to_table(stream, store, "raw.events_csv", str(tmp_path / "check")).awaitTermination()

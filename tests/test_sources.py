@@ -134,3 +134,11 @@ def test_documents_to_raw_rows(spark):
     row = raw.filter(F.col("product_id") == "5").collect()[0]
     assert json.loads(row.raw_line)["event_id"] == row.event_id
     assert set(raw.columns) >= {"run_date", "file_name", "ingested_at", "raw_line", "event_id", "event_ts"}
+
+
+def test_csv_columns_go_by_name_in_every_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("event_id,user_id,product_id,event_type,event_ts\nE1,U1,P1,view,2024-03-04T10:00:00\n")
+    (tmp_path / "b.csv").write_text("user_id,extra,event_id,event_type,event_ts,product_id\nU2,x,E2,view,2024-03-04T10:00:00,P2\n")
+    rows = landing.read_events(spark, str(tmp_path), "2024-03-04").collect()
+    assert sorted((r.event_id, r.user_id, r.product_id, r.raw_line) for r in rows) == [
+        ("E1", "U1", "P1", "E1,U1,P1,view,2024-03-04T10:00:00"), ("E2", "U2", "P2", "U2,x,E2,view,2024-03-04T10:00:00,P2")]

@@ -44,10 +44,19 @@ def seed_dim_date(spark: SparkSession, as_of: DateLike = None) -> DataFrame:
     return build_dim_date(spark, F.add_months(day, -12), F.add_months(day, 24))
 
 
-def load_dim_date(dim_date: DataFrame, run_date: DateLike) -> DataFrame:
-    """The calendar with ``run_date`` added if it was missing."""
+def load_dim_date(dim_date: DataFrame, run_date: DateLike, *times: DataFrame, seed: bool = False) -> DataFrame:
+    """The calendar with ``run_date`` added if it was missing.
+
+    ``times`` are frames of one timestamp column: their days are added too, so that rows
+    which arrive late find theirs.  ``seed`` adds a year before and two years after.
+    """
     spark = dim_date.sparkSession
-    return insert_absent(dim_date, build_dim_date(spark, run_date, run_date), ["date_id"])
+    days = seed_dim_date(spark, run_date) if seed else build_dim_date(spark, run_date, run_date)
+    for frame in times:
+        day = F.col(frame.columns[0]).cast("date")
+        found = frame.select(day.alias("d")).filter(F.col("d").isNotNull()).distinct()
+        days = days.unionByName(found.select(*date_attributes(F.col("d"))))
+    return insert_absent(dim_date, days.dropDuplicates(["date_id"]), ["date_id"])
 
 
 def users_of_day(orders: DataFrame, run_date: DateLike = None) -> DataFrame:

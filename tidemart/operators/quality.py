@@ -81,6 +81,7 @@ def _check(name: str, failed: Column, count: Column, message: Column, details: C
     )
 
 
+# The messages below, and the wording of the checks, are fixed values of the report.
 def _volume(name: str, noun: str, count: Column, low: int, high: int) -> Column:
     text = F.concat(F.lit(f"{noun} count "), count, F.lit(f" outside range [{low}, {high}]"))
     details = F.struct(count.alias("count"), F.lit(low).alias("min"), F.lit(high).alias("max"))
@@ -93,11 +94,14 @@ def _found(name: str, count: Column, what: str, details: Column) -> Column:
 
 
 def check_report(orders: DataFrame, events: DataFrame, run_date: DateLike = None,
-                 as_of: Column | None = None, only: Iterable[str] | None = None) -> DataFrame:
+                 as_of: Column | None = None, only: Iterable[str] | None = None,
+                 orders_range: tuple[int, int] = (ORDERS_MIN, ORDERS_MAX),
+                 events_range: tuple[int, int] = (EVENTS_MIN, EVENTS_MAX)) -> DataFrame:
     """The checks, one row per check and day (every day present, or just ``run_date``).
 
     A given ``run_date`` is reported even when it has no rows at all.  ``only`` names the
-    checks to run; counts that none of them needs are pruned from the plan.
+    checks to run; counts that none of them needs are pruned from the plan.  The accepted
+    volumes default to the fixed ones; a larger shop passes its own.
     """
     parts = [
         order_counts(slice_of(orders, run_date, "load_date"), as_of),
@@ -114,8 +118,8 @@ def check_report(orders: DataFrame, events: DataFrame, run_date: DateLike = None
     )
     future = n["orders_future"] + n["events_future"]
     checks = {
-        "orders_volume": _volume("orders_volume", "Orders", n["orders"], ORDERS_MIN, ORDERS_MAX),
-        "events_volume": _volume("events_volume", "Events", n["events"], EVENTS_MIN, EVENTS_MAX),
+        "orders_volume": _volume("orders_volume", "Orders", n["orders"], *orders_range),
+        "events_volume": _volume("events_volume", "Events", n["events"], *events_range),
         "orders_no_duplicates": _found(
             "orders_no_duplicates", n["order_dups"], "duplicate order IDs",
             F.struct(n["order_dups"].alias("duplicates"))),

@@ -26,7 +26,8 @@ class ContractViolation(ValueError):
 class Staged:
     """The two halves of a staging load: rows that pass, and one row per violation.
 
-    Both read ``typed``; persist it when both are going to be written.
+    Both are filters over ``typed``, which holds every row with its problems; write it once
+    (``divide``) when both halves are wanted.
     """
 
     good: DataFrame
@@ -51,6 +52,16 @@ def keep_latest(df: DataFrame, keys: list[str], newest_first: list[Column]) -> D
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_hash")
 
 
+def keep_latest_or_lone(df: DataFrame, key: str, others: list[str], newest_first: list[Column]) -> DataFrame:
+    """``keep_latest`` that lets every row without a ``key`` through, in the same pass.
+
+    Such a row gets a number of its own, which serves no other purpose than to make it a
+    group of one; the numbers also spread these rows, however many there are.
+    """
+    lone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    return keep_latest(df.withColumn("_lone", lone), [key, "_lone", *others], newest_first).drop("_lone")
+
+
 def slice_of(df: DataFrame, run_date: DateLike, column: str = "run_date") -> DataFrame:
     """One day's slice, or every slice when no date is given."""
     return df if run_date is None else df.filter(F.col(column) == day_column(run_date))
@@ -62,9 +73,29 @@ def _problem(condition: Column, reason: str, value: Column) -> Column:
     )
 
 
-def _with_problems(df: DataFrame, problems: list[Column]) -> DataFrame:
-    checked = df.withColumn("_problems", F.array_compact(F.array(*problems)))
-    return checked.drop(*[c for c in df.columns if c.startswith("doc_")])
+def divide(typed: DataFrame, table: str, source: str, record_id: str, raw: str, strict: bool = False) -> Staged:
+    """Split typed rows by their ``_problems``."""
+    columns = CONTRACTS[table].column_names
+    if strict:
+        message = F.concat(
+            F.lit(f"{source}: "), F.coalesce(record_id, F.lit("")), F.lit(": "),
+            F.array_join(F.transform("_problems", lambda p: p["reason"]), "; "),
+        )
+        # A row without a key cannot be loaded in any mode: it is set aside.
+        passed = F.when(F.size("_problems") == 0, F.lit(True)).when(F.col(record_id).isNull(), F.lit(False)).otherwise(
+            F.raise_error(message).cast("boolean"))
+        good = typed.filter(passed)
+    else:
+        good = typed.filter(F.size("_problems") == 0)
+    return Staged(good.select(*columns), _bad_rows(typed, source, record_id, raw, "load_date"), typed)
+
+
+# Where the halves of each staging table go: (source table, record id, raw column).
+SOURCES = {
+    "staging.orders_clean": ("raw.orders_json", "order_id", "raw_json"),
+    "staging.events_clean": ("raw.events_csv", "event_id", "raw_line"),
+    "staging.products_clean": ("raw.products_json", "product_id", "raw_json"),
+}
 
 
 def _bad_rows(df: DataFrame, source: str, record_id: str, raw: str, day: str) -> DataFrame:
@@ -78,25 +109,21 @@ def _bad_rows(df: DataFrame, source: str, record_id: str, raw: str, day: str) ->
     )
 
 
-def _split(df: DataFrame, unkeyed: DataFrame, table: str, source: str, record_id: str, raw: str,
-           strict: bool) -> Staged:
-    """Split ``df`` by its ``_problems``; ``unkeyed`` are source rows that have no key at all."""
-    columns = CONTRACTS[table].column_names
-    if strict:
-        message = F.concat(
-            F.lit(f"{source}: "), F.col(record_id), F.lit(": "),
-            F.array_join(F.transform("_problems", lambda p: p["reason"]), "; "),
-        )
-        passed = F.when(F.size("_problems") == 0, F.lit(True)).otherwise(
-            F.raise_error(message).cast("boolean"))
-        good = df.filter(passed)
-    else:
-        good = df.filter(F.size("_problems") == 0)
-    no_key = unkeyed.withColumn(record_id, F.lit(None).cast("string"))
-    no_key = _with_problems(no_key, [_problem(F.lit(True), f"{record_id} missing", F.lit(None))])
-    bad = _bad_rows(df, source, record_id, raw, "load_date").unionByName(
-        _bad_rows(no_key, source, record_id, raw, "run_date"))
-    return Staged(good.select(*columns), bad, df)
+def _split(df: DataFrame, table: str, strict: bool) -> Staged:
+    return divide(df, table, *SOURCES[table], strict)
+
+
+def _key_missing(record_id: str) -> list[Column]:
+    """The one problem of a row without a key; its other fields are not judged."""
+    return [_problem(F.lit(True), f"{record_id} missing", F.lit(None))]
+
+
+def _with_key_problems(df: DataFrame, record_id: str, raw: str, problems: list[Column]) -> DataFrame:
+    """Rows with their problems.  Raw text stays only where there are any."""
+    keyed, alone = (F.array_compact(F.array(*p)) for p in (problems, _key_missing(record_id)))
+    checked = df.withColumn("_problems", F.when(F.col(record_id).isNull(), alone).otherwise(keyed))
+    return checked.withColumn(raw, F.when(F.size("_problems") > 0, F.col(raw))) \
+        .drop(*[c for c in df.columns if c.startswith("doc_")])
 
 
 def _too_long(table: str, columns: dict[str, Column]) -> list[Column]:
@@ -127,14 +154,13 @@ def order_documents(raw: DataFrame) -> DataFrame:
 
 
 def latest_orders(docs: DataFrame, tiebreak: list[Column] | None = None) -> DataFrame:
-    """The newest document per order id and day, still untyped.
+    """The newest document per order id and day, still untyped; documents without an id all stay.
 
     Copies that arrive at the same moment are told apart by their fields, so the document
     text itself need not be shuffled unless it is asked for.
     """
     ties = tiebreak or [F.col("file_name").desc(), *[F.col(f"doc_{f}").desc() for f in ORDER_FIELDS[1:]]]
-    keyed = docs.filter(F.col("doc_order_id").isNotNull())
-    return keep_latest(keyed, ["doc_order_id", "run_date"], [F.col("ingested_at").desc(), *ties])
+    return keep_latest_or_lone(docs, "doc_order_id", ["run_date"], [F.col("ingested_at").desc(), *ties])
 
 
 def stage_orders(
@@ -174,9 +200,7 @@ def stage_orders(
         _problem(F.col("status").isNull(), "status missing", F.lit(None)),
         *_too_long(table, {c: F.col(c) for c in ("order_id", "user_id", "product_id", "status")}),
     ]
-    unkeyed = docs.filter(F.col("doc_order_id").isNull())
-    return _split(_with_problems(typed, problems), unkeyed, table, "raw.orders_json", "order_id",
-                  "raw_json", strict)
+    return _split(_with_key_problems(typed, "order_id", "raw_json", problems), table, strict)
 
 
 def stage_events(
@@ -187,8 +211,7 @@ def stage_events(
     table = "staging.events_clean"
     day = slice_of(raw, run_date)
     ties = tiebreak or [F.col("file_name").desc(), F.col("raw_line").desc()]
-    keyed = day.filter(F.col("event_id").isNotNull())
-    latest = keep_latest(keyed, ["event_id", "run_date"], [F.col("ingested_at").desc(), *ties])
+    latest = keep_latest_or_lone(day, "event_id", ["run_date"], [F.col("ingested_at").desc(), *ties])
     typed = latest.select(
         "raw_line", "event_id", "user_id",
         blank_to_null(F.col("product_id")).alias("product_id"),
@@ -206,9 +229,7 @@ def stage_events(
     if check_types:
         unknown = ~F.col("event_type").isin(*EVENT_TYPES)
         problems.append(_problem(unknown, "event_type unknown", F.col("event_type")))
-    unkeyed = day.filter(F.col("event_id").isNull())
-    return _split(_with_problems(typed, problems), unkeyed, table, "raw.events_csv", "event_id",
-                  "raw_line", strict)
+    return _split(_with_key_problems(typed, "event_id", "raw_line", problems), table, strict)
 
 
 def stage_products(
@@ -219,8 +240,7 @@ def stage_products(
     table = "staging.products_clean"
     docs = document_fields(slice_of(raw, run_date), PRODUCT_FIELDS)
     ties = tiebreak or [F.col(f"doc_{f}").desc() for f in PRODUCT_FIELDS[1:]]
-    keyed = docs.filter(F.col("doc_product_id").isNotNull())
-    latest = keep_latest(keyed, ["doc_product_id", "run_date"], [F.col("fetched_at").desc(), *ties])
+    latest = keep_latest_or_lone(docs, "doc_product_id", ["run_date"], [F.col("fetched_at").desc(), *ties])
     price = F.col("doc_current_price")
     typed = latest.select(
         "raw_json", "doc_current_price",
@@ -233,6 +253,4 @@ def stage_products(
         _problem(price.isNotNull() & F.col("current_price").isNull(), "price out of range", price),
         *_too_long(table, {c: F.col(c) for c in ("product_id", "product_name", "category", "brand")}),
     ]
-    unkeyed = docs.filter(F.col("doc_product_id").isNull())
-    return _split(_with_problems(typed, problems), unkeyed, table, "raw.products_json", "product_id",
-                  "raw_json", strict)
+    return _split(_with_key_problems(typed, "product_id", "raw_json", problems), table, strict)

@@ -3,8 +3,11 @@
 Plain Parquet has no MERGE or DELETE, so each kind of table is written in the way that
 survives a lost executor or a killed driver:
 
-* ``append`` tables only ever gain files;
-* ``daily`` tables swap whole day partitions when the job commits (dynamic overwrite);
+* ``append`` tables only ever gain files, raw ones a folder for each delivery, which a
+  replay of the same delivery replaces;
+* ``daily`` tables replace whole day partitions (dynamic overwrite).  The commit deletes
+  and renames folders, which is not atomic on object stores: a rerun of the day repairs
+  what a driver left when it died in the middle of it;
 * ``keyed`` tables write each state as a new version folder; the newest version that
   finished is the current one, and no folder is overwritten while it is being read.
 """
@@ -12,6 +15,7 @@ survives a lost executor or a killed driver:
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,15 +25,17 @@ from tidemart.operators import merge
 from tidemart.schemas import CONTRACTS, TableContract
 from tidemart.sources.landing import path_exists
 
-KEPT_VERSIONS = 2
+# How long a replaced version of a keyed table stays, for readers and views that hold it.
+KEPT_FOR = dt.timedelta(days=1)
 
 
 class TableStore:
     """Tables under one root folder, laid out as ``<root>/<layer>/<table>``."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, kept_for: dt.timedelta = KEPT_FOR):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.kept_for = kept_for
 
     # ---- locations ---------------------------------------------------------------
     def contract(self, name: str) -> TableContract:
@@ -48,11 +54,21 @@ class TableStore:
         target, fs = self._fs(path)
         fs.delete(target, True)
 
-    def _versions(self, name: str) -> list[int]:
-        """Finished versions of a keyed table, oldest first."""
+    def _finished(self, name: str) -> dict[int, int]:
+        """Finished versions of a keyed table and when they finished (epoch milliseconds)."""
         pattern, fs = self._fs(f"{self.path(name)}/v=*/_SUCCESS")
         found = fs.globStatus(pattern) or []
-        return sorted(int(s.getPath().getParent().getName().removeprefix("v=")) for s in found)
+        return {int(s.getPath().getParent().getName().removeprefix("v=")): s.getModificationTime() for s in found}
+
+    def _versions(self, name: str) -> list[int]:
+        """Finished versions of a keyed table, oldest first."""
+        return sorted(self._finished(name))
+
+    def _folders(self, path: str) -> list[str]:
+        target, fs = self._fs(path)
+        if not fs.exists(target):
+            return []
+        return [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
 
     def _version_path(self, name: str, version: int) -> str:
         return f"{self.path(name)}/v={version:08d}"
@@ -89,13 +105,31 @@ class TableStore:
         return self.spark.sql(query, args=args)
 
     # ---- writing -----------------------------------------------------------------
-    def append(self, name: str, df: DataFrame) -> int:
+    def append(self, name: str, df: DataFrame, delivery: str | None = None) -> int:
+        """Add rows.  A named ``delivery`` can be repeated: it replaces its own rows and no others.
+
+        Batch loads and streams write raw tables this way side by side, and every reader
+        sees the rows of both.
+        """
         contract, observed = self.contract(name), Observation()
         # The rows written are counted in the same job, not by a second pass.
-        df.select(*contract.column_names).observe(observed, F.count(F.lit(1)).alias("rows")) \
-            .write.mode("append").partitionBy(*contract.partitions).parquet(self.path(name))
+        rows = df.select(*contract.column_names).observe(observed, F.count(F.lit(1)).alias("rows"))
+        if contract.within:
+            rows = rows.withColumn(contract.within, F.lit(delivery or f"load-{uuid.uuid4().hex}"))
+        writer = rows.write.partitionBy(*contract.partitions)
+        if delivery and contract.within:
+            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        else:
+            writer = writer.mode("append")
+        writer.parquet(self.path(name))
         return observed.get["rows"]
 
+    def delivered(self, name: str, delivery: str) -> DataFrame:
+        """The rows of one delivery, with the contract's columns."""
+        contract = self.contract(name)
+        rows = self.spark.read.schema(f"{contract.ddl}, {contract.within} STRING").parquet(self.path(name))
+        return rows.filter(F.col(contract.within) == delivery).select(*contract.column_names)
+
     def reload_day(self, name: str, df: DataFrame, day: dt.date | str, within: str | None = None) -> int:
         """Replace one day of a daily table by ``df``, also when ``df`` is empty."""
         contract = self.contract(name)
@@ -124,18 +158,41 @@ class TableStore:
         # The days written are observed in the same job; a calendar bounds their number.
         observed = Observation()
         self._day_writer(contract, rows.observe(
-            observed, F.count(F.lit(1)).alias("rows"), F.collect_set(contract.partition).alias("days")))
+            observed, F.count(F.lit(1)).alias("rows"), F.collect_set(contract.partition).alias("days"),
+            self._splits(contract).alias("splits")))
         for day in set(days) - set(observed.get["days"]):
             self._drop(f"{self.path(name)}/{contract.partition}={day}")
+        self._drop_stale(contract, observed.get["splits"])
         return observed.get["rows"]
 
+    @staticmethod
+    def _splits(contract: TableContract):
+        """The (day, second level) pairs written; one to a few for each day."""
+        if not contract.split:
+            return F.lit(None)
+        return F.collect_set(F.struct(F.col(contract.partition).cast("string").alias("day"),
+                                      F.col(contract.split).cast("string").alias("part")))
+
+    def _drop_stale(self, contract: TableContract, splits) -> None:
+        """A dynamic overwrite replaces only the second-level folders it writes; those that an
+        earlier load of the same day left beside them go here."""
+        kept: dict[str, set[str]] = {}
+        for pair in splits or ():
+            kept.setdefault(pair["day"], set()).add(f"{contract.split}={pair['part']}")
+        for day, parts in kept.items():
+            folder = f"{self.path(contract.name)}/{contract.partition}={day}"
+            for stale in set(self._folders(folder)) - parts:
+                self._drop(f"{folder}/{stale}")
+
     def _day_writer(self, contract: TableContract, df: DataFrame) -> None:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*contract.partitions).parquet(self.path(contract.name))
 
     def _overwrite_days(self, contract: TableContract, df: DataFrame) -> int:
         observed = Observation()
-        self._day_writer(contract, df.observe(observed, F.count(F.lit(1)).alias("rows")))
+        self._day_writer(contract, df.observe(
+            observed, F.count(F.lit(1)).alias("rows"), self._splits(contract).alias("splits")))
+        self._drop_stale(contract, observed.get["splits"])
         return observed.get["rows"]
 
     def write_snapshot(self, name: str, df: DataFrame) -> int:
@@ -146,8 +203,12 @@ class TableStore:
         observed = Observation()
         df.select(*contract.column_names).observe(observed, F.count(F.lit(1)).alias("rows")) \
             .write.mode("overwrite").parquet(target)
-        for old in versions[: -(KEPT_VERSIONS - 1)]:
-            self._drop(self._version_path(name, old))
+        # A version may go once its successor has been there for ``kept_for``.
+        finished = sorted(self._finished(name).items())
+        now = dt.datetime.now(dt.timezone.utc).timestamp() * 1000
+        for (old, _), (_, replaced) in zip(finished, finished[1:], strict=False):
+            if now - replaced > self.kept_for.total_seconds() * 1000:
+                self._drop(self._version_path(name, old))
         return observed.get["rows"]
 
     def upsert(self, name: str, incoming: DataFrame, keep: list[str] | None = None) -> int:
@@ -170,7 +231,8 @@ class TableStore:
     def publish(self) -> None:
         """Expose every table as ``<layer>.<table>`` to ``spark.sql``.
 
-        Views name the current folder, so publish again after a load.
+        Views name the current folder.  The daily job publishes again what it finds
+        published; a view that was not is good for ``kept_for`` after the next load.
         """
         for layer in dict.fromkeys(n.split(".")[0] for n in CONTRACTS):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/_catalog/{layer}'")
@@ -184,3 +246,7 @@ class TableStore:
                 columns = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in typed)
                 query = f"SELECT {columns} FROM parquet.`{location}`"
             self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+    def published(self) -> bool:
+        """Whether this store's tables are in the catalog."""
+        return self.spark.catalog.tableExists("warehouse.dim_date")

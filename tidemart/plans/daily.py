@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import dimensions, facts, metrics, quality, staging
 from tidemart.operators.store import TableStore
 from tidemart.schemas import CONTRACTS
+from tidemart.session import scratch_dir
 from tidemart.sources import landing
 
 JOB_NAME = "warehouse_daily"
@@ -28,23 +29,28 @@ class RunResult:
     passed: bool = False
 
 
+def _utc_now() -> dt.datetime:
+    """Wall time without a zone, in UTC like every other stamp."""
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
 class _RunLog:
     """Collects one row per step for ``audit.pipeline_runs``."""
 
     def __init__(self, run_date: str):
         self.run_date = run_date
-        self.started = dt.datetime.now()
+        self.started = _utc_now()
         self.rows: list[tuple] = []
 
     def run(self, name: str, action: Callable[[], None]) -> None:
-        started, status, error = dt.datetime.now(), "success", None
+        started, status, error = _utc_now(), "success", None
         try:
             action()
         except Exception as exc:
-            status, error = "failed", f"{type(exc).__name__}: {exc}"[:2000]
+            status, error = "failed", f"{type(exc).__name__}: {exc}"
             raise
         finally:
-            ended = dt.datetime.now()
+            ended = _utc_now()
             self.rows.append((
                 JOB_NAME, name, self.started, status, started, ended,
                 int((ended - started).total_seconds()), error, dt.date.fromisoformat(self.run_date)))
@@ -59,7 +65,7 @@ class _RunLog:
 
     @property
     def seconds(self) -> int:
-        return int((dt.datetime.now() - self.started).total_seconds())
+        return int((_utc_now() - self.started).total_seconds())
 
 
 class _Run:
@@ -103,25 +109,29 @@ class _Run:
         if self.result.rows.get("raw.products_json"):
             staged["staging.products_clean"] = staging.stage_products(
                 store.read("raw.products_json"), day, strict=strict, loaded_at=self.now)
-        try:
-            # Both halves are written from one evaluation of the input.
-            for load in staged.values():
-                load.typed.persist()
-            self.log.together({
-                f"transform_{table.split('.')[1]}": functools.partial(self.reload, table, load.good)
-                for table, load in staged.items()})
-            for table, load in staged.items():
-                kind = table.split(".")[1]
-                self.log.run(f"quarantine_{kind}", functools.partial(
-                    self.reload, "audit.bad_records", load.bad, kind, f"{table} quarantined"))
-        finally:
-            for load in staged.values():
-                load.typed.unpersist()
+
+        def step(table: str, load: staging.Staged) -> Callable[[], None]:
+            def action() -> None:
+                # One evaluation of the input, written with its problems; both halves are
+                # filters over what was written.
+                path = scratch_dir(self.spark, "typed", self.options["scratch"])
+                load.typed.write.parquet(path)
+                typed = self.spark.read.schema(load.typed.schema).parquet(path)
+                halves = staging.divide(typed, table, *staging.SOURCES[table], strict)
+                self.reload(table, halves.good)
+                self.reload("audit.bad_records", halves.bad, kind(table), f"{table} quarantined")
+            return action
+
+        def kind(table: str) -> str:
+            return table.split(".")[1]
+
+        self.log.together({f"transform_{kind(table)}": step(table, load) for table, load in staged.items()})
 
     def check(self) -> None:
         report = quality.check_report(
             self.store.read("staging.orders_clean"), self.store.read("staging.events_clean"),
-            self.day, as_of=self.now)
+            self.day, as_of=self.now, orders_range=self.options["orders_range"],
+            events_range=self.options["events_range"])
 
         def action() -> None:
             self.reload("audit.dq_failures", quality.failures(report))
@@ -136,7 +146,13 @@ class _Run:
         store, day = self.store, self.day
         read = store.read
         loads = {
-            "dim_date": lambda: dimensions.load_dim_date(read("warehouse.dim_date"), day),
+            # The calendar covers what arrives late: it is seeded once, and days found in the
+            # slice are added.
+            "dim_date": lambda: dimensions.load_dim_date(
+                read("warehouse.dim_date"), day,
+                staging.slice_of(read("staging.orders_clean"), day, "load_date").select("order_ts"),
+                staging.slice_of(read("staging.events_clean"), day, "load_date").select("event_ts"),
+                seed=not store.exists("warehouse.dim_date")),
             "dim_user": lambda: dimensions.load_dim_user(
                 read("warehouse.dim_user"), read("staging.orders_clean"), day,
                 self.options["user_attributes"], self.now),
@@ -181,31 +197,48 @@ class _Run:
 
 
 def run_daily(
-    store: TableStore, landing_root: str, run_date: dt.date | str, *, whole_file: bool = True,
+    store: TableStore, landing_root: str, run_date: dt.date | str | None = None, *, whole_file: bool = False,
     strict: bool = False, check_types: bool = False, as_of: dt.datetime | None = None,
     user_attributes: DataFrame | None = None,
+    orders_range: tuple[int, int] = (quality.ORDERS_MIN, quality.ORDERS_MAX),
+    events_range: tuple[int, int] = (quality.EVENTS_MIN, quality.EVENTS_MAX),
+    scratch: str | None = None,
 ) -> RunResult:
     """Load one day; raises ``QualityGateError`` when a check fails.
 
     Every step replaces what an earlier run of the same day left, except the raw tables,
     which keep every delivery (staging keeps the latest copy of each key).  When the gate
-    stops the run, failures, metrics and the run log are still written.
+    stops the run, failures, metrics and the run log are still written.  No ``run_date``
+    means today (UTC).  ``scratch`` is a folder that all executors reach; the one named by
+    ``spark.checkpoint.dir`` if not given.  Tables that are published are published again.
     """
-    now = F.lit(as_of or dt.datetime.now()).cast("timestamp_ntz")
-    run = _Run(store, landing_root, str(run_date), now, {
+    now = F.lit(as_of or _utc_now()).cast("timestamp_ntz")
+    run = _Run(store, landing_root, str(run_date or _utc_now().date()), now, {
         "whole_file": whole_file, "strict": strict, "check_types": check_types,
-        "user_attributes": user_attributes})
+        "user_attributes": user_attributes, "orders_range": orders_range, "events_range": events_range,
+        "scratch": scratch})
     try:
         run.extract()
         run.transform()
         run.check()
         run.load_dimensions()
         run.load_facts()
-    finally:
-        _write_metrics(store, run.result, run.log)
+    except Exception as stopped:
+        try:
+            _finish(store, run)
+        except Exception as later:
+            stopped.add_note(f"metrics were not written either: {later}")
+        raise
+    _finish(store, run)
     return run.result
 
 
+def _finish(store: TableStore, run: _Run) -> None:
+    _write_metrics(store, run.result, run.log)
+    if store.published():
+        store.publish()
+
+
 def _write_metrics(store: TableStore, result: RunResult, log: _RunLog) -> None:
     """The day's metrics row and the run log: a handful of rows, whatever the day's size."""
     layers = {

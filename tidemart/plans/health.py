@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import day_column, percent
 from tidemart.functions.exprs import DateLike
-from tidemart.operators.staging import order_documents, slice_of
+from tidemart.operators.staging import document_fields, slice_of
 
 # Status labels of the dashboard and thresholds of the alerts.
 PASS_LABEL, FAIL_LABEL = "✓ PASS", "✗ FAIL"
@@ -71,10 +71,11 @@ def thin_runs(metrics: DataFrame, as_of: DateLike = None, days: int = 7,
 
 
 def alerts(metrics: DataFrame, as_of: DateLike = None, days: int = 7, seconds: int = SLOW_RUN_SECONDS,
-           failures: int = MANY_FAILURES, orders: int = FEW_RAW_ORDERS) -> DataFrame:
+           failures: int = MANY_FAILURES, orders: int = FEW_RAW_ORDERS, latest: int = 7) -> DataFrame:
     """All alerts as (alert, run_date, value), from one pass over the metrics.
 
-    The window ranks the runs of each alert: one row per day at most.
+    Of the runs with many failures the ``latest`` are reported, whatever their day.  The
+    window ranks the runs of each alert: one row per day at most.
     """
     recent = F.col("run_date") >= F.date_sub(day_column(as_of), days)
 
@@ -90,7 +91,7 @@ def alerts(metrics: DataFrame, as_of: DateLike = None, days: int = 7, seconds: i
     rows = metrics.select("run_date", F.explode(raised).alias("a")).select("a.alert", "run_date", "a.value")
     rank = F.row_number().over(W.partitionBy("alert").orderBy(F.desc("run_date")))
     return rows.withColumn("_r", rank) \
-        .filter((F.col("alert") != "many_failures") | (F.col("_r") <= days)).drop("_r")
+        .filter((F.col("alert") != "many_failures") | (F.col("_r") <= latest)).drop("_r")
 
 
 def failure_trend(dq_failures: DataFrame, as_of: DateLike = None, days: int = 90) -> DataFrame:
@@ -129,14 +130,16 @@ def lineage(raw_orders: DataFrame, orders: DataFrame, fact_orders: DataFrame, ru
 
     Staging and facts are joined first (one row per order and day on both sides), so the
     large raw side is shuffled once, as the outer side of one left join that AQE can
-    split when one order id dominates.
+    split when one order id dominates.  A fact belongs to the load day of its document:
+    an id that recurs on other days is not linked to their facts.
     """
-    docs = order_documents(slice_of(raw_orders, run_date)).select(
+    docs = document_fields(slice_of(raw_orders, run_date), ("order_id",)).select(
         "run_date", "file_name", "ingested_at", F.col("doc_order_id").alias("order_id"))
     staged = slice_of(orders, run_date, "load_date").select("order_id", F.col("load_date").alias("run_date"))
-    facts = fact_orders.select(
-        "order_id", F.col("order_id").alias("fact_order_id"), F.col("load_date").alias("fact_load_date"))
-    loaded = staged.join(facts, "order_id", "left").withColumn("staging_order_id", F.col("order_id"))
+    facts = slice_of(fact_orders, run_date, "load_date").select(
+        "order_id", F.col("load_date").alias("run_date"),
+        F.col("order_id").alias("fact_order_id"), F.col("load_date").alias("fact_load_date"))
+    loaded = staged.join(facts, ["run_date", "order_id"], "left").withColumn("staging_order_id", F.col("order_id"))
     return docs.join(loaded, ["run_date", "order_id"], "left").select(
         "run_date", "file_name", "ingested_at", "order_id", "staging_order_id", "fact_order_id", "fact_load_date")
 

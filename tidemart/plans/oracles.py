@@ -294,6 +294,9 @@ ORACLES: dict[str, str] = {
     "raw_events_scan": with_ctes("ev", f"""
         SELECT '2024-01-31' AS run_date, {_LINE} AS raw_line, event_id, user_id,
                COALESCE(product_id, '') AS product_id, event_type, {_EV_TEXT} AS event_ts FROM ev"""),
+    "raw_events_by_header": with_ctes("ev", f"""
+        SELECT '2024-01-31' AS run_date, event_id, user_id,
+               COALESCE(product_id, '') AS product_id, event_type, {_EV_TEXT} AS event_ts FROM ev"""),
     "raw_products_scan": """
         SELECT '2001-07-30' AS run_date, CAST(p_partkey AS VARCHAR) AS id, p_name AS title,
                CASE WHEN p_size >= 10 THEN p_type END AS category, CASE WHEN p_size <= 40 THEN p_brand END AS brand,
@@ -470,6 +473,8 @@ ORACLES: dict[str, str] = {
     # ---- facts and metrics
     "fact_orders_load": with_ctes("fact_ok", f"SELECT {_FACT_COLUMNS} FROM fact_ok"),
     "fact_events_load": with_ctes("ev_ok", f"SELECT {_EVENT_COLUMNS} FROM ev_ok"),
+    "fact_events_late_days": with_ctes("late good", f"""
+        SELECT {_EVENT_COLUMNS} FROM late WHERE user_id IN (SELECT user_id FROM good)"""),
     "fact_orders_rejects": with_ctes("rejects", f"SELECT 'staging.orders_clean' AS source_table, {_BAD} FROM rejects"),
     "fact_events_rejects": with_ctes("ev good", f"""
         SELECT 'staging.events_clean' AS source_table, event_id AS record_id, 'user_id not in dimension' AS failure_reason,
@@ -640,7 +645,7 @@ ORACLES: dict[str, str] = {
         SELECT 'slow_run' AS alert, {day_text('run_date')} AS run_date, runtime_seconds AS value FROM met
         WHERE run_date >= DATE '2001-08-01' - 30 AND runtime_seconds > 6000
         UNION ALL SELECT * FROM (SELECT 'many_failures', {day_text('run_date')}, dq_failed_count FROM met
-          WHERE dq_failed_count > 2 ORDER BY met.run_date DESC LIMIT 30)
+          WHERE dq_failed_count > 2 ORDER BY met.run_date DESC LIMIT 7)
         UNION ALL SELECT 'few_orders', {day_text('run_date')}, raw_orders_count FROM met
         WHERE run_date >= DATE '2001-08-01' - 30 AND raw_orders_count < 100"""),
     "dq_failure_trend": with_ctes("dq_failed", f"""
@@ -656,7 +661,7 @@ ORACLES: dict[str, str] = {
     "lineage_orders": with_ctes("lines fact_ok", f"""
         SELECT {day_text('run_date')} AS run_date, {stamp('l_shipdate')} AS ingested_at, l.order_id,
                l.order_id AS staging_order_id, f.order_id AS fact_order_id, {day_text('f.load_date')} AS fact_load_date
-        FROM lines l LEFT JOIN fact_ok f ON f.order_id = l.order_id"""),
+        FROM lines l LEFT JOIN fact_ok f ON f.order_id = l.order_id AND f.load_date = l.run_date"""),
     "change_tracking": with_ctes("lines latest", f"""
         SELECT order_id, {stamp('o_orderdate')} AS created_at, {stamp('l_shipdate')} AS updated_at,
                COALESCE(n, 0) AS raw_records_that_day
@@ -669,6 +674,11 @@ ORACLES: dict[str, str] = {
                {_EV_TEXT} AS event_ts FROM ev"""),
     "stream_dedup_events": with_ctes("ev", f"""
         SELECT event_id, user_id, COALESCE(product_id, '') AS product_id, event_type, {_EV_TEXT} AS event_ts FROM ev"""),
+    "stream_then_batch_orders": with_ctes("latest", f"""
+        SELECT * REPLACE ('2001-08-01' AS load_date) FROM (SELECT {_STAGED} FROM latest)"""),
+    "stream_then_batch_events": with_ctes("ev", f"""
+        SELECT {_LINE} AS raw_line, event_id, user_id, COALESCE(product_id, '') AS product_id, event_type,
+               {_EV_TEXT} AS event_ts FROM ev"""),
     "stream_upsert_orders": with_ctes("latest", f"""
         SELECT * REPLACE ('2001-08-01' AS load_date) FROM (SELECT {_STAGED} FROM latest)"""),
 }

@@ -84,6 +84,18 @@ def raw_events_scan(t: DriverTables) -> DataFrame:
         "run_date", "raw_line", *EVENT_FIELDS)
 
 
+@query
+def raw_events_by_header(t: DriverTables) -> DataFrame:
+    """Land events in two files groups with other column orders, one with a column more."""
+    path = landing.landing_path(scratch_dir(t.spark, "landing"), "events", EVENTS_AS_OF)
+    text = _event_text(t)
+    odd = F.col("event_id").cast("bigint") % 2 == 1
+    text.filter(~odd).write.csv(f"{path}/a", header=True)
+    text.filter(odd).select("user_id", "event_ts", F.lit("web").alias("channel"), "event_type", "event_id", "product_id") \
+        .write.csv(f"{path}/b", header=True)
+    return landing.read_events(t.spark, path, EVENTS_AS_OF).select("run_date", *EVENT_FIELDS)
+
+
 def _event_text(t: DriverTables) -> DataFrame:
     ts = F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return t.event_rows.select("event_id", "user_id", "product_id", "event_type", ts.alias("event_ts"))
@@ -331,7 +343,7 @@ def cross_day_duplicate_events(t: DriverTables) -> DataFrame:
 @query
 def constraint_violations(t: DriverTables) -> DataFrame:
     contract = CONTRACTS["staging.orders_clean"]
-    return quality.constraint_violations(t.messy_orders().typed.select(*contract.column_names), contract)
+    return quality.constraint_violations(t.messy_orders().typed.filter("order_id IS NOT NULL").select(*contract.column_names), contract)
 
 
 @query
@@ -445,6 +457,14 @@ def fact_events_load(t: DriverTables) -> DataFrame:
     return t.checked_fact_events()
 
 
+@query
+def fact_events_late_days(t: DriverTables) -> DataFrame:
+    """Late events through the job's calendar step, from an empty calendar."""
+    empty = t.spark.createDataFrame([], CONTRACTS["warehouse.dim_date"].ddl)
+    calendar = dimensions.load_dim_date(empty, EVENTS_AS_OF, t.late_events.select("event_ts"))
+    return facts.load_fact_events(t.late_events, calendar, t.good_users)
+
+
 @query
 def fact_orders_rejects(t: DriverTables) -> DataFrame:
     return facts.reject_fact_orders(
@@ -726,15 +746,15 @@ def stream_ingest_events(t: DriverTables) -> DataFrame:
 
 @query
 def stream_dedup_events(t: DriverTables) -> DataFrame:
-    """Stream every event twice and keep the first delivery of each."""
+    """Stream every event, then every event again in capitals: the first deliveries stay."""
     root = scratch_dir(t.spark, "stream")
     text = _event_text(t)
-    text.unionByName(text.withColumn("event_type", F.upper("event_type"))).write.csv(f"{root}/landing", header=True)
-    once = ingest.first_deliveries(ingest.event_stream(t.spark, f"{root}/landing"))
-    once.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint") \
-        .trigger(availableNow=True).start(f"{root}/out").awaitTermination()
-    return t.spark.read.parquet(f"{root}/out").select(
-        "event_id", "user_id", "product_id", F.lower("event_type").alias("event_type"), "event_ts")
+    store = TableStore(t.spark, f"{root}/tables")
+    for copy in (text, text.withColumn("event_type", F.upper("event_type"))):
+        copy.write.mode("append").csv(f"{root}/landing", header=True)
+        once = ingest.first_deliveries(ingest.event_stream(t.spark, f"{root}/landing"), delay="10000 days")
+        ingest.ingest_to_table(once, store, "raw.events_csv", f"{root}/checkpoint").awaitTermination()
+    return store.read("raw.events_csv").select(*EVENT_FIELDS)
 
 
 @query
@@ -749,8 +769,57 @@ def stream_upsert_orders(t: DriverTables) -> DataFrame:
     # path; all of them arrive on one day.
     raw = raw.withColumn("ingested_at", F.get_json_object("raw_json", "$.ingested").cast("timestamp_ntz")) \
         .withColumn("run_date", F.lit(ORDERS_AS_OF).cast("date"))
-    ties = [F.col("doc_product_id").cast("bigint").desc(),
+    ingest.keep_orders_current(
+        raw, store, f"{root}/checkpoint", tiebreak=_document_ties(), loaded_at=_seen()).awaitTermination()
+    return store.read("staging.orders_clean").drop("created_at", "updated_at")
+
+
+def _document_ties() -> list[Column]:
+    return [F.col("doc_product_id").cast("bigint").desc(),
             F.get_json_object("raw_json", "$.supplier").cast("bigint").desc(),
             F.col("doc_quantity").cast("int").desc(), F.col("doc_price").try_cast("decimal(26,12)").desc()]
-    ingest.keep_orders_current(raw, store, f"{root}/checkpoint", tiebreak=ties, loaded_at=_seen()).awaitTermination()
+
+
+@query
+def stream_then_batch_orders(t: DriverTables) -> DataFrame:
+    """Stream a quarter of the lines over several micro-batches, append half in batch and
+    stage, then stream the rest: staging covers what all of them delivered."""
+    root = scratch_dir(t.spark, "stream")
+    doc = t.order_document(ingested=F.date_format("l_shipdate", "yyyy-MM-dd"), supplier=F.col("l_suppkey"))
+    share = F.pmod(F.xxhash64("order_id", "l_suppkey", "l_shipdate"), F.lit(4))
+    lines = t.order_lines.select(doc.alias("value"), share.alias("share"))
+    store = TableStore(t.spark, f"{root}/tables")
+
+    def delivered(raw: DataFrame) -> DataFrame:
+        return raw.withColumn("ingested_at", F.get_json_object("raw_json", "$.ingested").cast("timestamp_ntz")) \
+            .withColumn("run_date", F.lit(ORDERS_AS_OF).cast("date"))
+
+    def poll() -> None:
+        ingest.keep_orders_current(
+            delivered(ingest.order_stream(t.spark, f"{root}/landing", max_files=1)), store, f"{root}/checkpoint",
+            tiebreak=_document_ties(), loaded_at=_seen()).awaitTermination()
+
+    lines.filter("share = 0").select("value").repartition(2).write.text(f"{root}/landing")
+    poll()
+    lines.filter("share >= 2").select("value").write.text(f"{root}/batch")
+    store.append("raw.orders_json", delivered(landing.read_orders(t.spark, f"{root}/batch", ORDERS_AS_OF)))
+    staged = staging.stage_orders(store.read("raw.orders_json"), ORDERS_AS_OF, tiebreak=_document_ties(), loaded_at=_seen())
+    store.reload_day("staging.orders_clean", staged.good, ORDERS_AS_OF)
+    lines.filter("share = 1").select("value").repartition(2).write.mode("append").text(f"{root}/landing")
+    poll()
     return store.read("staging.orders_clean").drop("created_at", "updated_at")
+
+
+@query
+def stream_then_batch_events(t: DriverTables) -> DataFrame:
+    """Stream half of the events, append the other half in batch: readers see both."""
+    root = scratch_dir(t.spark, "stream")
+    text = _event_text(t)
+    odd = F.col("event_id").cast("bigint") % 2 == 1
+    text.filter(odd).write.csv(f"{root}/landing", header=True)
+    text.filter(~odd).write.csv(f"{root}/batch", header=True)
+    store = TableStore(t.spark, f"{root}/tables")
+    ingest.ingest_to_table(ingest.event_stream(t.spark, f"{root}/landing", max_files=2), store, "raw.events_csv",
+                           f"{root}/checkpoint").awaitTermination()
+    store.append("raw.events_csv", landing.read_events(t.spark, f"{root}/batch", EVENTS_AS_OF))
+    return store.read("raw.events_csv").select("raw_line", *EVENT_FIELDS)

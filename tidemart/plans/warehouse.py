@@ -29,7 +29,7 @@ class Warehouse:
 
 
 class StoredWarehouse(Warehouse):
-    """The star schema as stored: scans prune by load_date and push filters down."""
+    """The star schema as stored: fact scans prune by their ``date_id`` partitions and push filters down."""
 
     def __init__(self, store: TableStore):
         self.store = store
@@ -44,7 +44,8 @@ class StoredWarehouse(Warehouse):
 
 def recent(facts: DataFrame, as_of: DateLike, days: int) -> DataFrame:
     """Fact rows of the last ``days`` days, by the stored integer key: the bound folds to
-    a constant, so it reaches the Parquet scan."""
+    a constant, so stored facts open only the partitions of those days.  Late rows are
+    found by their own day, whenever they were loaded."""
     return facts.filter(F.col("date_id") >= date_key_ago(as_of, days))
 
 

@@ -22,6 +22,7 @@ class TableContract:
     key: tuple[str, ...] = ()
     partition: str | None = None
     within: str | None = None  # second partition level: one value per writer of a day
+    split: str | None = None  # second partition level that queries filter on, taken from the rows
     required: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
 
@@ -31,7 +32,7 @@ class TableContract:
 
     @property
     def partitions(self) -> list[str]:
-        return [p for p in (self.partition, self.within) if p]
+        return [p for p in (self.partition, self.within, self.split) if p]
 
     @property
     def column_definitions(self) -> list[str]:
@@ -56,23 +57,24 @@ def _split_columns(ddl: str) -> list[str]:
 
 
 _ALL = [
-    # ---- raw: what the sources delivered, append only -------------------------------
+    # ---- raw: what the sources delivered, append only; every delivery (a daily load or a
+    # micro-batch) has a folder of its own within the day ------------------------------
     TableContract(
         "raw.orders_json", "append",
         "file_name STRING, ingested_at TIMESTAMP_NTZ, raw_json STRING, run_date DATE",
-        partition="run_date", required=("run_date", "ingested_at", "raw_json"),
+        partition="run_date", within="delivery", required=("run_date", "ingested_at", "raw_json"),
     ),
     TableContract(
         "raw.events_csv", "append",
         "file_name STRING, ingested_at TIMESTAMP_NTZ, raw_line STRING, event_id STRING, user_id STRING, "
         "product_id STRING, event_type STRING, event_ts TIMESTAMP_NTZ, run_date DATE",
-        partition="run_date", required=("run_date", "ingested_at"),
+        partition="run_date", within="delivery", required=("run_date", "ingested_at"),
         max_length={"event_id": 256, "user_id": 256, "product_id": 256, "event_type": 100},
     ),
     TableContract(
         "raw.products_json", "append",
         "fetched_at TIMESTAMP_NTZ, raw_json STRING, run_date DATE",
-        partition="run_date", required=("run_date", "fetched_at", "raw_json"),
+        partition="run_date", within="delivery", required=("run_date", "fetched_at", "raw_json"),
     ),
     # ---- staging: typed, cleaned, one row per key and day ---------------------------
     TableContract(
@@ -133,7 +135,7 @@ _ALL = [
         "warehouse.fact_orders", "daily",
         "order_id STRING, user_id STRING, product_id STRING, date_id INT, quantity INT, "
         "revenue DECIMAL(12,2), order_ts TIMESTAMP_NTZ, status STRING, load_date DATE",
-        key=("order_id", "load_date"), partition="load_date",
+        key=("order_id", "load_date"), partition="load_date", split="date_id",
         required=("order_id", "user_id", "product_id", "date_id", "quantity", "revenue", "order_ts",
                   "load_date"),
     ),
@@ -141,7 +143,7 @@ _ALL = [
         "warehouse.fact_events", "daily",
         "event_id STRING, user_id STRING, product_id STRING, date_id INT, event_type STRING, "
         "event_ts TIMESTAMP_NTZ, load_date DATE",
-        key=("event_id", "load_date"), partition="load_date",
+        key=("event_id", "load_date"), partition="load_date", split="date_id",
         required=("event_id", "user_id", "date_id", "event_type", "event_ts", "load_date"),
     ),
     TableContract(

@@ -39,13 +39,13 @@ def build_session(app_name: str = "tidemart", master: str | None = None, **conf:
     return spark
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the shared directory named by ``spark.checkpoint.dir``.
+def scratch_dir(spark: SparkSession, purpose: str, folder: str | None = None) -> str:
+    """A fresh folder under ``folder``, or under the shared directory named by ``spark.checkpoint.dir``.
 
     Only a local-mode session may go without that setting: its driver and executors are
     one process, so a local temporary folder is visible to all of them.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = folder or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")

@@ -6,14 +6,15 @@ Folder layout, one folder or file per day::
     <root>/incoming/events/<date>/      CSV with a header
     <root>/incoming/products/products_<date>.json
 
-A file that is one pretty-printed JSON array can only be read as a whole
-(``whole_file=True``), so one such file must fit in a task.  Large feeds land as many
-files or as one document (or one array) per line, which Spark splits freely.
+Feeds land one document (or one array) per line, which Spark splits freely.  A file that
+is one pretty-printed JSON array can only be read as a whole (``whole_file=True``), so one
+such file must fit in a task.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,11 +140,36 @@ def read_events(
     """One day's event CSV as ``raw.events_csv`` rows; columns are found by header name."""
     if not path_exists(spark, path):
         return _empty(spark, "raw.events_csv")
-    # All columns are read as text: no inference pass over the data.
-    rows = spark.read.csv(path, header=True, escape='"')
-    columns = rows.columns
-    tagged = rows.select("*", F.col("_metadata.file_path").alias("_file"))
-    return shape_events(tagged, F.col("_file"), run_date, ingested_at, columns)
+    parts = []
+    for header, files in sorted(files_by_header(spark, path).items()):
+        # All columns are read as text: no inference pass over the data.
+        rows = spark.read.csv(files, header=True, escape='"', enforceSchema=False)
+        tagged = rows.select("*", F.col("_metadata.file_path").alias("_file"))
+        parts.append(shape_events(tagged, F.col("_file"), run_date, ingested_at, rows.columns))
+    return reduce(DataFrame.unionByName, parts) if parts else _empty(spark, "raw.events_csv")
+
+
+def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """The CSV files under a path by their first line, so that each group has one column order.
+
+    Only names and first lines reach the driver; a day has one file per delivery.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop
+    groups: dict[str, list[str]] = {}
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).filter("length > 0").select("path").collect()
+    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
+    for row in files:
+        target = hadoop.fs.Path(row.path)
+        stream = target.getFileSystem(conf).open(target)
+        codec = codecs.getCodec(target)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
+        try:
+            groups.setdefault((reader.readLine() or "").lstrip("\ufeff"), []).append(row.path)
+        finally:
+            reader.close()
+    return groups
 
 
 def first_available(*candidates: DataFrame) -> DataFrame:
