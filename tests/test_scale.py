@@ -182,3 +182,11 @@ def test_one_order_id_with_a_third_of_the_copies(spark, no_small_sides):
     report = quality.check_report(staged.unionByName(staged), spark.createDataFrame([], CONTRACTS["staging.events_clean"].ddl),
                                   only=["orders_no_duplicates"]).collect()
     assert [r.failed_count for r in report] == [2001]
+
+
+def test_quarantine_reads_and_parses_once(spark):
+    from tidemart.plans import registry
+
+    plan = registry.run("quarantine_orders", spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("json_tuple") == 1
+    assert len([line for line in plan.splitlines() if "Relation" in line and "l_orderkey" in line]) == 1

@@ -12,6 +12,13 @@ from tidemart.operators.staging import slice_of
 
 USER_ATTRIBUTES = ["city", "signup_date", "marketing_source"]
 PRODUCT_ATTRIBUTES = ["product_name", "category", "brand", "current_price"]
+# Kept where both the catalogue and the table have them.
+PRODUCT_EXTRAS = ["stock", "discount_percentage"]
+
+
+def product_attributes(*frames: DataFrame) -> list[str]:
+    """The product columns that all ``frames`` carry."""
+    return PRODUCT_ATTRIBUTES + [c for c in PRODUCT_EXTRAS if all(c in f.columns for f in frames)]
 
 
 def date_attributes(day: Column) -> list[Column]:
@@ -98,7 +105,7 @@ def load_dim_product(dim_product: DataFrame, products: DataFrame, run_date: Date
     stamp = (F.current_timestamp() if loaded_at is None else loaded_at).cast("timestamp_ntz")
     day = slice_of(products, run_date, "load_date").filter(F.col("product_id").isNotNull())
     incoming = day.select(
-        "product_id", *PRODUCT_ATTRIBUTES,
+        "product_id", *product_attributes(dim_product, products),
         F.col("load_date").alias("effective_from"),
         F.lit(None).cast("date").alias("effective_to"),
         stamp.alias("created_at"), stamp.alias("updated_at"),
@@ -110,4 +117,4 @@ def load_dim_product(dim_product: DataFrame, products: DataFrame, run_date: Date
 def load_product_history(history: DataFrame, products: DataFrame, run_date: DateLike) -> DataFrame:
     """The versioned product dimension with a day's staged products merged in."""
     day = slice_of(products, run_date, "load_date")
-    return merge_history(history, day, ["product_id"], PRODUCT_ATTRIBUTES, run_date)
+    return merge_history(history, day, ["product_id"], product_attributes(history, products), run_date)

@@ -14,7 +14,7 @@ from tidemart.functions.exprs import DateLike
 from tidemart.schemas import CONTRACTS, EVENT_TYPES
 
 ORDER_FIELDS = ("order_id", "user_id", "product_id", "quantity", "price", "timestamp", "status")
-PRODUCT_FIELDS = ("product_id", "product_name", "category", "brand", "current_price")
+PRODUCT_FIELDS = ("product_id", "product_name", "category", "brand", "current_price", "stock", "discount_percentage")
 BAD_RECORD_COLUMNS = ["source_table", "record_id", "failure_reason", "failed_value", "raw_data", "run_date"]
 
 
@@ -241,16 +241,20 @@ def stage_products(
     docs = document_fields(slice_of(raw, run_date), PRODUCT_FIELDS)
     ties = tiebreak or [F.col(f"doc_{f}").desc() for f in PRODUCT_FIELDS[1:]]
     latest = keep_latest_or_lone(docs, "doc_product_id", ["run_date"], [F.col("fetched_at").desc(), *ties])
-    price = F.col("doc_current_price")
+    price, stock, discount = (F.col(f"doc_{c}") for c in ("current_price", "stock", "discount_percentage"))
     typed = latest.select(
-        "raw_json", "doc_current_price",
-        *[F.col(f"doc_{c}").alias(c) for c in PRODUCT_FIELDS[:-1]],
+        "raw_json", "doc_current_price", "doc_stock", "doc_discount_percentage",
+        *[F.col(f"doc_{c}").alias(c) for c in PRODUCT_FIELDS[:4]],
         price.try_cast("decimal(26,12)").try_cast("decimal(10,2)").alias("current_price"),
+        stock.try_cast("int").alias("stock"),
+        discount.try_cast("decimal(26,12)").try_cast("decimal(12,2)").alias("discount_percentage"),
         *_stamps(loaded_at),
         F.col("run_date").alias("load_date"),
     )
     problems = [
         _problem(price.isNotNull() & F.col("current_price").isNull(), "price out of range", price),
+        _problem(stock.isNotNull() & F.col("stock").isNull(), "stock not an integer", stock),
+        _problem(discount.isNotNull() & F.col("discount_percentage").isNull(), "discount out of range", discount),
         *_too_long(table, {c: F.col(c) for c in ("product_id", "product_name", "category", "brand")}),
     ]
     return _split(_with_key_problems(typed, "product_id", "raw_json", problems), table, strict)

@@ -13,6 +13,7 @@ from tidemart.functions import exprs, raw_line
 from tidemart.operators import dimensions, facts, merge, metrics, quality, staging
 from tidemart.operators.store import TableStore
 from tidemart.plans import customers, funnel, health, products, revenue
+from tidemart.plans.warehouse import StoredWarehouse
 from tidemart.plans.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, DriverTables, money
 from tidemart.schemas import CONTRACTS
 from tidemart.session import scratch_dir
@@ -242,7 +243,7 @@ def stg_events(t: DriverTables) -> DataFrame:
 
 @query
 def stg_products(t: DriverTables) -> DataFrame:
-    return staging.stage_products(_raw_products(t)).good.drop("created_at", "updated_at")
+    return staging.stage_products(_raw_products(t)).good.drop("created_at", "updated_at", *dimensions.PRODUCT_EXTRAS)
 
 
 @query
@@ -407,7 +408,7 @@ def upsert_dim_product(t: DriverTables) -> DataFrame:
     known = _stamped(t._products(part.filter("p_size <= 30")), "2001-01-01 00:00:00").select(
         "*", F.lit("2001-01-01").cast("date").alias("effective_from"),
         F.lit(None).cast("date").alias("effective_to"))
-    known = known.select(*CONTRACTS["warehouse.dim_product"].column_names)
+    known = known.select(*[c for c in CONTRACTS["warehouse.dim_product"].column_names if c in known.columns])
     arriving = part.filter("p_size >= 20").withColumn(
         "p_brand", F.when(F.col("p_size") <= 40, F.col("p_brand")))
     staged = t._products(arriving).withColumn("current_price", (F.col("current_price") + 1).cast("decimal(10,2)"))
@@ -419,7 +420,7 @@ def upsert_dim_product(t: DriverTables) -> DataFrame:
 def scd2_dim_product(t: DriverTables) -> DataFrame:
     """Three catalogue snapshots merged one after the other into a version history."""
     part = t.table("part")
-    columns = CONTRACTS["warehouse.dim_product_history"].column_names
+    columns = [c for c in CONTRACTS["warehouse.dim_product_history"].column_names if c not in dimensions.PRODUCT_EXTRAS]
     history = t._products(part.filter("p_size <= 40")).select(
         "*", F.lit("1995-01-01").cast("date").alias("effective_from"),
         F.lit(None).cast("date").alias("effective_to")).select(*columns)
@@ -636,19 +637,34 @@ def top_products_recent(t: DriverTables) -> DataFrame:
     return products.top_products_recent(t, ORDERS_AS_OF)
 
 
+def _stored_catalogue(t: DriverTables) -> DataFrame:
+    """The product dimension of a stored warehouse, loaded from catalogue documents with stock and discount."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "catalogue"))
+    document = F.to_json(F.struct(*staging.PRODUCT_FIELDS))
+    raw = t.stocked_products.withColumn("brand", F.lit("any")).select(
+        _seen().alias("fetched_at"), document.alias("raw_json"), F.lit(ORDERS_AS_OF).cast("date").alias("run_date"))
+    store.append("raw.products_json", raw)
+    staged = staging.stage_products(store.read("raw.products_json"), ORDERS_AS_OF, loaded_at=_seen())
+    store.reload_day("staging.products_clean", staged.good, ORDERS_AS_OF)
+    table = "warehouse.dim_product"
+    store.write_snapshot(table, dimensions.load_dim_product(
+        store.read(table), store.read("staging.products_clean"), ORDERS_AS_OF, _seen()))
+    return StoredWarehouse(store).dim_product
+
+
 @query
 def low_stock(t: DriverTables) -> DataFrame:
-    return products.low_stock(t.stocked_products)
+    return products.low_stock(_stored_catalogue(t))
 
 
 @query
 def avg_discount_by_category(t: DriverTables) -> DataFrame:
-    return products.avg_discount_by_category(t.stocked_products)
+    return products.avg_discount_by_category(_stored_catalogue(t))
 
 
 @query
 def discount_revenue_loss(t: DriverTables) -> DataFrame:
-    return products.discount_revenue_loss(t.stocked_products)
+    return products.discount_revenue_loss(_stored_catalogue(t))
 
 
 @query

@@ -98,7 +98,7 @@ _ALL = [
     TableContract(
         "staging.products_clean", "daily",
         "product_id STRING, product_name STRING, category STRING, brand STRING, "
-        "current_price DECIMAL(10,2), created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, load_date DATE",
+        "current_price DECIMAL(10,2), stock INT, discount_percentage DECIMAL(12,2), created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, load_date DATE",
         key=("product_id", "load_date"), partition="load_date",
         required=("product_id", "load_date"),
         max_length={"product_id": 256, "product_name": 512, "category": 256, "brand": 256},
@@ -120,7 +120,7 @@ _ALL = [
     TableContract(
         "warehouse.dim_product", "keyed",
         "product_id STRING, product_name STRING, category STRING, brand STRING, "
-        "current_price DECIMAL(10,2), effective_from DATE, effective_to DATE, "
+        "current_price DECIMAL(10,2), stock INT, discount_percentage DECIMAL(12,2), effective_from DATE, effective_to DATE, "
         "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ",
         key=("product_id",), required=("product_id",),
         max_length={"product_id": 256, "product_name": 512, "category": 256, "brand": 256},
@@ -128,7 +128,7 @@ _ALL = [
     TableContract(
         "warehouse.dim_product_history", "keyed",
         "product_id STRING, product_name STRING, category STRING, brand STRING, "
-        "current_price DECIMAL(10,2), effective_from DATE, effective_to DATE",
+        "current_price DECIMAL(10,2), stock INT, discount_percentage DECIMAL(12,2), effective_from DATE, effective_to DATE",
         key=("product_id", "effective_from"), required=("product_id", "effective_from"),
     ),
     TableContract(
