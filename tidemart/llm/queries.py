@@ -76,8 +76,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_jaccard_join": near_duplicates,
 }
 
-SPACE_SET = r"[\x20\x09-\x0D]"
-
 ORACLES: dict[str, str] = {
     "op1_url_filters": r"""
         WITH p AS (
@@ -111,6 +109,34 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit > 0 AND 20 * n_hit >= len(ws), FALSE) AS contaminated
         FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)""",
+    "op3_mix_sources": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                   len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS symbols,
+                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 13))::BIGINT AS h
+            FROM documents),
+        k AS (SELECT *, -ln((h::DOUBLE + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+                        / ((size + 1)::DOUBLE / (size + 1 + 20 * symbols)::DOUBLE) AS key FROM d),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
+        n AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS nth FROM s),
+        w AS (SELECT *, CASE (nth - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w FROM n),
+        y AS (
+            SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS ws,
+                   coalesce(sum(source_size) OVER (ORDER BY source_size::DOUBLE / w, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+                   coalesce(sum(w) OVER (ORDER BY source_size::DOUBLE / w, nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS wbefore
+            FROM w),
+        z AS (SELECT *, (1.5::DOUBLE * total::DOUBLE - 2.0::DOUBLE * before::DOUBLE) / (ws - wbefore)::DOUBLE AS level FROM y),
+        t AS (
+            SELECT source, source_size, least(2.0::DOUBLE * source_size, coalesce(
+                (SELECT arg_min(level, before * 1000000 + wbefore) FROM z WHERE level * w <= 2.0::DOUBLE * source_size) * w,
+                2.0::DOUBLE * source_size)) AS target FROM z),
+        b AS (SELECT *, floor(target + 0.5::DOUBLE)::BIGINT AS budget FROM t),
+        e AS (SELECT *, CASE WHEN source_size > 0 THEN budget // source_size ELSE 0 END AS epochs FROM b),
+        o AS (
+            SELECT k.doc_id, k.size, e.source_size, e.target, e.epochs, e.budget - e.epochs * e.source_size
+                   - coalesce(sum(k.size) OVER (PARTITION BY k.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+            FROM k JOIN e ON k.source IS NOT DISTINCT FROM e.source)
+        SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, room)))::BIGINT AS taken FROM o""",
     "op6_substring_dedup": r"""
         WITH d AS (SELECT row_number() OVER () AS r, doc_id,
                           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
@@ -133,4 +159,18 @@ ORACLES: dict[str, str] = {
         SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM x GROUP BY r""",
+    "op10_jaccard_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        s AS (
+            SELECT DISTINCT r, array_to_string(list_slice(ws, i, i + 4), ' ') AS shingle
+            FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+        n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+        p AS (SELECT a.r AS a, b.r AS b, count(*) AS o FROM s a JOIN s b ON a.shingle = b.shingle AND a.r < b.r GROUP BY ALL),
+        l AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+        e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+        c AS (SELECT a, min(doc_id) AS component_id FROM reach JOIN d ON reach.b = d.r GROUP BY a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN c ON c.a = d.r LEFT JOIN n ON n.r = d.r""",
 }
