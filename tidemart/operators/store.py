@@ -156,13 +156,14 @@ class TableStore:
         if days is None:
             return self._overwrite_days(contract, rows)
         # The days written are observed in the same job; a calendar bounds their number.
-        observed = Observation()
+        observed, fresh = Observation(), not self.exists(contract.name)
         self._day_writer(contract, rows.observe(
             observed, F.count(F.lit(1)).alias("rows"), F.collect_set(contract.partition).alias("days"),
             self._splits(contract).alias("splits")))
         for day in set(days) - set(observed.get["days"]):
             self._drop(f"{self.path(name)}/{contract.partition}={day}")
-        self._drop_stale(contract, observed.get["splits"])
+        if not fresh:
+            self._drop_stale(contract, observed.get["splits"])
         return observed.get["rows"]
 
     @staticmethod
@@ -189,10 +190,11 @@ class TableStore:
             .partitionBy(*contract.partitions).parquet(self.path(contract.name))
 
     def _overwrite_days(self, contract: TableContract, df: DataFrame) -> int:
-        observed = Observation()
+        observed, fresh = Observation(), not self.exists(contract.name)
         self._day_writer(contract, df.observe(
             observed, F.count(F.lit(1)).alias("rows"), self._splits(contract).alias("splits")))
-        self._drop_stale(contract, observed.get["splits"])
+        if not fresh:  # a new table has nothing left over
+            self._drop_stale(contract, observed.get["splits"])
         return observed.get["rows"]
 
     def write_snapshot(self, name: str, df: DataFrame) -> int:
