@@ -268,11 +268,18 @@ def _pairs_of_lists(token, owner, size, place, small_up_to, part_of_list) -> Ite
         if not len(x):
             break
         listed(x, x + step)
-    # A centre for each long list: its middle by size, so that most lengths fit.
+    # A centre for each long list: of the sets near its middle size, so that most lengths fit, the one with the least id, so
+    # that lists of much the same sets have the same centre and give the same pairs.
     long_ = np.flatnonzero((length > LIGHT_LIST) & ~subset) if not part_of_list else np.flatnonzero(~subset)
     members = np.flatnonzero(np.isin(run, long_))
     if len(members):
-        centre = (first + length // 2)[run[members]]
+        middle = size[(first + length // 2)[run[members]]]
+        near = members[(size[members] >= 0.9 * middle) & (size[members] <= 1.1 * middle)]
+        by_id = near[np.lexsort((owner[near], run[near]))]
+        heads = by_id[np.append(True, run[by_id[1:]] != run[by_id[:-1]])]
+        centres = np.zeros(len(first), np.int64)
+        centres[run[heads]] = heads
+        centre = centres[run[members]]
         apart = members != centre
         listed(members[apart], centre[apart])
     # Subsets in common: each smaller set links to the first larger one and each larger one to the first smaller one; sets of
