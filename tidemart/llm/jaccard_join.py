@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import text_arrays as A
 from tidemart.llm.common import small, stored
-from tidemart.llm.components import components
+from tidemart.llm.components import components, extended
 
 SHINGLE = 5
 # Similarity as a fraction, so that all bounds are whole numbers: 100 * intersection >= 75 * union.
@@ -30,6 +30,8 @@ RANGE_BYTES, CENTRE_PARTNERS = 4 << 20, 1_000
 LIST_ENTRIES = 50_000
 # Shingles in so many texts are put last, most frequent last.  Their number, which is broadcast, is bounded.
 FREQUENT, MOST_FREQUENT = 8, 1 << 20
+# Shingles or list entries that a task gathers before it sends them on.
+FLUSHED = 1 << 19
 NO_ID = -(1 << 63)
 
 
@@ -99,13 +101,22 @@ def frequent_shingles(texts: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarr
     shift = np.uint64(64 - bits - 32)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held = [shingle_sets(chunk)[1] for chunk in A.chunks(batch.column(0))]
+        held: list[np.ndarray] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
             keys = np.concatenate(held) if held else np.zeros(0, np.uint64)
+            held.clear()
             out = list(_by_range(keys, bits, [((keys >> shift) & np.uint64(0xFFFFFFFF)).astype(np.uint32)]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([c[0] for _, c in out], pa.binary())], names=["range", "cells"])
 
+        for batch in batches:
+            for chunk in A.chunks(batch.column(0)):
+                held.append(shingle_sets(chunk)[1])
+                if sum(map(len, held)) >= FLUSHED:
+                    yield from flush()
+        yield from flush()
+
     def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
         for batch in batches:
@@ -183,8 +194,34 @@ def candidates(sets: DataFrame, small_up_to: int, bits: int, frequent: tuple[np.
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, powers = held.value
         seen: set[int] = set()
+        held_: tuple[list, list, list, list] = ([], [], [], [])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            token, owner, size, place = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in held_)
+            for x in held_:
+                x.clear()
+            if not len(token):
+                return
+            salt = np.zeros(len(token), np.int64)
+            if len(cells):
+                own = (token >> shift).astype(np.int64)
+                at = np.minimum(np.searchsorted(cells, own), len(cells) - 1)
+                parts = np.where(cells[at] == own, (2 << powers[at]) // LIST_ENTRIES + 1, 1)
+                parts = np.where(place < 0, 1, parts)
+                salt = np.where(parts > 1, 1 + (owner.view(np.uint64) % parts.astype(np.uint64)).astype(np.int64), 0)
+            for s in np.unique(salt):
+                w = salt == s
+                out = list(_by_range(token[w], bits, [token[w], owner[w], size[w], place[w]]))
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([int(s)] * len(out), pa.int64()),
+                                                  *(pa.array([c[i] for _, c in out], pa.binary()) for i in range(4))],
+                                                 names=["range", "salt", "token", "owner", "size", "place"])
+
+        def add(token: np.ndarray, key: int, n: int, place: np.ndarray) -> None:
+            for x, values in zip(held_, (token, np.full(len(token), key, np.int64), np.full(len(token), n, np.int32), place), strict=True):
+                x.append(values)
+
         for batch in batches:
-            token, owner, size, place = [], [], [], []
+            waiting = 0
             for n, key, blob in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 if key in seen:  # copies of a set that this task has sent
                     continue
@@ -192,36 +229,20 @@ def candidates(sets: DataFrame, small_up_to: int, bits: int, frequent: tuple[np.
                 h = np.frombuffer(blob, np.uint64)
                 if n >= listed_from:
                     p = n - needed_alone(n) + 1
-                    token.append(h[:p])
-                    owner.append(np.full(p, key, np.int64))
-                    size.append(np.full(p, n, np.int32))
-                    place.append(np.arange(p, dtype=np.int32))
+                    add(h[:p], key, n, np.arange(p, dtype=np.int32))
+                    waiting += p
                 if n <= small_up_to:
                     ordered = np.sort(h)
                     for lo, hi, t in subset_sizes(n, small_up_to):
                         picks = np.array(list(combinations(range(n), t)), np.int64)
                         seed = (lo << 16) + (hi << 8) + t
                         keys = A.mixed(np.cumsum(A.mixed(ordered[picks] + np.arange(1, t + 1, dtype=np.uint64) * A.BASES[1]), axis=1)[:, -1] + np.uint64(seed))
-                        token.append(keys)
-                        owner.append(np.full(len(keys), key, np.int64))
-                        size.append(np.full(len(keys), n, np.int32))
-                        place.append(np.full(len(keys), -1, np.int32))
-            if not token:
-                continue
-            token, owner, size, place = (np.concatenate(x) for x in (token, owner, size, place))
-            salt = np.zeros(len(token), np.int64)
-            if len(cells):
-                own = (token >> shift).astype(np.int64)
-                at = np.minimum(np.searchsorted(cells, own), len(cells) - 1)
-                parts = np.where(cells[at] == own, (2 << powers[at]) // LIST_ENTRIES + 1, 1)
-                parts = np.where(place < 0, 1, parts)
-                salt = np.where(parts > 1, 1 + (owner.view(np.uint64) % parts.astype(np.uint64)).astype(np.int64), 0)
-            for s in np.unique(salt):
-                w = salt == s
-                out = list(_by_range(token[w], bits, [token[w], owner[w], size[w], place[w]]))
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in out], pa.int64()), pa.array([int(s)] * len(out), pa.int64()),
-                                                  *(pa.array([c[i] for _, c in out], pa.binary()) for i in range(4))],
-                                                 names=["range", "salt", "token", "owner", "size", "place"])
+                        add(keys, key, n, np.full(len(keys), -1, np.int32))
+                        waiting += len(keys)
+                if waiting >= FLUSHED:
+                    yield from flush()
+                    waiting = 0
+            yield from flush()
 
     def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_: dict[tuple[int, int], list[list[bytes]]] = {}
@@ -348,16 +369,15 @@ def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long")
 
 
-def _with_labels(lists: DataFrame, links: DataFrame) -> DataFrame:
+def _with_labels(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries of lists that still hold more than one component, with their component ``label``."""
-    labels = components(links)
     held = lists.join(labels, F.col("a") == F.col("v"), "left").select("token", "a", "n", "pos", F.coalesce("label", "a").alias("label"))
     mixed = held.groupBy("token").agg(F.min("label").alias("_x"), F.max("label").alias("_y")).where("_x <> _y").select("token")
     return stored(held.join(mixed, "token"), "mixed")
 
 
 def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(owner, twin, n, id) of every row of ``docs``, and links (a, b) between set ids whose components are those of the join.
+    """(owner, twin, n, id) of every row of ``docs``, and (v, label): the component of each set id that has a link.
 
     Rows with equal sets are one set.  Long lists first link to their centre; their sets that ended in different components are
     compared with each other's first, and what is then still apart, pair by pair: no similar pair is left in two components.
@@ -377,19 +397,19 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     twins = texts.join(small(wanted), (F.col("owner") == F.col("_o")) & (F.col("twin") == F.col("_t"))).select("id", "text")
     # Repeated rows bring a text twice: the same set, so any one will do.
     known = stored(twins.groupBy("id").agg(F.first("text").alias("text")), "texts")
-    links = stored(verified(found.where("token = 0"), known), "links")
+    labels = components(verified(found.where("token = 0"), known))
     lists = found.where("token <> 0")
     if not lists.isEmpty():
-        apart = _with_labels(lists, links)
+        apart = _with_labels(lists, labels)
         if not apart.isEmpty():
             one = apart.groupBy("token", "label").agg(F.min("a").alias("m"))
             middle = one.groupBy("token").agg(F.min("m").alias("c"))
             more = one.join(middle, "token").where("m <> c").select(F.least("m", "c").alias("a"), F.greatest("m", "c").alias("b"))
-            links = stored(links.unionByName(verified(more, known)), "links")
-            apart = _with_labels(apart.drop("label"), links)
+            labels = extended(labels, stored(verified(more, known), "links"))
+            apart = _with_labels(apart.drop("label"), labels)
         if not apart.isEmpty():
-            links = stored(links.unionByName(verified(_across(apart), known)), "links")
-    return every.select("owner", "twin", "n", "id"), links
+            labels = extended(labels, stored(verified(_across(apart), known), "links"))
+    return every.select("owner", "twin", "n", "id"), labels
 
 
 def _across(apart: DataFrame) -> DataFrame:
@@ -407,8 +427,7 @@ def groups(docs: DataFrame) -> DataFrame:
     Null and blank texts have no shingles and link with nothing; a null doc_id counts as the smallest; rows that share a doc_id
     count by their texts; other columns are ignored.  An empty table gives an empty result.
     """
-    every, links = similar_sets(docs)
-    labels = components(links)
+    every, labels = similar_sets(docs)
     labelled = every.join(labels, F.col("id") == F.col("v"), "left").withColumn("label", F.coalesce("label", "id"))
     firsts = stored(labelled.where("n > 0").groupBy("label").agg(F.min("owner").alias("first")), "firsts")
     return (labelled.join(firsts.withColumnRenamed("label", "_l"), F.col("label") == F.col("_l"), "left")

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts are taken in chunks of about this many bytes (a longer text is a chunk of its own), so arrays stay small.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 U = np.uint64
 
 _random = np.random.Generator(np.random.PCG64(20240607))
