@@ -82,6 +82,21 @@ def test_first_document_of_each_component_stays(spark):
     assert sorted(r["doc_id"] for r in left.collect()) == [0, 3, 4, 5, 6]
 
 
+def test_unlike_documents_without_or_with_one_id_stay(spark):
+    rng = random.Random(9)
+    base = words(rng, 60)
+    alike = [base + " x", base, base + " y"]
+    unlike = [words(rng, 60) for _ in range(5)]
+    rows = [(None, t, "en", "s", i) for i, t in enumerate([*alike, *unlike, unlike[0], "", None, " "])]
+    rows += [(7, t, "en", "s", 100 + i) for i, t in enumerate([*alike, *(words(rng, 60) for _ in range(4)), "", "", "\n"])]
+    left = [tuple(r) for r in J.keep_first(spark.createDataFrame(rows, DOCS).repartition(3)).collect()]
+    assert set(left) <= set(rows)
+    # Of the texts that are alike, those without an id come first.
+    assert len([r for r in left if r[1] in alike]) == 1 and not [r for r in left if r[0] == 7 and r[1] in alike]
+    assert sorted((r[0] or 0, r[1] or "") for r in left if r[1] not in alike) == sorted(
+        [(0, t) for t in [*unlike, "", "", " "]] + [(7, r[1]) for r in rows[-7:-3]] + [(7, ""), (7, "\n")])
+
+
 def test_nothing(spark):
     assert J.near_duplicate_table(documents(spark, [])).collect() == []
     assert sorted(tuple(r) for r in J.near_duplicate_table(documents(spark, [None, "", "a"])).collect()) == [(0, 0, 0), (1, 0, 1), (2, 1, 2)]

@@ -422,16 +422,17 @@ def _across(apart: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame) -> DataFrame:
-    """Per row: owner, twin, n_shingles, first (the smallest owner reachable by links, its own included).
+    """Per row: owner, twin, n_shingles, first (the smallest owner reachable by links, its own included), label of its component.
 
-    Null and blank texts have no shingles and link with nothing; a null doc_id counts as the smallest; rows that share a doc_id
+    Null and blank texts have no shingles, link with nothing and have no label; a null doc_id counts as the smallest; rows that share a doc_id
     count by their texts; other columns are ignored.  An empty table gives an empty result.
     """
     every, labels = similar_sets(docs)
     labelled = every.join(labels, F.col("id") == F.col("v"), "left").withColumn("label", F.coalesce("label", "id"))
     firsts = stored(labelled.where("n > 0").groupBy("label").agg(F.min("owner").alias("first")), "firsts")
     return (labelled.join(firsts.withColumnRenamed("label", "_l"), F.col("label") == F.col("_l"), "left")
-            .select("owner", "twin", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("owner")).alias("first")))
+            .select("owner", "twin", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("first")).otherwise(F.col("owner")).alias("first"),
+                    F.when(F.col("n") > 0, F.col("label")).alias("label")))
 
 
 def near_duplicate_table(docs: DataFrame) -> DataFrame:
@@ -444,13 +445,18 @@ def near_duplicate_table(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with all its columns.
 
-    Of rows with that doc_id the least text by hash stays, and of rows that repeat each other any one.
+    Of a component's rows with that doc_id the least text by hash stays, and of rows that repeat each other any one.  Rows that
+    share a doc_id, or have none, are not repeats for that: unlike texts are components of their own.  Texts without shingles are
+    repeats only under one doc_id that is not null.
     """
     text = F.coalesce("text", F.lit(""))
     owner, twin = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.xxhash64(text)
-    of_owner = groups(docs).where("owner = first").groupBy("owner", "twin").agg(F.count(F.lit(1)).alias("_rows"))
-    marks = stored(of_owner.groupBy(F.col("owner").alias("_o")).agg(F.min(F.struct("twin", "_rows")).alias("_m"))
-                   .select("_o", F.col("_m.twin").alias("_t"), F.col("_m._rows").alias("_rows")), "kept")
+    alone = F.col("label").isNull()
+    repeats = F.when(alone & (F.col("owner") == NO_ID), F.lit(1).cast("long")).otherwise(F.count(F.lit(1))).alias("_rows")
+    of_owner = groups(docs).where("owner = first").groupBy("label", "owner", "twin").agg(repeats)
+    marks = stored(of_owner.groupBy("label", F.when(alone, F.col("owner")), F.when(alone, F.col("twin")))
+                   .agg(F.min(F.struct("owner", "twin", "_rows")).alias("_m"))
+                   .select(F.col("_m.owner").alias("_o"), F.col("_m.twin").alias("_t"), F.col("_m._rows").alias("_rows")), "kept")
     kept = docs.join(marks, (owner == F.col("_o")) & (twin == F.col("_t")))
     if marks.where("_rows > 1").isEmpty():
         return kept.select(*docs.columns)
