@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import block_labeller, bpe_count, decontaminate, jaccard_join, line_runs, longest_factor, mixing, quality_rules, subtree_dedup, url_rules
+from tidemart.llm import block_labeller, bpe_count, byte_bpe, decontaminate, jaccard_join, line_runs, longest_factor, mixing, quality_rules, subtree_dedup, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 PIECE_MODEL = "piece_bpe_32k.model"
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,15 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_table(table(spark, sf_dir, "documents"))
 
 
+def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path(BYTE_RANKS)
+    encoded = byte_bpe.encode_texts(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return byte_bpe.decode_ids(encoded, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": url_filter,
     "op2_decontamination": decontamination,
@@ -74,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": main_text,
     "op9_line_dedup": line_dedup,
     "op10_jaccard_join": near_duplicates,
+    "op13_byte_bpe": byte_bpe_round_trip,
 }
 
 ORACLES: dict[str, str] = {
