@@ -122,7 +122,7 @@ class Encoder:
         self.ranks, self.table = ranks, table
         self.pieces = regex.compile(pattern)
         self.stand_ins = stand_ins
-        self.odd = regex.compile("[" + "".join(map(regex.escape, map(chr, stand_ins))) + "]") if stand_ins else None
+        self.odd = frozenset(map(chr, stand_ins))
         self.automaton = ahocorasick.Automaton()
         self.length = {}
         for rank, token in table.tokens.items():
@@ -163,7 +163,7 @@ class Encoder:
         blocks: dict[int, list[list[int]]] = {}
         length, compatible = self.length, self.compatible
 
-        def at(position: int) -> list[int]:
+        def in_blocks(position: int) -> list[int]:
             block, place = divmod(position, BLOCK)
             if block not in blocks:
                 if len(blocks) > 3:
@@ -171,6 +171,7 @@ class Encoder:
                 blocks[block] = self.matches(text, block)
             return blocks[block][place]
 
+        at = self.matches(text, 0).__getitem__ if n <= BLOCK else in_blocks
         position = 0
         while position < n:
             choices = at(position)
@@ -197,7 +198,7 @@ class Encoder:
         return ids
 
     def split(self, text: str) -> list[str]:
-        if self.odd is None or self.odd.search(text) is None:
+        if text.isascii() or self.odd.isdisjoint(text):
             return self.pieces.findall(text)
         return [text[m.start():m.end()] for m in self.pieces.finditer(text.translate(self.stand_ins))]
 
