@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import sys
 from array import array
 from collections.abc import Iterator
 
@@ -141,17 +142,15 @@ class Encoder:
             fits = self.pairs[left, right] = self.table.compatible(left, right)
         return fits
 
-    def matches(self, text: str, block: int) -> list[list[int]]:
-        """For each start position of the block the tokens that begin there, the shortest first."""
-        first = block * BLOCK
-        found: list[list[int]] = [[] for _ in range(min(BLOCK, len(text) - first))]
-        length = self.length
-        for end, token in self.automaton.iter(text, first, min(len(text), first + BLOCK + self.longest)):
-            start = end - length[token] + 1 - first
-            if 0 <= start < len(found):
-                found[start].append(token)
+    def matches(self, text: str, first: int = 0) -> list[list[int]]:
+        """For each of the ``BLOCK`` positions from ``first`` on the tokens that begin there, the shortest first."""
+        size, length = min(BLOCK, len(text) - first), self.length
+        # A match that ends in the block's tail may begin past it; those lists are dropped.
+        found: list[list[int]] = [[] for _ in range(min(size + self.longest, len(text) - first))]
+        for end, token in self.automaton.iter(text, first, first + len(found)):
+            found[end + 1 - first - length[token]].append(token)
         # Tokens that end earlier are found earlier, so each list is in order of length.
-        return found
+        return found[:size]
 
     def merged(self, data: bytes) -> array:
         """Ids of one piece.  Only one row of tokens that BPE leaves reaches a position, so each is given up at most once."""
@@ -168,10 +167,10 @@ class Encoder:
             if block not in blocks:
                 if len(blocks) > 3:
                     blocks.clear()
-                blocks[block] = self.matches(text, block)
+                blocks[block] = self.matches(text, block * BLOCK)
             return blocks[block][place]
 
-        at = self.matches(text, 0).__getitem__ if n <= BLOCK else in_blocks
+        at = self.matches(text).__getitem__ if n <= BLOCK else in_blocks
         position = 0
         while position < n:
             choices = at(position)
@@ -209,7 +208,9 @@ class Encoder:
             ids = known.get(piece)
             if ids is None:
                 found = self.merged(piece.encode("utf-8"))
-                ids = b"".join(i.to_bytes(4, "little") for i in found)
+                if sys.byteorder == "big":
+                    found.byteswap()
+                ids = found.tobytes()
                 if len(piece) <= REMEMBERED_CHARS:
                     if len(known) >= MEMORY:
                         known.clear()
