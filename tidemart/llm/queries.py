@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import block_labeller, bpe_count, byte_bpe, decontaminate, jaccard_join, line_runs, longest_factor, mixing, quality_rules, subtree_dedup, url_rules
+from tidemart.llm import block_labeller, bpe_count, byte_bpe, decontaminate, jaccard_join, line_runs, longest_factor, mean_search, mixing, quality_rules, subtree_dedup, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
@@ -64,6 +64,10 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicate_table(table(spark, sf_dir, "documents"))
 
 
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mean_search.cluster_report(table(spark, sf_dir, "embeddings"))
+
+
 def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": main_text,
     "op9_line_dedup": line_dedup,
     "op10_jaccard_join": near_duplicates,
+    "op11_centroid_clusters": centroid_clusters,
     "op13_byte_bpe": byte_bpe_round_trip,
 }
 
@@ -184,4 +189,22 @@ ORACLES: dict[str, str] = {
         reach(a, b) AS (SELECT r, r FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
         c AS (SELECT a, min(doc_id) AS component_id FROM reach JOIN d ON reach.b = d.r GROUP BY a)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM d JOIN c ON c.a = d.r LEFT JOIN n ON n.r = d.r""",
+    "op11_centroid_clusters": r"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER () AS r, vec_id, embedding, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), embedding) - 1 AS c, e AS m
+            FROM v ORDER BY c LIMIT 16),""" + "".join(rf"""
+        a{n} AS MATERIALIZED (
+            SELECT r, min(e) AS e, arg_min(c, d * 16 + c) AS c, min(d) AS d
+            FROM (SELECT r, e, c, list_sum(list_transform(list_zip(e, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{n})
+            GROUP BY r)""" + (rf""",
+        s{n} AS (SELECT c, p, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT c, unnest(e) AS x, unnest(range(64)) AS p FROM a{n}) GROUP BY c, p),
+        m{n} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY p) AS m FROM s{n} GROUP BY c),
+        c{n + 1} AS MATERIALIZED (SELECT c, coalesce(m{n}.m, c{n}.m) AS m FROM c{n} LEFT JOIN m{n} USING (c)),""" if n < 3 else "")
+        for n in range(4)) + r"""
+        SELECT v.vec_id, a3.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a3.c)::BIGINT AS cluster_inertia,
+               sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+        FROM a3 JOIN v USING (r) JOIN c3 ON a3.c = c3.c""",
 }
