@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import block_labeller, bpe_count, byte_bpe, decontaminate, jaccard_join, line_runs, longest_factor, mean_search, mixing, quality_rules, subtree_dedup, url_rules
+from tidemart.llm import block_labeller, bpe_count, byte_bpe, decontaminate, filter_audit, jaccard_join, line_runs, longest_factor, mean_search, mixing, quality_rules, subtree_dedup, url_rules
 from tidemart.llm.common import table
 
 # The rules of the URL filter.
@@ -68,6 +68,10 @@ def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mean_search.cluster_report(table(spark, sf_dir, "embeddings"))
 
 
+def filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": line_dedup,
     "op10_jaccard_join": near_duplicates,
     "op11_centroid_clusters": centroid_clusters,
+    "op12_filter_audit": filter_interactions,
     "op13_byte_bpe": byte_bpe_round_trip,
 }
 
@@ -207,4 +212,38 @@ ORACLES: dict[str, str] = {
         SELECT v.vec_id, a3.c::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY a3.c)::BIGINT AS cluster_inertia,
                sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
         FROM a3 JOIN v USING (r) JOIN c3 ON a3.c = c3.c""",
+    "op12_filter_audit": r"""
+        WITH l AS (SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        t AS (
+            SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        d AS (
+            SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b,
+                   100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text) AS c,
+                   regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE) AS e
+            FROM t LEFT JOIN l USING (doc_id)),
+        m AS (
+            SELECT part, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x, i: [a, b, c, d, e][i]) AS failed, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+            FROM d GROUP BY ALL),
+        f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+        o AS (
+            SELECT v.x || w.x || y.x || z.x || u.x AS filter_order FROM f v, f w, f y, f z, f u
+            WHERE len(list_distinct([v.x, w.x, y.x, z.x, u.x])) = 5),
+        s AS (
+            SELECT filter_order, step, substr(filter_order, step, 1) AS x, string_split(substr(filter_order, 1, step - 1), '') AS before
+            FROM o, (SELECT unnest(range(1, 6)) AS step)),
+        r AS (
+            SELECT part, filter_order, step, x,
+                   sum(n) FILTER (NOT list_contains(failed, x) AND NOT list_has_any(failed, before)) AS kept,
+                   sum(n) FILTER (list_contains(failed, x) AND NOT list_has_any(failed, before)) AS removed,
+                   sum(n) FILTER (list_contains(failed, x) AND list_has_any(failed, before)) AS redundant,
+                   sum(n) FILTER (failed = [x]) AS unique_fails,
+                   sum(good) FILTER (list_contains(failed, x) AND NOT list_has_any(failed, before)) AS good_lost,
+                   sum(toxic) FILTER (list_contains(failed, x) AND NOT list_has_any(failed, before)) AS toxic_lost
+            FROM m, s GROUP BY part, filter_order, step, x)
+        SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+               coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+               coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+               sum(coalesce(removed, 0)) OVER (PARTITION BY part, x)::BIGINT AS shapley
+        FROM r""",
 }
