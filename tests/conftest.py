@@ -20,4 +20,4 @@ def spark():
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return TableStore(spark, str(tmp_path / "tables"))
+    return TableStore(spark, str(tmp_path / "tables"), buckets=4)

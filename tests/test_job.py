@@ -4,11 +4,13 @@ import datetime as dt
 import json
 import re
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.operators import quality
+from tidemart.operators import dimensions, quality
+from tidemart.operators.store import TableStore
 from tidemart.plans import daily, funnel, products, revenue
 from tidemart.plans.warehouse import StoredWarehouse
 from tidemart.streaming import ingest
@@ -59,29 +61,106 @@ def test_append_only_adds(spark, store):
 
 
 def test_keyed_tables_merge_over_themselves(spark, store):
-    name, schema = "warehouse.mv", None
     name = "warehouse.dim_user"
     for city in ("Rome", "Oslo", "Bern", "Wien"):
         rows = spark.createDataFrame([("U1", city), (city, city)], "user_id STRING, city STRING")
         store.upsert(name, rows)
     found = {r.user_id: r.city for r in store.read(name).collect()}
     assert found == {"U1": "Wien", "Rome": "Rome", "Oslo": "Oslo", "Bern": "Bern", "Wien": "Wien"}
-    # Readers keep what they hold for a while; a version whose successor is old enough goes.
-    assert len(store._versions(name)) == 4
-    store.kept_for = dt.timedelta(0)
     store.upsert(name, rows)
-    assert len(store._versions(name)) <= 2
     assert store.scalar(store.read(name).agg(F.count("*"))) == 5
     store.truncate(name)
-    assert store.read(name).count() == 0
+    assert store.read(name).count() == 0 and store.exists(name)
+    store.upsert(name, rows)
+    assert store.read(name).count() == 2
+
+
+def metrics_of(spark, *days):
+    return spark.createDataFrame([(dt.date.fromisoformat(d), n) for n, d in enumerate(days)], "run_date DATE, runtime_seconds BIGINT")
+
+
+def test_versions_of_an_unbucketed_table_stay_for_a_while(spark, store):
+    name = "warehouse.daily_metrics"
+    for n in range(4):
+        store.upsert(name, metrics_of(spark, DAY1, f"2024-02-0{n + 1}"))
+    assert len(store._versions(name)) == 4 and store.read(name).count() == 5
+    store.kept_for = dt.timedelta(0)
+    store.upsert(name, metrics_of(spark, DAY1))
+    assert len(store._versions(name)) <= 2 and store.read(name).count() == 5
 
 
 def test_unfinished_version_is_ignored(spark, store, tmp_path):
-    store.upsert("warehouse.dim_user", spark.createDataFrame([("U1", "Rome")], "user_id STRING, city STRING"))
-    broken = tmp_path / "tables/warehouse/dim_user/v=00000099"
+    store.upsert("warehouse.daily_metrics", metrics_of(spark, DAY1))
+    broken = tmp_path / "tables/warehouse/daily_metrics/v=00000099"
     broken.mkdir(parents=True)
     (broken / "part-0.parquet").write_bytes(b"half a file")
-    assert store.read("warehouse.dim_user").count() == 1
+    assert store.read("warehouse.daily_metrics").count() == 1
+
+
+def bucket_files(store, name):
+    root = Path(store._bucket_root(name)[0])
+    return {p.name: sorted((f.name, f.stat().st_mtime_ns) for f in p.glob("*.parquet")) for p in root.glob("bucket=*")}
+
+
+def test_a_merge_rewrites_only_the_buckets_of_its_keys(spark, store):
+    name = "warehouse.dim_user"
+    store.buckets = 16
+    users = spark.range(2000).selectExpr("CONCAT('U', id) AS user_id", "'Rome' AS city")
+    store.upsert(name, users)
+    before = bucket_files(store, name)
+    assert len(before) == 16
+    store.buckets = 7  # a table keeps the number it was created with
+    few = spark.createDataFrame([("U5", "Oslo"), ("new", "Bern")], "user_id STRING, city STRING")
+    touched = {r.b for r in few.select(store._bucket(name).alias("b")).collect()}
+    written = store.upsert(name, few)
+    after = bucket_files(store, name)
+    changed = {int(b.removeprefix("bucket=")) for b in after if after[b] != before[b]}
+    assert changed == touched and written < 2000 / 3
+    assert store.read(name).count() == 2001
+    assert {r.user_id: r.city for r in store.read(name).filter("city <> 'Rome'").collect()} == {"U5": "Oslo", "new": "Bern"}
+    plan = store._touched(name, sorted(touched))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert store.upsert(name, few.limit(0)) == 0
+
+
+def test_a_merge_that_died_while_replacing_is_finished(spark, store, monkeypatch):
+    name = "warehouse.dim_user"
+    rows = spark.createDataFrame([(f"U{i}", "Rome") for i in range(50)], "user_id STRING, city STRING")
+    store.upsert(name, rows)
+    # The driver dies after the new rows were written aside: nothing was replaced yet, or half of it.
+    for wreck in (lambda root: None, lambda root: [f.unlink() for p in sorted(root.glob("bucket=*"))[:2] for f in p.glob("*")]):
+        moved = rows.withColumn("city", F.lit("Oslo"))
+        with monkeypatch.context() as m:
+            m.setattr(type(store), "_recover", lambda self, name: None)
+            store.upsert(name, moved)
+        wreck(Path(store._bucket_root(name)[0]))
+        TableStore(spark, store.root).recover()
+        assert {r.city for r in store.read(name).collect()} == {"Oslo"} and store.read(name).count() == 50
+        store.upsert(name, rows)
+    # One that died earlier never counted.
+    half = Path(store._pending(name, "part"))
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_bytes(b"half a file")
+    store.upsert(name, rows.limit(1))
+    assert store.read(name).count() == 50 and not half.exists()
+
+
+def test_a_hash_bucketed_history_keeps_its_versions(spark, store):
+    name = "warehouse.dim_product_history"
+
+    def snapshot(day, price, n):
+        return spark.range(n).selectExpr(
+            "CONCAT('P', id) AS product_id", "'n' AS product_name", "'c' AS category", "'b' AS brand",
+            f"CAST({price} AS DECIMAL(10,2)) AS current_price", "1 AS stock", "CAST(0 AS DECIMAL(12,2)) AS discount_percentage",
+            f"DATE '{day}' AS load_date")
+
+    for day, price, n in ((DAY1, 1, 30), (DAY2, 2, 3)):
+        rows = snapshot(day, price, n)
+        store.merge(name, rows, lambda current: dimensions.load_product_history(current, rows, day))
+    found = store.read(name)
+    assert found.count() == 33 and found.filter("effective_to IS NULL").count() == 30
+    assert {(r.product_id, str(r.effective_to)) for r in found.filter("effective_to IS NOT NULL").collect()} == \
+        {(f"P{i}", DAY2) for i in range(3)}
 
 
 def land(root, day, n_orders, n_events, products=None, orders=()):

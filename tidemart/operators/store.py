@@ -9,15 +9,20 @@ survives a lost executor or a killed driver:
   and renames folders, which is not atomic on object stores: a rerun of the day repairs
   what a driver left when it died in the middle of it;
 * ``keyed`` tables write each state as a new version folder; the newest version that
-  finished is the current one, and no folder is overwritten while it is being read.
+  finished is the current one, and no folder is overwritten while it is being read;
+* large ``keyed`` tables (``bucket_by``) are partitioned by a hash bucket of their key, and
+  a merge rewrites the buckets that its keys fall into.  The new rows are first written
+  aside: what a driver left when it died while replacing buckets is finished by the next
+  write or by ``recover``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import day_column
@@ -27,15 +32,18 @@ from tidemart.sources.landing import path_exists
 
 # How long a replaced version of a keyed table stays, for readers and views that hold it.
 KEPT_FOR = dt.timedelta(days=1)
+# Hash buckets of a new bucketed table; a table keeps the number it was created with.
+BUCKETS = 64
 
 
 class TableStore:
     """Tables under one root folder, laid out as ``<root>/<layer>/<table>``."""
 
-    def __init__(self, spark: SparkSession, root: str, kept_for: dt.timedelta = KEPT_FOR):
+    def __init__(self, spark: SparkSession, root: str, kept_for: dt.timedelta = KEPT_FOR, buckets: int = BUCKETS):
         self.spark = spark
         self.root = root.rstrip("/")
         self.kept_for = kept_for
+        self.buckets = buckets
 
     # ---- locations ---------------------------------------------------------------
     def contract(self, name: str) -> TableContract:
@@ -75,12 +83,17 @@ class TableStore:
 
     def exists(self, name: str) -> bool:
         """Whether the table has been written."""
+        if self.contract(name).bucket_by:
+            # A whole write leaves _SUCCESS, also one without rows; replaced buckets leave none.
+            return path_exists(self.spark, f"{self._bucket_root(name)[0]}/{{_SUCCESS,bucket=*}}")
         if self.contract(name).kind == "keyed":
             return bool(self._versions(name))
         return path_exists(self.spark, f"{self.path(name)}/*=*")
 
     def location(self, name: str) -> str | None:
         """The folder that holds the current rows, if any."""
+        if self.contract(name).bucket_by:
+            return self._bucket_root(name)[0] if self.exists(name) else None
         if self.contract(name).kind == "keyed":
             versions = self._versions(name)
             return self._version_path(name, versions[-1]) if versions else None
@@ -145,14 +158,20 @@ class TableStore:
             self._drop(f"{folder}/{contract.within}={within}" if contract.within else folder)
         return rows
 
-    def reload_days(self, name: str, df: DataFrame, days: list[dt.date] | None = None) -> int:
+    def reload_days(self, name: str, df: DataFrame, days: list[dt.date] | None = None,
+                    within: str | None = None) -> int:
         """Replace every day that occurs in ``df``, and empty those of ``days`` that do not.
 
-        The rebalance hint gathers each day into few files without letting a day that
-        holds most of the rows become one task: AQE splits large partitions again.
+        ``within`` names the writer where a table has one folder for each writer of a day:
+        only that writer's rows are replaced.  The rebalance hint gathers each day into few
+        files without letting a day that holds most of the rows become one task: AQE splits
+        large partitions again.
         """
         contract = self.contract(name)
-        rows = df.select(*contract.column_names).hint("rebalance", *contract.partitions)
+        if contract.within:
+            df = df.withColumn(contract.within, F.lit(within))
+        rows = df.select(*dict.fromkeys([*contract.column_names, *contract.partitions])) \
+            .hint("rebalance", *contract.partitions)
         if days is None:
             return self._overwrite_days(contract, rows)
         # The days written are observed in the same job; a calendar bounds their number.
@@ -161,7 +180,8 @@ class TableStore:
             observed, F.count(F.lit(1)).alias("rows"), F.collect_set(contract.partition).alias("days"),
             self._splits(contract).alias("splits")))
         for day in set(days) - set(observed.get["days"]):
-            self._drop(f"{self.path(name)}/{contract.partition}={day}")
+            folder = f"{self.path(name)}/{contract.partition}={day}"
+            self._drop(f"{folder}/{contract.within}={within}" if contract.within else folder)
         if not fresh:
             self._drop_stale(contract, observed.get["splits"])
         return observed.get["rows"]
@@ -200,6 +220,8 @@ class TableStore:
     def write_snapshot(self, name: str, df: DataFrame) -> int:
         """Make ``df`` the current state of a keyed table (``df`` may read the table)."""
         contract = self.contract(name)
+        if contract.bucket_by:
+            return self._replace_buckets(name, df, "whole")
         versions = self._versions(name)
         target = self._version_path(name, versions[-1] + 1 if versions else 1)
         observed = Observation()
@@ -213,13 +235,78 @@ class TableStore:
                 self._drop(self._version_path(name, old))
         return observed.get["rows"]
 
+    # ---- merging by key --------------------------------------------------------------
+    def merge(self, name: str, touching: DataFrame | None, change: Callable[[DataFrame], DataFrame]) -> int:
+        """Replace what the keys in ``touching`` may alter by ``change`` of it; returns the rows written.
+
+        A bucketed table is read and written only where those keys fall: ``change`` gets
+        the rows of their buckets and gives back all rows of these.  Other keyed tables
+        are changed as a whole.
+        """
+        if not self.contract(name).bucket_by:
+            return self.write_snapshot(name, change(self.read(name)))
+        self._recover(name)
+        found = touching.select(self._bucket(name).alias("bucket")).distinct()
+        touched = sorted(r.bucket for r in found.collect())  # a few numbers, at most one a bucket
+        if not touched:
+            return 0
+        return self._replace_buckets(name, change(self._touched(name, touched)), "part")
+
+    def recover(self) -> None:
+        """Finish the merges that a killed driver left between writing and replacing buckets."""
+        for name, contract in CONTRACTS.items():
+            if contract.bucket_by:
+                self._recover(name)
+
+    def _bucket_root(self, name: str) -> tuple[str, int]:
+        """The folder of the buckets and their number, which the folder's name keeps."""
+        numbers = [int(f.removeprefix("of=")) for f in self._folders(self.path(name)) if f.startswith("of=")]
+        number = numbers[0] if numbers else self.buckets
+        return f"{self.path(name)}/of={number}", number
+
+    def _bucket(self, name: str) -> Column:
+        keys = [F.col(c).cast("string") for c in self.contract(name).bucket_by]
+        return F.pmod(F.xxhash64(*keys), F.lit(self._bucket_root(name)[1])).cast("int")
+
+    def _touched(self, name: str, buckets: list[int]) -> DataFrame:
+        """The rows of some buckets; the list is a partition filter."""
+        contract = self.contract(name)
+        if not self.exists(name):
+            return self.spark.createDataFrame([], contract.ddl)
+        rows = self.spark.read.schema(f"{contract.ddl}, bucket INT").parquet(self._bucket_root(name)[0])
+        return rows.filter(F.col("bucket").isin(buckets)).select(*contract.column_names)
+
+    def _pending(self, name: str, extent: str) -> str:
+        return f"{self.root}/_pending/{self.contract(name).name}/{extent}"
+
+    def _replace_buckets(self, name: str, df: DataFrame, extent: str) -> int:
+        """Write rows aside, then let them replace their buckets (or the whole table)."""
+        self._recover(name)
+        observed = Observation()
+        df.select(*self.contract(name).column_names, self._bucket(name).alias("bucket")).hint("rebalance", "bucket") \
+            .observe(observed, F.count(F.lit(1)).alias("rows")) \
+            .write.mode("overwrite").partitionBy("bucket").parquet(self._pending(name, extent))
+        self._recover(name)
+        return observed.get["rows"]
+
+    def _recover(self, name: str) -> None:
+        """Let rows that were written aside replace their buckets; doing so again changes nothing."""
+        for extent, mode in (("whole", "static"), ("part", "dynamic")):
+            aside = self._pending(name, extent)
+            if path_exists(self.spark, f"{aside}/_SUCCESS"):
+                rows = self.spark.read.schema(f"{self.contract(name).ddl}, bucket INT").parquet(aside)
+                rows.write.mode("overwrite").option("partitionOverwriteMode", mode) \
+                    .partitionBy("bucket").parquet(self._bucket_root(name)[0])
+            if path_exists(self.spark, aside):
+                self._drop(aside)
+
     def upsert(self, name: str, incoming: DataFrame, keep: list[str] | None = None) -> int:
         keys = list(self.contract(name).key)
-        return self.write_snapshot(name, merge.upsert(self.read(name), incoming, keys, keep))
+        return self.merge(name, incoming, lambda current: merge.upsert(current, incoming, keys, keep))
 
     def insert_absent(self, name: str, incoming: DataFrame) -> int:
         keys = list(self.contract(name).key)
-        return self.write_snapshot(name, merge.insert_absent(self.read(name), incoming, keys))
+        return self.merge(name, incoming, lambda current: merge.insert_absent(current, incoming, keys))
 
     def truncate(self, name: str) -> None:
         """Empty a table."""

@@ -145,30 +145,32 @@ class _Run:
     def load_dimensions(self) -> None:
         store, day = self.store, self.day
         read = store.read
+        orders, products = read("staging.orders_clean"), read("staging.products_clean")
+        users, attributes = dimensions.users_of_day(orders, day), self.options["user_attributes"]
+        sold = staging.slice_of(products, day, "load_date").select("product_id")
+        # Each load: the keys it touches, and the new state of what they touch.
         loads = {
             # The calendar covers what arrives late: it is seeded once, and days found in the
             # slice are added.
-            "dim_date": lambda: dimensions.load_dim_date(
-                read("warehouse.dim_date"), day,
-                staging.slice_of(read("staging.orders_clean"), day, "load_date").select("order_ts"),
+            "dim_date": (None, lambda current: dimensions.load_dim_date(
+                current, day,
+                staging.slice_of(orders, day, "load_date").select("order_ts"),
                 staging.slice_of(read("staging.events_clean"), day, "load_date").select("event_ts"),
-                seed=not store.exists("warehouse.dim_date")),
-            "dim_user": lambda: dimensions.load_dim_user(
-                read("warehouse.dim_user"), read("staging.orders_clean"), day,
-                self.options["user_attributes"], self.now),
+                seed=not store.exists("warehouse.dim_date"))),
+            "dim_user": (
+                users if attributes is None else users.unionByName(attributes.select("user_id")),
+                lambda current: dimensions.load_dim_user(current, orders, day, attributes, self.now)),
         }
         if self.result.rows.get("staging.products_clean"):
-            loads["dim_product"] = lambda: dimensions.load_dim_product(
-                read("warehouse.dim_product"), read("staging.products_clean"), day, self.now)
-            loads["dim_product_history"] = lambda: dimensions.load_product_history(
-                read("warehouse.dim_product_history"), read("staging.products_clean"), day)
+            loads["dim_product"] = (sold, lambda current: dimensions.load_dim_product(current, products, day, self.now))
+            loads["dim_product_history"] = (sold, lambda current: dimensions.load_product_history(current, products, day))
 
-        def step(name: str, load: Callable[[], DataFrame]) -> Callable[[], None]:
+        def step(name: str, touching: DataFrame | None, change: Callable[[DataFrame], DataFrame]) -> Callable[[], None]:
             def action() -> None:
-                self.result.rows[f"warehouse.{name}"] = store.write_snapshot(f"warehouse.{name}", load())
+                self.result.rows[f"warehouse.{name}"] = store.merge(f"warehouse.{name}", touching, change)
             return action
 
-        self.log.together({f"load_{name}": step(name, load) for name, load in loads.items()})
+        self.log.together({f"load_{name}": step(name, *load) for name, load in loads.items()})
 
     def load_facts(self) -> None:
         read, day = self.store.read, self.day
@@ -217,6 +219,7 @@ def run_daily(
         "whole_file": whole_file, "strict": strict, "check_types": check_types,
         "user_attributes": user_attributes, "orders_range": orders_range, "events_range": events_range,
         "scratch": scratch})
+    store.recover()
     try:
         run.extract()
         run.transform()

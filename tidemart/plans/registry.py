@@ -393,12 +393,16 @@ def _stamped(df: DataFrame, at: str) -> DataFrame:
 
 @query
 def upsert_dim_user(t: DriverTables) -> DataFrame:
-    """Users in credit are known; all buyers are merged in, then all customers' attributes."""
+    """Users in credit are known; all buyers are merged into the stored table, with all customers' attributes."""
     known = _stamped(t.good_users.select(
         "user_id", F.lit("old").alias("city"), F.lit(None).cast("date").alias("signup_date"),
         F.lit(None).cast("string").alias("marketing_source")), "2001-01-01 00:00:00")
     attributes = t.dim_user.filter(F.col("marketing_source") != "FURNITURE")
-    return dimensions.load_dim_user(known, t.staged_orders, None, attributes, _seen())
+    store, table = TableStore(t.spark, scratch_dir(t.spark, "users"), buckets=16), "warehouse.dim_user"
+    store.write_snapshot(table, known)
+    touching = dimensions.users_of_day(t.staged_orders).unionByName(attributes.select("user_id"))
+    store.merge(table, touching, lambda current: dimensions.load_dim_user(current, t.staged_orders, None, attributes, _seen()))
+    return store.read(table)
 
 
 @query

@@ -13,7 +13,8 @@ class TableContract:
     """One warehouse table.
 
     ``kind`` says how it is written: ``append`` only grows, ``daily`` is replaced one
-    partition value at a time, ``keyed`` is a snapshot merged by key.
+    partition value at a time, ``keyed`` is a snapshot merged by key, bucket by bucket
+    where ``bucket_by`` names columns.
     """
 
     name: str
@@ -23,6 +24,7 @@ class TableContract:
     partition: str | None = None
     within: str | None = None  # second partition level: one value per writer of a day
     split: str | None = None  # second partition level that queries filter on, taken from the rows
+    bucket_by: tuple[str, ...] = ()  # keyed tables that are merged by hash bucket of these columns
     required: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
 
@@ -114,7 +116,7 @@ _ALL = [
         "warehouse.dim_user", "keyed",
         "user_id STRING, city STRING, signup_date DATE, marketing_source STRING, "
         "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ",
-        key=("user_id",), required=("user_id",),
+        key=("user_id",), bucket_by=("user_id",), required=("user_id",),
         max_length={"user_id": 256, "city": 256, "marketing_source": 256},
     ),
     TableContract(
@@ -122,14 +124,14 @@ _ALL = [
         "product_id STRING, product_name STRING, category STRING, brand STRING, "
         "current_price DECIMAL(10,2), stock INT, discount_percentage DECIMAL(12,2), effective_from DATE, effective_to DATE, "
         "created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ",
-        key=("product_id",), required=("product_id",),
+        key=("product_id",), bucket_by=("product_id",), required=("product_id",),
         max_length={"product_id": 256, "product_name": 512, "category": 256, "brand": 256},
     ),
     TableContract(
         "warehouse.dim_product_history", "keyed",
         "product_id STRING, product_name STRING, category STRING, brand STRING, "
         "current_price DECIMAL(10,2), stock INT, discount_percentage DECIMAL(12,2), effective_from DATE, effective_to DATE",
-        key=("product_id", "effective_from"), required=("product_id", "effective_from"),
+        key=("product_id", "effective_from"), bucket_by=("product_id",), required=("product_id", "effective_from"),
     ),
     TableContract(
         "warehouse.fact_orders", "daily",
