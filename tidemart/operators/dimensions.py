@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import date_key, day_column
 from tidemart.functions.exprs import DateLike
-from tidemart.operators.merge import insert_absent, merge_history, upsert
+from tidemart.operators.merge import insert_absent, merge_history, merge_snapshots, upsert
 from tidemart.operators.staging import slice_of
 
 USER_ATTRIBUTES = ["city", "signup_date", "marketing_source"]
@@ -96,7 +96,7 @@ def load_dim_user(dim_user: DataFrame, orders: DataFrame, run_date: DateLike = N
     return joined.select(*filled)
 
 
-def load_dim_product(dim_product: DataFrame, products: DataFrame, run_date: DateLike,
+def load_dim_product(dim_product: DataFrame, products: DataFrame, run_date: DateLike = None,
                      loaded_at: Column | None = None) -> DataFrame:
     """The product dimension with a day's staged products merged in (current values only).
 
@@ -114,7 +114,35 @@ def load_dim_product(dim_product: DataFrame, products: DataFrame, run_date: Date
                   keep=["effective_from", "effective_to", "created_at"])
 
 
+def catalogue_of(products: DataFrame) -> DataFrame:
+    """Many days' staged products as one catalogue: the latest values, ``load_date`` the first day seen.
+
+    Merged by ``load_dim_product``, it leaves what the days would leave one after the other.
+    """
+    values = [c for c in products.columns if c not in ("product_id", "load_date")]
+    latest = products.groupBy("product_id").agg(
+        F.max_by(F.struct(*values), "load_date").alias("_v"), F.min("load_date").alias("load_date"))
+    return latest.select("product_id", "_v.*", "load_date")
+
+
+def first_days(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Keys that ``dim`` does not have yet and the day that brings them: (key, known_from)."""
+    days = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min("load_date").alias("known_from"))
+    return days.join(dim.select(key), key, "left_anti")
+
+
+def since(dim: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """The keys of ``dim`` with the day from which a load could see them; old ones from the beginning."""
+    always = F.lit("0001-01-01").cast("date")
+    return dim.select(key).join(fresh, key, "left").select(key, F.coalesce("known_from", always).alias("known_from"))
+
+
 def load_product_history(history: DataFrame, products: DataFrame, run_date: DateLike) -> DataFrame:
     """The versioned product dimension with a day's staged products merged in."""
     day = slice_of(products, run_date, "load_date")
     return merge_history(history, day, ["product_id"], product_attributes(history, products), run_date)
+
+
+def load_product_snapshots(history: DataFrame, products: DataFrame) -> DataFrame:
+    """The versioned product dimension with many days' staged products merged in."""
+    return merge_snapshots(history, products, ["product_id"], product_attributes(history, products))

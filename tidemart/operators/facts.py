@@ -25,30 +25,31 @@ def _keyed_events(events: DataFrame, run_date: DateLike) -> DataFrame:
     return slice_of(events, run_date, "load_date").withColumn("date_id", date_key(F.col("event_ts")))
 
 
-def load_fact_orders(orders: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
-                     dim_user: DataFrame, run_date: DateLike = None) -> DataFrame:
-    """Staged orders whose date, product and user are all known.
+def known(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` the dimension has; with a ``known_from`` day, has on the day of their load.
 
-    Products and users are semi-joined without a hint: Spark broadcasts the key column
-    when it is measured to be small and otherwise shuffles, splitting skewed partitions.
+    Semi-joined without a hint: Spark broadcasts the key column when it is measured to be
+    small and otherwise shuffles, splitting skewed partitions.
     """
-    rows = (
-        _keyed_orders(orders, run_date)
-        .join(calendar(dim_date, "date_id"), "date_id", "left_semi")
-        .join(dim_product.select("product_id"), "product_id", "left_semi")
-        .join(dim_user.select("user_id"), "user_id", "left_semi")
-    )
+    if "known_from" not in dim.columns:
+        return rows.join(dim.select(key), key, "left_semi")
+    d = dim.select(F.col(key).alias("_key"), "known_from")
+    return rows.join(d, (rows[key] == d["_key"]) & (rows["load_date"] >= d["known_from"]), "left_semi")
+
+
+def load_fact_orders(orders: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
+                     dim_user: DataFrame, run_date: DateLike = None) -> DataFrame:
+    """Staged orders whose date, product and user are all known (``known``)."""
+    rows = _keyed_orders(orders, run_date).join(calendar(dim_date, "date_id"), "date_id", "left_semi")
+    rows = known(known(rows, dim_product, "product_id"), dim_user, "user_id")
     return rows.select(*CONTRACTS["warehouse.fact_orders"].column_names)
 
 
 def load_fact_events(events: DataFrame, dim_date: DataFrame, dim_user: DataFrame,
                      run_date: DateLike = None) -> DataFrame:
     """Staged events whose date and user are known; the product may be unknown or absent."""
-    rows = (
-        _keyed_events(events, run_date)
-        .join(calendar(dim_date, "date_id"), "date_id", "left_semi")
-        .join(dim_user.select("user_id"), "user_id", "left_semi")
-    )
+    rows = _keyed_events(events, run_date).join(calendar(dim_date, "date_id"), "date_id", "left_semi")
+    rows = known(rows, dim_user, "user_id")
     return rows.select(*CONTRACTS["warehouse.fact_events"].column_names)
 
 
@@ -56,11 +57,14 @@ def _misses(rows: DataFrame, dims: list[tuple[DataFrame, str]], source: str, rec
     """One bad-record row per missing dimension key, in one chain of flag joins.
 
     Each dimension contributes its (unique) key with a flag through a left join, so the
-    fact rows are read once however many dimensions are checked.
+    fact rows are read once however many dimensions are checked.  A key that a dimension
+    knows from a later day on (``known_from``) is missing before it.
     """
     flagged = rows
     for dim, key in dims:
-        flagged = flagged.join(dim.withColumn(f"_has_{key}", F.lit(True)), key, "left")
+        since = "known_from" if "known_from" in dim.columns else "DATE '0001-01-01'"
+        flagged = flagged.join(dim.select(key, F.expr(since).alias("_since")), key, "left") \
+            .withColumn(f"_has_{key}", F.when(F.col("load_date") >= F.col("_since"), True)).drop("_since")
     missing = F.array_compact(F.array(*[
         F.when(
             F.col(f"_has_{key}").isNull(),
@@ -79,13 +83,17 @@ def _misses(rows: DataFrame, dims: list[tuple[DataFrame, str]], source: str, rec
     )
 
 
+def _keys(dim: DataFrame, key: str) -> DataFrame:
+    return dim.select(key, *[c for c in dim.columns if c == "known_from"])
+
+
 def reject_fact_orders(orders: DataFrame, dim_date: DataFrame, dim_product: DataFrame,
                        dim_user: DataFrame, run_date: DateLike = None) -> DataFrame:
     """What ``load_fact_orders`` leaves out, one row per missing key."""
     dims = [
         (calendar(dim_date, "date_id"), "date_id"),
-        (dim_product.select("product_id"), "product_id"),
-        (dim_user.select("user_id"), "user_id"),
+        (_keys(dim_product, "product_id"), "product_id"),
+        (_keys(dim_user, "user_id"), "user_id"),
     ]
     return _misses(_keyed_orders(orders, run_date), dims, "staging.orders_clean", "order_id")
 
@@ -93,7 +101,7 @@ def reject_fact_orders(orders: DataFrame, dim_date: DataFrame, dim_product: Data
 def reject_fact_events(events: DataFrame, dim_date: DataFrame, dim_user: DataFrame,
                        run_date: DateLike = None) -> DataFrame:
     """What ``load_fact_events`` leaves out, one row per missing key."""
-    dims = [(calendar(dim_date, "date_id"), "date_id"), (dim_user.select("user_id"), "user_id")]
+    dims = [(calendar(dim_date, "date_id"), "date_id"), (_keys(dim_user, "user_id"), "user_id")]
     return _misses(_keyed_events(events, run_date), dims, "staging.events_clean", "event_id")
 
 

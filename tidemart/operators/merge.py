@@ -96,6 +96,23 @@ def history_from_snapshots(snapshots: DataFrame, keys: list[str], tracked: list[
     )
 
 
+def merge_snapshots(history: DataFrame, snapshots: DataFrame, keys: list[str], tracked: list[str],
+                    day: str = "load_date") -> DataFrame:
+    """``merge_history`` of many days' snapshots in one pass: the same versions as day by day.
+
+    An open version takes part as the snapshot of the day it began; a snapshot of that very
+    day replaces it.  Snapshots from before an open version are left out: its past is closed.
+    """
+    is_open = F.col("effective_to").isNull()
+    start = history.filter(is_open).select(*keys, *tracked, F.col("effective_from").alias(day), F.lit(0).alias("_rank"))
+    fresh = snapshots.select(*keys, *tracked, day, F.lit(1).alias("_rank"))
+    began = start.select(*keys, F.col(day).alias("_began"))
+    fresh = fresh.join(began, keys, "left").filter(F.col("_began").isNull() | (F.col(day) >= F.col("_began"))).drop("_began")
+    states = start.unionByName(fresh).groupBy(*keys, day).agg(F.max_by(F.struct(*tracked), "_rank").alias("_state"))
+    versions = history_from_snapshots(states.select(*keys, day, "_state.*"), keys, tracked, day)
+    return history.filter(~is_open).unionByName(versions.select(*history.columns))
+
+
 def as_of_version(facts: DataFrame, history: DataFrame, key: str, at: str) -> DataFrame:
     """Each fact row with the version of ``key`` valid at its ``at`` time (inner join).
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from functools import reduce
 
@@ -96,10 +97,12 @@ def _found(name: str, count: Column, what: str, details: Column) -> Column:
 def check_report(orders: DataFrame, events: DataFrame, run_date: DateLike = None,
                  as_of: Column | None = None, only: Iterable[str] | None = None,
                  orders_range: tuple[int, int] = (ORDERS_MIN, ORDERS_MAX),
-                 events_range: tuple[int, int] = (EVENTS_MIN, EVENTS_MAX)) -> DataFrame:
+                 events_range: tuple[int, int] = (EVENTS_MIN, EVENTS_MAX),
+                 days: list[dt.date] | None = None) -> DataFrame:
     """The checks, one row per check and day (every day present, or just ``run_date``).
 
-    A given ``run_date`` is reported even when it has no rows at all.  ``only`` names the
+    A given ``run_date`` is reported even when it has no rows at all, and so is each of
+    ``days``, which the rows are expected to be filtered to.  ``only`` names the
     checks to run; counts that none of them needs are pruned from the plan.  The accepted
     volumes default to the fixed ones; a larger shop passes its own.
     """
@@ -110,6 +113,8 @@ def check_report(orders: DataFrame, events: DataFrame, run_date: DateLike = None
     if run_date is not None:
         spark = orders.sparkSession
         parts.append(spark.range(1).select(day_column(run_date).alias("run_date")))
+    if days is not None:
+        parts.append(orders.sparkSession.createDataFrame([(d,) for d in days], "run_date DATE"))
     # Stacking the small per-day counts and summing them needs no join.
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     n = {c: F.col(c) for c in _COUNTS}
@@ -142,6 +147,11 @@ def failures(report: DataFrame) -> DataFrame:
     return report.filter("failed").select(*CONTRACTS["audit.dq_failures"].column_names)
 
 
+def gate(report: DataFrame) -> DataFrame:
+    """Whether all checks of a day passed: (run_date, passed), the gate as a column."""
+    return report.groupBy("run_date").agg(F.bool_and(~F.col("failed")).alias("passed"))
+
+
 def duplicate_ids(df: DataFrame, key: str, day: str = "load_date") -> DataFrame:
     """Ids that occur more than once within a day, with their counts."""
     return df.groupBy(day, key).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)

@@ -244,13 +244,7 @@ def _finish(store: TableStore, run: _Run) -> None:
 
 def _write_metrics(store: TableStore, result: RunResult, log: _RunLog) -> None:
     """The day's metrics row and the run log: a handful of rows, whatever the day's size."""
-    layers = {
-        "raw_orders_count": "raw.orders_json", "staging_orders_count": "staging.orders_clean",
-        "fact_orders_count": "warehouse.fact_orders", "raw_events_count": "raw.events_csv",
-        "staging_events_count": "staging.events_clean", "fact_events_count": "warehouse.fact_events",
-        "dq_failed_count": "audit.dq_failures",
-    }
-    row = metrics.daily_metrics({m: store.read(t) for m, t in layers.items()}, result.run_date, log.seconds)
+    row = metrics.daily_metrics({m: store.read(t) for m, t in metrics.LAYERS.items()}, result.run_date, log.seconds)
     log.run("compute_metrics", lambda: store.upsert("warehouse.daily_metrics", row))
     store.append("audit.pipeline_runs",
                  store.spark.createDataFrame(log.rows, CONTRACTS["audit.pipeline_runs"].ddl))

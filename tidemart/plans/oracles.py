@@ -480,6 +480,30 @@ ORACLES: dict[str, str] = {
         SELECT 'staging.events_clean' AS source_table, event_id AS record_id, 'user_id not in dimension' AS failure_reason,
                user_id AS failed_value, {day_text('load_date')} AS run_date
         FROM ev WHERE user_id NOT IN (SELECT user_id FROM good)"""),
+    "backfill_days": with_ctes("latest ev", f"""
+        , o AS (
+            SELECT *, DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER) AS day FROM latest),
+        good_o AS (SELECT * FROM o WHERE day <> DATE '2024-01-15'),
+        w(week, day) AS (VALUES (1, DATE '2024-01-01'), (2, DATE '2024-01-08'), (4, DATE '2024-01-22'), (5, DATE '2024-01-29')),
+        cat AS (
+            SELECT CAST(p_partkey AS VARCHAR) AS product_id, day, p_size,
+                   CAST(ROUND(CAST(p_retailprice AS DECIMAL(14,2)) * 100) AS BIGINT) + CASE WHEN p_size <= 5 THEN 100 * week ELSE 0 END AS cents
+            FROM part JOIN w ON p_size <= 10 * week),
+        p AS (SELECT product_id, MIN(day) AS since, arg_max(cents, day) AS cents FROM cat GROUP BY 1),
+        u AS (SELECT user_id, MIN(day) AS since FROM good_o GROUP BY 1),
+        v AS (
+            SELECT product_id, day, cents, LEAD(day) OVER (PARTITION BY product_id ORDER BY day) AS until
+            FROM (SELECT *, LAG(cents) OVER (PARTITION BY product_id ORDER BY day) AS was FROM cat) WHERE was IS DISTINCT FROM cents),
+        r AS (
+            SELECT 'order' AS kind, order_id AS id, user_id, product_id, day, CAST(NULL AS DATE) AS until, quantity * price_cents AS cents
+            FROM good_o JOIN p USING (product_id) WHERE day >= since
+            UNION ALL SELECT 'event', event_id, user_id, NULLIF(product_id, ''), load_date, NULL, NULL
+            FROM ev JOIN u USING (user_id) WHERE load_date >= since AND load_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'
+              AND load_date <> DATE '2024-01-15'
+            UNION ALL SELECT 'product', product_id, NULL, NULL, since, NULL, cents FROM p
+            UNION ALL SELECT 'version', product_id, NULL, NULL, day, until, cents FROM v
+            UNION ALL SELECT 'user', user_id, NULL, NULL, NULL, NULL, NULL FROM u)
+        SELECT kind, id, user_id, product_id, {day_text('day')} AS day, {day_text('until')} AS until, {money('cents')} AS amount FROM r"""),
     "mv_daily_orders_summary": with_ctes("fact", f"""
         SELECT date_id, COUNT(*) AS order_count, {money('SUM(cents)')} AS daily_revenue,
                CAST(SUM(quantity) AS BIGINT) AS units_sold FROM fact GROUP BY date_id"""),

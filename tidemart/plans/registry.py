@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 from tidemart.functions import exprs, raw_line
 from tidemart.operators import dimensions, facts, merge, metrics, quality, staging
 from tidemart.operators.store import TableStore
-from tidemart.plans import customers, funnel, health, products, revenue
+from tidemart.plans import backfill, customers, funnel, health, products, revenue
 from tidemart.plans.warehouse import StoredWarehouse
 from tidemart.plans.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, DriverTables, money
 from tidemart.schemas import CONTRACTS
@@ -21,6 +22,9 @@ from tidemart.sources import documents, landing
 from tidemart.streaming import ingest
 
 TENURE_AS_OF = "1995-12-31"
+# The days that landed files are spread over, and the one whose orders fail a check.
+JANUARY = ("2024-01-01", "2024-01-30")
+FAILING_DAY = "2024-01-15"
 QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {}
 
 EVENT_FIELDS = ["event_id", "user_id", "product_id", "event_type", "event_ts"]
@@ -518,6 +522,65 @@ def reload_day_idempotent(t: DriverTables) -> DataFrame:
     return store.read(table).select(*EVENT_FIELDS, "load_date")
 
 
+def _land_january(t: DriverTables, root: str) -> None:
+    """All order lines and events as thirty days of landed files, with a catalogue each Monday.
+
+    On Monday the 15th some orders have negative prices.  Catalogues grow from week to
+    week, and the smallest parts cost more each time.
+    """
+    text = _event_text(t).withColumn("date", F.to_date("event_ts"))
+    text.write.partitionBy("date").csv(f"{root}/incoming/events", header=True)
+    day = F.date_add(F.lit(JANUARY[0]).cast("date"), (F.col("l_orderkey") % 30).cast("int"))
+    lines = t.latest_lines.withColumn("date", day)
+    refunded = (F.col("date") == F.lit(FAILING_DAY)) & (F.col("l_returnflag") == "R")
+    price = F.when(refunded, -F.col("l_extendedprice")).otherwise(F.col("l_extendedprice"))
+    doc = t.order_document(price=price, timestamp=F.concat(F.col("date").cast("string"), F.lit("T12:00:00")))
+    # The first line of an order arrives twice.
+    copies = F.explode(F.when(F.col("l_linenumber") == 1, F.array(doc, doc)).otherwise(F.array(doc)))
+    lines.select(copies.alias("value"), "date").write.partitionBy("date").text(f"{root}/incoming/orders")
+    for week, monday in enumerate(("2024-01-01", "2024-01-08", FAILING_DAY, "2024-01-22", "2024-01-29"), 1):
+        price = money(F.col("p_retailprice"), "decimal(12,2)") + F.when(F.col("p_size") <= 5, week).otherwise(0)
+        part = t.table("part").filter(F.col("p_size") <= 10 * week)
+        part.select(F.to_json(F.struct(
+            F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("product_name"),
+            F.col("p_type").alias("category"), F.col("p_brand").alias("brand"), price.alias("current_price"))).alias("value")) \
+            .write.text(landing.landing_path(root, "products", monday))
+
+
+def _loaded_rows(store: TableStore) -> DataFrame:
+    """Facts and dimensions of a stored warehouse in one shape."""
+    nothing = F.lit(None)
+    parts = [
+        store.read("warehouse.fact_orders").select(
+            F.lit("order").alias("kind"), F.col("order_id").alias("id"), "user_id", "product_id",
+            F.col("load_date").alias("day"), nothing.cast("date").alias("until"), F.col("revenue").alias("amount")),
+        store.read("warehouse.fact_events").select(
+            F.lit("event"), "event_id", "user_id", "product_id", "load_date", nothing.cast("date"), nothing.cast("decimal(12,2)")),
+        store.read("warehouse.dim_product").select(
+            F.lit("product"), "product_id", nothing.cast("string"), nothing.cast("string"), "effective_from",
+            "effective_to", F.col("current_price").cast("decimal(12,2)")),
+        store.read("warehouse.dim_product_history").select(
+            F.lit("version"), "product_id", nothing.cast("string"), nothing.cast("string"), "effective_from",
+            "effective_to", F.col("current_price").cast("decimal(12,2)")),
+        store.read("warehouse.dim_user").select(
+            F.lit("user"), "user_id", nothing.cast("string"), nothing.cast("string"), nothing.cast("date"),
+            nothing.cast("date"), nothing.cast("decimal(12,2)")),
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+@query
+def backfill_days(t: DriverTables) -> DataFrame:
+    """Thirty landed days loaded in one plan; the day that fails its checks is left out."""
+    root = scratch_dir(t.spark, "january")
+    _land_january(t, root)
+    store = TableStore(t.spark, f"{root}/tables", buckets=16)
+    everything = (1, 2**62)
+    backfill.backfill_days(store, root, *JANUARY, as_of=dt.datetime(2024, 2, 1), orders_range=everything,
+                           events_range=everything, scratch=f"{root}/scratch")
+    return _loaded_rows(store)
+
+
 # ---- analytics -------------------------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ such file must fit in a task.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,31 @@ def landing_path(root: str, kind: str, run_date: DateLike) -> str:
     return f"{base}/{run_date}"
 
 
+def landed_days(spark: SparkSession, root: str, kind: str, first: DateLike, last: DateLike) -> dict[str, str]:
+    """The days from ``first`` to ``last`` that have landed, with their paths; one folder listing.
+
+    A folder may also be named ``<column>=<day>``, as Spark writes partitions.  A catalogue
+    snapshot counts on its day of the week only.
+    """
+    jvm = spark.sparkContext._jvm
+    parent = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/incoming/{kind}")
+    fs = parent.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(parent)] if fs.exists(parent) else []
+    paths = {name.rpartition("=")[2]: f"{root.rstrip('/')}/incoming/{kind}/{name}" for name in names}
+    day, stop, found = dt.date.fromisoformat(str(first)), dt.date.fromisoformat(str(last)), {}
+    while day <= stop:
+        name = landing_path(root, kind, day).rsplit("/", 1)[1]
+        if name in paths and (kind != "products" or is_weekly_snapshot_day(day)):
+            found[str(day)] = paths[name]
+        day += dt.timedelta(days=1)
+    return found
+
+
+def day_of_path(path: Column, kind: str) -> Column:
+    """The day in the path of a landed file."""
+    return F.to_date(F.regexp_extract(path, rf"/incoming/{kind}/(?:[^/=]+(?:=|%3D))?(?:products_)?(\d{{4}}-\d{{2}}-\d{{2}})(?:\.json)?(?:/|$)", 1))
+
+
 def is_weekly_snapshot_day(run_date: dt.date | str) -> bool:
     """Catalogue snapshots land on Mondays."""
     return dt.date.fromisoformat(str(run_date)).weekday() == 0
@@ -69,7 +95,7 @@ def documents(text: Column) -> Column:
     )
 
 
-def read_json_documents(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+def read_json_documents(spark: SparkSession, path: str | list[str], whole_file: bool = False) -> DataFrame:
     """JSON files -> (file_name, raw_json), one row per document."""
     lines = spark.read.text(path, wholetext=whole_file)
     return lines.select(
@@ -140,38 +166,58 @@ def read_events(
     """One day's event CSV as ``raw.events_csv`` rows; columns are found by header name."""
     if not path_exists(spark, path):
         return _empty(spark, "raw.events_csv")
+    return _events_of(spark, [path], lambda file: day_column(run_date), ingested_at)
+
+
+def _events_of(spark: SparkSession, paths: list[str], day: Callable[[Column], Column],
+               ingested_at: Column | None) -> DataFrame:
+    """Event CSV files under some paths; ``day`` gives the run date of a file path."""
     parts = []
-    for header, files in sorted(files_by_header(spark, path).items()):
+    for header, files in sorted(files_by_header(spark, paths).items()):
         # All columns are read as text: no inference pass over the data.
         rows = spark.read.csv(files, header=True, escape='"', enforceSchema=False)
         tagged = rows.select("*", F.col("_metadata.file_path").alias("_file"))
-        parts.append(shape_events(tagged, F.col("_file"), run_date, ingested_at, rows.columns))
+        parts.append(shape_events(tagged, F.col("_file"), day(F.col("_file")), ingested_at, rows.columns))
     return reduce(DataFrame.unionByName, parts) if parts else _empty(spark, "raw.events_csv")
 
 
-def files_by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """The CSV files under a path by their first line, so that each group has one column order.
+def files_by_header(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The CSV files under some paths by their first line, so that each group has one column order.
 
-    Only names and first lines reach the driver; a day has one file per delivery.
+    The first lines are read in tasks: rows of a file's first block come in their order, so
+    the first is the one with the least running number, kept by a partial aggregation.
+    Only names and distinct first lines reach the driver; a day has one file per delivery.
+    The pass reads lines without parsing them.
     """
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    hadoop = jvm.org.apache.hadoop
+    lines = spark.read.option("recursiveFileLookup", True).text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("nth")).filter("start = 0")
+    first = lines.groupBy("file").agg(F.min_by("value", "nth").alias("header"))
+    # Metadata paths are URL-encoded; a byte order mark is not part of the first column's name.
+    first = first.select(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B"))).alias("file"), F.ltrim("header", F.lit("\ufeff")).alias("header"))
     groups: dict[str, list[str]] = {}
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).filter("length > 0").select("path").collect()
-    codecs = hadoop.io.compress.CompressionCodecFactory(conf)
-    for row in files:
-        target = hadoop.fs.Path(row.path)
-        stream = target.getFileSystem(conf).open(target)
-        codec = codecs.getCodec(target)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
-            codec.createInputStream(stream) if codec is not None else stream, "UTF-8"))
-        try:
-            groups.setdefault((reader.readLine() or "").lstrip("\ufeff"), []).append(row.path)
-        finally:
-            reader.close()
+    for row in first.collect():
+        groups.setdefault(row.header, []).append(row.file)
     return groups
 
 
+def read_days(spark: SparkSession, root: str, kind: str, first: DateLike, last: DateLike, *,
+              whole_file: bool = False, ingested_at: Column | None = None) -> DataFrame:
+    """All landed days from ``first`` to ``last`` in one scan, as rows of the kind's raw table.
+
+    The day of a row comes from its file's path.  Kinds: orders, events, products.
+    """
+    table = {"orders": "raw.orders_json", "events": "raw.events_csv", "products": "raw.products_json"}[kind]
+    paths = list(landed_days(spark, root, kind, first, last).values())
+    if not paths:
+        return _empty(spark, table)
+    if kind == "events":
+        return _events_of(spark, paths, lambda file: day_of_path(file, kind), ingested_at)
+    rows = read_json_documents(spark, paths, whole_file).withColumn("run_date", day_of_path(F.col("file_name"), kind))
+    stamp = _stamp(ingested_at).alias("ingested_at" if kind == "orders" else "fetched_at")
+    return rows.select("*", stamp).select(*CONTRACTS[table].column_names)
+
+
 def first_available(*candidates: DataFrame) -> DataFrame:
     """The first source that has rows (file first, then the alternatives)."""
     for candidate in candidates[:-1]:
