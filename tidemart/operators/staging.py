@@ -171,12 +171,21 @@ def stage_orders(
 
     Revenue is quantity times the price as delivered; only the stored result is rounded.
     """
+    docs = order_documents(slice_of(raw, run_date))
+    return type_orders(latest_orders(docs, tiebreak), strict=strict, loaded_at=loaded_at)
+
+
+def type_orders(latest: DataFrame, *, strict: bool = False, loaded_at: Column | None = None,
+                carry: list[str] | None = None) -> Staged:
+    """Typed orders from the latest document of each, whose fields are text columns ``doc_<field>``.
+
+    Columns named in ``carry`` come along in ``typed`` as a struct ``_carried``.
+    """
     table = "staging.orders_clean"
     d = {f: F.col(f"doc_{f}") for f in ORDER_FIELDS}
     quantity = d["quantity"].try_cast("int")
     exact_price = d["price"].try_cast("decimal(26,12)")
-    docs = order_documents(slice_of(raw, run_date))
-    typed = latest_orders(docs, tiebreak).select(
+    typed = latest.select(
         "raw_json", "doc_quantity", "doc_price", "doc_timestamp",
         d["order_id"].alias("order_id"), d["user_id"].alias("user_id"),
         d["product_id"].alias("product_id"),
@@ -187,6 +196,7 @@ def stage_orders(
         d["status"].alias("status"),
         *_stamps(loaded_at),
         F.col("run_date").alias("load_date"),
+        *([F.struct(*carry).alias("_carried")] if carry else []),
     )
     problems = [
         _problem(F.col("user_id").isNull(), "user_id missing", F.lit(None)),

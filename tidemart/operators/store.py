@@ -10,8 +10,8 @@ survives a lost executor or a killed driver:
   what a driver left when it died in the middle of it;
 * ``keyed`` tables write each state as a new version folder; the newest version that
   finished is the current one, and no folder is overwritten while it is being read;
-* large ``keyed`` tables (``bucket_by``) are partitioned by a hash bucket of their key, and
-  a merge rewrites the buckets that its keys fall into.  The new rows are first written
+* large ``keyed`` tables (``bucket_by``) are partitioned by a hash bucket of their key, some
+  by day and bucket, and a merge rewrites the buckets that its keys fall into.  The new rows are first written
   aside: what a driver left when it died while replacing buckets is finished by the next
   write or by ``recover``.
 """
@@ -85,7 +85,7 @@ class TableStore:
         """Whether the table has been written."""
         if self.contract(name).bucket_by:
             # A whole write leaves _SUCCESS, also one without rows; replaced buckets leave none.
-            return path_exists(self.spark, f"{self._bucket_root(name)[0]}/{{_SUCCESS,bucket=*}}")
+            return path_exists(self.spark, f"{self._bucket_root(name)[0]}/{{_SUCCESS,*=*}}")
         if self.contract(name).kind == "keyed":
             return bool(self._versions(name))
         return path_exists(self.spark, f"{self.path(name)}/*=*")
@@ -137,11 +137,21 @@ class TableStore:
         writer.parquet(self.path(name))
         return observed.get["rows"]
 
+    def with_deliveries(self, name: str) -> DataFrame:
+        """All rows of a raw table with the name of their delivery."""
+        contract = self.contract(name)
+        return self.spark.read.schema(f"{contract.ddl}, {contract.within} STRING").parquet(self.path(name))
+
+    def deliveries(self, name: str, days: list[dt.date]) -> set[tuple[dt.date, str]]:
+        """(day, delivery) of a raw table, from the folder names of some days."""
+        contract = self.contract(name)
+        return {(day, folder.removeprefix(f"{contract.within}=")) for day in days
+                for folder in self._folders(f"{self.path(name)}/{contract.partition}={day}")}
+
     def delivered(self, name: str, delivery: str) -> DataFrame:
         """The rows of one delivery, with the contract's columns."""
         contract = self.contract(name)
-        rows = self.spark.read.schema(f"{contract.ddl}, {contract.within} STRING").parquet(self.path(name))
-        return rows.filter(F.col(contract.within) == delivery).select(*contract.column_names)
+        return self.with_deliveries(name).filter(F.col(contract.within) == delivery).select(*contract.column_names)
 
     def reload_day(self, name: str, df: DataFrame, day: dt.date | str, within: str | None = None) -> int:
         """Replace one day of a daily table by ``df``, also when ``df`` is empty."""
@@ -186,6 +196,31 @@ class TableStore:
             self._drop_stale(contract, observed.get["splits"])
         return observed.get["rows"]
 
+    def replace_splits(self, name: str, df: DataFrame, touched: list[tuple[dt.date, int]]) -> int:
+        """Replace some second-level folders of a daily table by ``df``, which may read them.
+
+        The rows are written aside first, so that a driver that dies here leaves either the
+        old folders or, after ``recover``, the new ones.
+        """
+        contract, observed = self.contract(name), Observation()
+        self._recover_splits(name)
+        df.select(*contract.column_names).hint("rebalance", *contract.partitions) \
+            .observe(observed, F.count(F.lit(1)).alias("rows"), self._splits(contract).alias("splits")) \
+            .write.mode("overwrite").partitionBy(*contract.partitions).parquet(self._pending(name, "splits"))
+        self._recover_splits(name)
+        written = {(s["day"], s["part"]) for s in observed.get["splits"] or ()}
+        for day, part in touched:
+            if (str(day), str(part)) not in written:
+                self._drop(f"{self.path(name)}/{contract.partition}={day}/{contract.split}={part}")
+        return observed.get["rows"]
+
+    def _recover_splits(self, name: str) -> None:
+        contract, aside = self.contract(name), self._pending(name, "splits")
+        if path_exists(self.spark, f"{aside}/_SUCCESS"):
+            self._day_writer(contract, self.spark.read.schema(contract.ddl).parquet(aside).select(*contract.column_names))
+        if path_exists(self.spark, aside):
+            self._drop(aside)
+
     @staticmethod
     def _splits(contract: TableContract):
         """The (day, second level) pairs written; one to a few for each day."""
@@ -246,17 +281,18 @@ class TableStore:
         if not self.contract(name).bucket_by:
             return self.write_snapshot(name, change(self.read(name)))
         self._recover(name)
-        found = touching.select(self._bucket(name).alias("bucket")).distinct()
-        touched = sorted(r.bucket for r in found.collect())  # a few numbers, at most one a bucket
+        touched = self.touched(name, touching)
         if not touched:
             return 0
-        return self._replace_buckets(name, change(self._touched(name, touched)), "part")
+        return self._replace_buckets(name, change(self.read_touched(name, touched)), "part")
 
     def recover(self) -> None:
         """Finish the merges that a killed driver left between writing and replacing buckets."""
         for name, contract in CONTRACTS.items():
             if contract.bucket_by:
                 self._recover(name)
+            elif contract.split:
+                self._recover_splits(name)
 
     def _bucket_root(self, name: str) -> tuple[str, int]:
         """The folder of the buckets and their number, which the folder's name keeps."""
@@ -265,16 +301,35 @@ class TableStore:
         return f"{self.path(name)}/of={number}", number
 
     def _bucket(self, name: str) -> Column:
-        keys = [F.col(c).cast("string") for c in self.contract(name).bucket_by]
+        contract = self.contract(name)
+        keys = [F.col(c).cast("string") for c in contract.bucket_by]
+        if contract.spread_by:
+            keys.append(F.when(F.coalesce(*keys).isNull(), F.col(contract.spread_by)))
         return F.pmod(F.xxhash64(*keys), F.lit(self._bucket_root(name)[1])).cast("int")
 
-    def _touched(self, name: str, buckets: list[int]) -> DataFrame:
-        """The rows of some buckets; the list is a partition filter."""
+    def touched(self, name: str, keys: DataFrame) -> dict[dt.date | None, list[int]]:
+        """The buckets that keys of a bucketed table fall into, by day (None where it has no days).
+
+        A few numbers: at most one for each bucket of each day.
+        """
+        day = self.contract(name).partition
+        found = keys.select((F.col(day) if day else F.lit(None).cast("date")).alias("day"), self._bucket(name).alias("bucket"))
+        buckets: dict[dt.date | None, list[int]] = {}
+        for row in sorted(found.distinct().collect(), key=lambda r: (str(r.day), r.bucket)):
+            buckets.setdefault(row.day, []).append(row.bucket)
+        return buckets
+
+    def read_touched(self, name: str, touched: dict[dt.date | None, list[int]]) -> DataFrame:
+        """The rows of some buckets; days and buckets are partition filters."""
         contract = self.contract(name)
         if not self.exists(name):
             return self.spark.createDataFrame([], contract.ddl)
         rows = self.spark.read.schema(f"{contract.ddl}, bucket INT").parquet(self._bucket_root(name)[0])
-        return rows.filter(F.col("bucket").isin(buckets)).select(*contract.column_names)
+        wanted = F.lit(False)
+        for day, buckets in touched.items():
+            own = F.col("bucket").isin(buckets)
+            wanted = wanted | (own if day is None else own & (F.col(contract.partition) == F.lit(day)))
+        return rows.filter(wanted).select(*contract.column_names)
 
     def _pending(self, name: str, extent: str) -> str:
         return f"{self.root}/_pending/{self.contract(name).name}/{extent}"
@@ -282,10 +337,11 @@ class TableStore:
     def _replace_buckets(self, name: str, df: DataFrame, extent: str) -> int:
         """Write rows aside, then let them replace their buckets (or the whole table)."""
         self._recover(name)
-        observed = Observation()
-        df.select(*self.contract(name).column_names, self._bucket(name).alias("bucket")).hint("rebalance", "bucket") \
+        contract, observed = self.contract(name), Observation()
+        levels = [*contract.partitions, "bucket"]
+        df.select(*contract.column_names, self._bucket(name).alias("bucket")).hint("rebalance", *levels) \
             .observe(observed, F.count(F.lit(1)).alias("rows")) \
-            .write.mode("overwrite").partitionBy("bucket").parquet(self._pending(name, extent))
+            .write.mode("overwrite").partitionBy(*levels).parquet(self._pending(name, extent))
         self._recover(name)
         return observed.get["rows"]
 
@@ -294,9 +350,10 @@ class TableStore:
         for extent, mode in (("whole", "static"), ("part", "dynamic")):
             aside = self._pending(name, extent)
             if path_exists(self.spark, f"{aside}/_SUCCESS"):
-                rows = self.spark.read.schema(f"{self.contract(name).ddl}, bucket INT").parquet(aside)
+                contract = self.contract(name)
+                rows = self.spark.read.schema(f"{contract.ddl}, bucket INT").parquet(aside)
                 rows.write.mode("overwrite").option("partitionOverwriteMode", mode) \
-                    .partitionBy("bucket").parquet(self._bucket_root(name)[0])
+                    .partitionBy(*contract.partitions, "bucket").parquet(self._bucket_root(name)[0])
             if path_exists(self.spark, aside):
                 self._drop(aside)
 

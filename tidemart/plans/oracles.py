@@ -504,6 +504,12 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT 'version', product_id, NULL, NULL, day, until, cents FROM v
             UNION ALL SELECT 'user', user_id, NULL, NULL, NULL, NULL, NULL FROM u)
         SELECT kind, id, user_id, product_id, {day_text('day')} AS day, {day_text('until')} AS until, {money('cents')} AS amount FROM r"""),
+    "stream_to_facts": with_ctes("latest prod", f"""
+        , o AS (SELECT *, DATE '2024-01-01' + CAST(l_orderkey % 5 AS INTEGER) AS day FROM latest)
+        SELECT order_id, user_id, product_id, {day_key('day + 1')} AS date_id, quantity,
+               {money('quantity * price_cents')} AS revenue, {stamp("day + INTERVAL 1 DAY + INTERVAL 12 HOUR")} AS order_ts, status,
+               {day_text('day')} AS load_date
+        FROM o WHERE product_id IN (SELECT product_id FROM prod WHERE p_size <= 25)"""),
     "mv_daily_orders_summary": with_ctes("fact", f"""
         SELECT date_id, COUNT(*) AS order_count, {money('SUM(cents)')} AS daily_revenue,
                CAST(SUM(quantity) AS BIGINT) AS units_sold FROM fact GROUP BY date_id"""),

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidemart.functions import exprs, raw_line
 from tidemart.operators import dimensions, facts, merge, metrics, quality, staging
 from tidemart.operators.store import TableStore
-from tidemart.plans import backfill, customers, funnel, health, products, revenue
+from tidemart.plans import backfill, customers, funnel, health, increments, products, revenue
 from tidemart.plans.warehouse import StoredWarehouse
 from tidemart.plans.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, DriverTables, money
 from tidemart.schemas import CONTRACTS
@@ -893,6 +893,46 @@ def stream_then_batch_orders(t: DriverTables) -> DataFrame:
     return store.read("staging.orders_clean").drop("created_at", "updated_at")
 
 
+@query
+def stream_to_facts(t: DriverTables) -> DataFrame:
+    """Stream every order line as pending, merge corrections of a third in batch, stream those of the rest.
+
+    The facts follow by key.  Corrections are of a later day, so that they also move between
+    the fact table's folders.
+    """
+    root = scratch_dir(t.spark, "stream")
+    store = TableStore(t.spark, f"{root}/tables", buckets=16)
+    listed = t.listed_products.withColumn("load_date", F.lit(JANUARY[0]).cast("date"))
+    store.merge("warehouse.dim_product", listed, lambda current: dimensions.load_dim_product(current, listed, loaded_at=_seen()))
+    day = F.date_add(F.lit(JANUARY[0]).cast("date"), (F.col("l_orderkey") % 5).cast("int"))
+    lines = t.latest_lines.withColumn("day", day)
+
+    def documents_of(rows: DataFrame, hour: int, status: Column, days: int) -> DataFrame:
+        doc = t.order_document(status=status, day=F.col("day").cast("string"), hour=F.lit(hour),
+                               timestamp=F.concat(F.date_add("day", days).cast("string"), F.lit("T12:00:00")))
+        return rows.select(doc.alias("value"))
+
+    def delivered(raw: DataFrame) -> DataFrame:
+        """Raw rows with the load day and the hour of arrival that the documents name."""
+        hour = F.get_json_object("raw_json", "$.hour").cast("int")
+        return raw.withColumn("ingested_at", F.timestamp_add("HOUR", hour, F.lit(JANUARY[0]).cast("timestamp_ntz"))) \
+            .withColumn("run_date", F.get_json_object("raw_json", "$.day").cast("date"))
+
+    def poll() -> None:
+        increments.keep_facts_current(
+            delivered(ingest.order_stream(t.spark, f"{root}/landing")), store, f"{root}/checkpoint", loaded_at=_seen(),
+            scratch=f"{root}/scratch").awaitTermination()
+
+    documents_of(lines, 1, F.lit("pending"), 0).write.text(f"{root}/landing")
+    poll()
+    third = F.pmod(F.xxhash64("order_id"), F.lit(3)) == 0
+    documents_of(lines.filter(third), 3, F.col("status"), 1).write.text(f"{root}/batch")
+    store.append("raw.orders_json", delivered(landing.read_orders(t.spark, f"{root}/batch", JANUARY[0])))
+    documents_of(lines.filter(~third), 2, F.col("status"), 1).write.mode("append").text(f"{root}/landing")
+    poll()
+    return store.read("warehouse.fact_orders")
+
+
 @query
 def stream_then_batch_events(t: DriverTables) -> DataFrame:
     """Stream half of the events, append the other half in batch: readers see both."""

@@ -25,6 +25,7 @@ class TableContract:
     within: str | None = None  # second partition level: one value per writer of a day
     split: str | None = None  # second partition level that queries filter on, taken from the rows
     bucket_by: tuple[str, ...] = ()  # keyed tables that are merged by hash bucket of these columns
+    spread_by: str | None = None  # what buckets the rows without a key, so that they do not share one
     required: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
 
@@ -105,6 +106,16 @@ _ALL = [
         required=("product_id", "load_date"),
         max_length={"product_id": 256, "product_name": 512, "category": 256, "brand": 256},
     ),
+    # The latest document of each order and load day as text, merged delivery by delivery.
+    # The document itself stays only where it breaks a rule.
+    TableContract(
+        "staging.orders_latest", "keyed",
+        "doc_order_id STRING, doc_user_id STRING, doc_product_id STRING, doc_quantity STRING, doc_price STRING, "
+        "doc_timestamp STRING, doc_status STRING, file_name STRING, ingested_at TIMESTAMP_NTZ, raw_json STRING, "
+        "delivery STRING, run_date DATE",
+        key=("doc_order_id", "run_date"), partition="run_date", bucket_by=("doc_order_id",), spread_by="raw_json",
+        required=("run_date",),
+    ),
     # ---- warehouse: star schema ------------------------------------------------------
     TableContract(
         "warehouse.dim_date", "keyed",
@@ -178,6 +189,10 @@ _ALL = [
         "raw_data STRING, stage STRING, run_date DATE",
         partition="run_date", within="stage", required=("run_date", "source_table", "failure_reason"),
     ),
+    TableContract(
+        "audit.merged_deliveries", "append", "delivery STRING, run_date DATE",
+        partition="run_date", required=("run_date", "delivery"),
+    ),
     TableContract(
         "audit.pipeline_runs", "append",
         "dag_id STRING, task_id STRING, execution_date TIMESTAMP_NTZ, status STRING, "
