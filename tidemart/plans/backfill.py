@@ -25,6 +25,7 @@ from tidemart.plans.daily import _RunLog, _utc_now
 from tidemart.schemas import CONTRACTS
 from tidemart.session import scratch_dir
 from tidemart.sources import landing
+from tidemart.streaming import late
 
 RAW = {"orders": "raw.orders_json", "events": "raw.events_csv", "products": "raw.products_json"}
 
@@ -65,6 +66,8 @@ class _Backfill:
             return action
 
         self.log.together({f"extract_{kind}": step(kind) for kind in RAW})
+        for day in self.days if self.store.exists(late.LATE) else []:
+            self.log.run("recover_late_events", lambda day=day: late.recover_late(self.store, day))
         fetched: list[dt.date] = []
         if self.store.exists(RAW["products"]):
             # Partition values only; no file is opened.

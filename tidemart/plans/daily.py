@@ -16,6 +16,7 @@ from tidemart.operators.store import TableStore
 from tidemart.schemas import CONTRACTS
 from tidemart.session import scratch_dir
 from tidemart.sources import landing
+from tidemart.streaming import late
 
 JOB_NAME = "warehouse_daily"
 
@@ -96,6 +97,8 @@ class _Run:
             return action
 
         self.log.together({f"extract_{k}": step(k, table, read) for k, (table, read) in readers.items()})
+        # What a stream had to leave out is staged with the rest.
+        self.log.run("recover_late_events", lambda: late.recover_late(self.store, day))
 
     def transform(self) -> None:
         store, day, strict = self.store, self.day, self.options["strict"]

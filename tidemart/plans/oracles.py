@@ -510,6 +510,9 @@ ORACLES: dict[str, str] = {
                {money('quantity * price_cents')} AS revenue, {stamp("day + INTERVAL 1 DAY + INTERVAL 12 HOUR")} AS order_ts, status,
                {day_text('day')} AS load_date
         FROM o WHERE product_id IN (SELECT product_id FROM prod WHERE p_size <= 25)"""),
+    "stream_late_recovery": with_ctes("ev", f"""
+        SELECT event_id, user_id, NULLIF(product_id, '') AS product_id, event_type, {stamp('event_ts')} AS event_ts,
+               '2024-01-31' AS load_date FROM ev"""),
     "mv_daily_orders_summary": with_ctes("fact", f"""
         SELECT date_id, COUNT(*) AS order_count, {money('SUM(cents)')} AS daily_revenue,
                CAST(SUM(quantity) AS BIGINT) AS units_sold FROM fact GROUP BY date_id"""),

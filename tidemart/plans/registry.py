@@ -19,7 +19,7 @@ from tidemart.plans.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, DriverTable
 from tidemart.schemas import CONTRACTS
 from tidemart.session import scratch_dir
 from tidemart.sources import documents, landing
-from tidemart.streaming import ingest
+from tidemart.streaming import ingest, late
 
 TENURE_AS_OF = "1995-12-31"
 # The days that landed files are spread over, and the one whose orders fail a check.
@@ -840,6 +840,26 @@ def stream_dedup_events(t: DriverTables) -> DataFrame:
     return store.read("raw.events_csv").select(*EVENT_FIELDS)
 
 
+@query
+def stream_late_recovery(t: DriverTables) -> DataFrame:
+    """Stream a month of events in three polls under a delay of a day, then what was held back and
+    copies of old ones; the daily load recovers what came too late."""
+    root = scratch_dir(t.spark, "stream")
+    store = TableStore(t.spark, f"{root}/tables")
+    text = _event_text(t)
+    day, number = F.dayofmonth(F.col("event_ts").cast("timestamp_ntz")), F.col("event_id").cast("bigint")
+    held = number % 10 == 0
+    polls = [text.filter(~held & (day > low) & (day <= high)) for low, high in ((0, 10), (10, 20), (20, 31))]
+    polls[1] = polls[1].unionByName(polls[1].filter(number % 3 == 0))  # repeated within the delay
+    polls.append(text.filter(held | ((number % 7 == 0) & (day <= 5))))
+    for rows in polls:
+        rows.write.mode("append").csv(f"{root}/landing", header=True)
+        events = ingest.event_stream(t.spark, f"{root}/landing").withColumn("run_date", F.lit(EVENTS_AS_OF).cast("date"))
+        late.ingest_once(events, store, root)
+    late.recover_late(store, EVENTS_AS_OF)
+    return staging.stage_events(store.read("raw.events_csv"), EVENTS_AS_OF).good.drop("created_at", "updated_at")
+
+
 @query
 def stream_upsert_orders(t: DriverTables) -> DataFrame:
     """Stream order documents and keep staging current through micro-batches."""

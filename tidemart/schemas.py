@@ -189,6 +189,18 @@ _ALL = [
         "raw_data STRING, stage STRING, run_date DATE",
         partition="run_date", within="stage", required=("run_date", "source_table", "failure_reason"),
     ),
+    # Events that came after a stream had forgotten their ids, until the daily load takes them.
+    TableContract(
+        "audit.late_events", "append",
+        "file_name STRING, ingested_at TIMESTAMP_NTZ, raw_line STRING, event_id STRING, user_id STRING, "
+        "product_id STRING, event_type STRING, event_ts TIMESTAMP_NTZ, run_date DATE",
+        partition="run_date", within="delivery", required=("run_date", "ingested_at"),
+        max_length={"event_id": 256, "user_id": 256, "product_id": 256, "event_type": 100},
+    ),
+    TableContract(
+        "audit.stream_progress", "append", "stream STRING, batch_id BIGINT, max_event_ts TIMESTAMP_NTZ, run_date DATE",
+        partition="run_date", required=("run_date", "stream", "batch_id"),
+    ),
     TableContract(
         "audit.merged_deliveries", "append", "delivery STRING, run_date DATE",
         partition="run_date", required=("run_date", "delivery"),
