@@ -18,6 +18,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from pyspark.sql import DataFrame  # noqa: E402
 
+from tidemart.operators import lifetime  # noqa: E402
 from tidemart.operators.store import TableStore  # noqa: E402
 from tidemart.plans import customers, funnel, products, registry, revenue  # noqa: E402
 from tidemart.plans.driver_tables import EVENTS_AS_OF, ORDERS_AS_OF, DriverTables  # noqa: E402
@@ -64,6 +65,7 @@ def build(store: TableStore, tables: DriverTables) -> None:
         store.write_snapshot(f"warehouse.{name}", full)
     for name, rows in (("fact_orders", tables.fact_orders), ("fact_events", tables.fact_events)):
         store.reload_days(f"warehouse.{name}", rows)
+    lifetime.refresh(store, [])
 
 
 def main() -> None:

@@ -196,26 +196,28 @@ class TableStore:
             self._drop_stale(contract, observed.get["splits"])
         return observed.get["rows"]
 
-    def replace_splits(self, name: str, df: DataFrame, touched: list[tuple[dt.date, int]]) -> int:
-        """Replace some second-level folders of a daily table by ``df``, which may read them.
+    def replace_folders(self, name: str, df: DataFrame, touched: list[tuple]) -> int:
+        """Replace some innermost folders of a daily table by ``df``, which may read them.
 
-        The rows are written aside first, so that a driver that dies here leaves either the
-        old folders or, after ``recover``, the new ones.
+        ``touched`` holds the partition values of each folder.  The rows are written aside
+        first, so that a driver that dies here leaves either the old folders or, after
+        ``recover``, the new ones.
         """
         contract, observed = self.contract(name), Observation()
-        self._recover_splits(name)
+        self._recover_folders(name)
+        values = F.collect_set(F.array(*[F.col(p).cast("string") for p in contract.partitions]))
         df.select(*contract.column_names).hint("rebalance", *contract.partitions) \
-            .observe(observed, F.count(F.lit(1)).alias("rows"), self._splits(contract).alias("splits")) \
-            .write.mode("overwrite").partitionBy(*contract.partitions).parquet(self._pending(name, "splits"))
-        self._recover_splits(name)
-        written = {(s["day"], s["part"]) for s in observed.get["splits"] or ()}
-        for day, part in touched:
-            if (str(day), str(part)) not in written:
-                self._drop(f"{self.path(name)}/{contract.partition}={day}/{contract.split}={part}")
+            .observe(observed, F.count(F.lit(1)).alias("rows"), values.alias("folders")) \
+            .write.mode("overwrite").partitionBy(*contract.partitions).parquet(self._pending(name, "folders"))
+        self._recover_folders(name)
+        written = {tuple(f) for f in observed.get["folders"] or ()}
+        for folder in touched:
+            if tuple(map(str, folder)) not in written:
+                self._drop("/".join([self.path(name), *(f"{p}={v}" for p, v in zip(contract.partitions, folder, strict=True))]))
         return observed.get["rows"]
 
-    def _recover_splits(self, name: str) -> None:
-        contract, aside = self.contract(name), self._pending(name, "splits")
+    def _recover_folders(self, name: str) -> None:
+        contract, aside = self.contract(name), self._pending(name, "folders")
         if path_exists(self.spark, f"{aside}/_SUCCESS"):
             self._day_writer(contract, self.spark.read.schema(contract.ddl).parquet(aside).select(*contract.column_names))
         if path_exists(self.spark, aside):
@@ -287,12 +289,12 @@ class TableStore:
         return self._replace_buckets(name, change(self.read_touched(name, touched)), "part")
 
     def recover(self) -> None:
-        """Finish the merges that a killed driver left between writing and replacing buckets."""
+        """Finish what a killed driver left between writing rows aside and replacing folders by them."""
         for name, contract in CONTRACTS.items():
             if contract.bucket_by:
                 self._recover(name)
-            elif contract.split:
-                self._recover_splits(name)
+            elif contract.kind == "daily":
+                self._recover_folders(name)
 
     def _bucket_root(self, name: str) -> tuple[str, int]:
         """The folder of the buckets and their number, which the folder's name keeps."""

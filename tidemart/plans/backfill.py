@@ -19,7 +19,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.operators import dimensions, facts, metrics, quality, staging
+from tidemart.operators import dimensions, facts, lifetime, metrics, quality, staging
 from tidemart.operators.store import TableStore
 from tidemart.plans.daily import _RunLog, _utc_now
 from tidemart.schemas import CONTRACTS
@@ -157,6 +157,7 @@ class _Backfill:
             "refresh_orders_summary": lambda: store.reload_days(
                 "warehouse.mv_daily_orders_summary", facts.orders_summary_parts(loaded), passed),
             "refresh_revenue": lambda: store.reload_days("warehouse.mv_daily_revenue", facts.revenue_parts(loaded), passed),
+            "refresh_user_orders": lambda: lifetime.refresh(store, passed),
         })
 
     def finish(self) -> None:

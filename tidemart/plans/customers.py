@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart.functions import day_column, mean2, percent, ratio
 from tidemart.functions.exprs import DateLike
-from tidemart.plans.warehouse import Warehouse, order_count
+from tidemart.plans.warehouse import Warehouse
 
 # Tenure buckets in days since signup (upper bounds not included).  The
 # last label also takes users without a signup date.
@@ -20,15 +20,16 @@ TENURE_GROUPS_REST = "Established"
 
 def top_customers(wh: Warehouse, limit: int = 50, min_orders: int = 1) -> DataFrame:
     """The biggest spenders with their order history in numbers."""
-    span = F.date_diff(F.max("order_ts").cast("date"), F.min("order_ts").cast("date"))
-    per_user = wh.paid_orders().groupBy("user_id").agg(
-        order_count(),
-        F.sum("revenue").alias("total_spent"),
-        mean2(F.col("revenue")).alias("avg_order_value"),
-        F.min("order_ts").alias("first_order_date"),
-        F.max("order_ts").alias("last_order_date"),
+    span = F.date_diff(F.col("last_order_ts").cast("date"), F.col("first_order_ts").cast("date"))
+    per_user = wh.user_orders().select(
+        "user_id",
+        "order_count",
+        F.col("revenue").alias("total_spent"),
+        ratio(F.col("revenue"), F.col("revenue_rows")).alias("avg_order_value"),
+        F.col("first_order_ts").alias("first_order_date"),
+        F.col("last_order_ts").alias("last_order_date"),
         span.alias("customer_lifespan_days"),
-        ratio(F.sum("revenue"), span).alias("revenue_per_day"),
+        ratio(F.col("revenue"), span).alias("revenue_per_day"),
     )
     return per_user.filter(F.col("order_count") >= min_orders) \
         .orderBy(F.desc("total_spent"), "user_id").limit(limit)
@@ -36,9 +37,8 @@ def top_customers(wh: Warehouse, limit: int = 50, min_orders: int = 1) -> DataFr
 
 def repeat_customers(wh: Warehouse, min_orders: int = 2) -> DataFrame:
     """How many customers came back, and what they are worth."""
-    per_user = wh.paid_orders().groupBy("user_id").agg(
-        order_count(), F.sum("revenue").alias("total_spent")
-    ).filter(F.col("order_count") >= min_orders)
+    per_user = wh.user_orders().select("order_count", F.col("revenue").alias("total_spent")) \
+        .filter(F.col("order_count") >= min_orders)
     return per_user.agg(
         F.count("*").alias("repeat_customers"),
         F.sum("total_spent").alias("repeat_customer_revenue"),
@@ -72,12 +72,7 @@ def _by_user_group(wh: Warehouse, group: Column, name: str) -> DataFrame:
     users = wh.dim_user.select("user_id", group.alias(name))
     # user_id is the key of the dimension, so rows are users.
     counted = users.groupBy(name).agg(F.count("user_id").alias("users"))
-    sold = wh.paid_orders().select("user_id", "order_id", "revenue").join(users, "user_id") \
-        .groupBy(name).agg(
-            F.count_distinct("order_id").alias("orders"),
-            F.sum("revenue").alias("revenue"),
-            F.count("revenue").alias("rows"),
-        )
+    sold = wh.grouped_orders(users, name)
     return counted.unionByName(sold, allowMissingColumns=True).groupBy(name).agg(
         F.sum("users").alias("users"),
         F.coalesce(F.sum("orders"), F.lit(0)).alias("orders"),

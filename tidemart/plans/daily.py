@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.operators import dimensions, facts, metrics, quality, staging
+from tidemart.operators import dimensions, facts, lifetime, metrics, quality, staging
 from tidemart.operators.store import TableStore
 from tidemart.schemas import CONTRACTS
 from tidemart.session import scratch_dir
@@ -198,6 +198,7 @@ class _Run:
                 "warehouse.mv_daily_orders_summary", facts.orders_summary_parts(loaded, day)),
             "refresh_revenue": lambda: self.reload(
                 "warehouse.mv_daily_revenue", facts.revenue_parts(loaded, day)),
+            "refresh_user_orders": lambda: lifetime.refresh(self.store, [dt.date.fromisoformat(day)]),
         })
 
 

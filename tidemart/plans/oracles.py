@@ -83,6 +83,9 @@ CTES: dict[str, tuple[str, str]] = {
                quantity * price_cents AS cents, o_orderdate AS order_ts, status, run_date AS load_date
         FROM latest"""),
     "paid": ("fact", "SELECT * FROM fact WHERE status = 'paid'"),
+    # a third of the orders loaded again on another day
+    "twice": ("paid", """
+        SELECT * FROM paid UNION ALL SELECT * FROM paid WHERE CAST(split_part(order_id, '-', 1) AS BIGINT) % 3 = 0"""),
     "loaded": ("lines", """
         SELECT order_id, run_date AS load_date, o_orderdate AS order_ts,
                CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END * quantity * price_cents AS cents FROM lines"""),
@@ -583,6 +586,19 @@ ORACLES: dict[str, str] = {
                date_diff('day', MIN(order_ts), MAX(order_ts)) AS customer_lifespan_days,
                {cents_mean('SUM(cents)', "date_diff('day', MIN(order_ts), MAX(order_ts))")} AS revenue_per_day
         FROM paid GROUP BY user_id ORDER BY SUM(cents) DESC, user_id LIMIT 50"""),
+    "lifetime_top_customers": with_ctes("twice", f"""
+        SELECT user_id, COUNT(DISTINCT order_id) AS order_count, {money('SUM(cents)')} AS total_spent,
+               {_PAID_MEAN} AS avg_order_value, {stamp('MIN(order_ts)')} AS first_order_date,
+               {stamp('MAX(order_ts)')} AS last_order_date,
+               date_diff('day', MIN(order_ts), MAX(order_ts)) AS customer_lifespan_days,
+               {cents_mean('SUM(cents)', "date_diff('day', MIN(order_ts), MAX(order_ts))")} AS revenue_per_day
+        FROM twice GROUP BY user_id ORDER BY SUM(cents) DESC, user_id LIMIT 50"""),
+    "lifetime_marketing_source": with_ctes("usr twice", f"""
+        SELECT marketing_source, COUNT(DISTINCT usr.user_id) AS users_acquired,
+               COUNT(DISTINCT order_id) AS orders_from_source, {money('SUM(cents)')} AS revenue_from_source,
+               {half_up('100 * COUNT(DISTINCT order_id)', 'COUNT(DISTINCT usr.user_id)')} AS conversion_rate,
+               {cents_mean('SUM(cents)', 'COUNT(DISTINCT usr.user_id)')} AS revenue_per_user
+        FROM usr LEFT JOIN twice ON twice.user_id = usr.user_id GROUP BY marketing_source"""),
     "repeat_customers": with_ctes("paid", f"""
         SELECT COUNT(*) AS repeat_customers, {money('SUM(c)')} AS repeat_customer_revenue,
                {half_up('SUM(n)', 'COUNT(*)')} AS avg_orders_per_customer,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.functions import exprs, raw_line
-from tidemart.operators import dimensions, facts, merge, metrics, quality, staging
+from tidemart.operators import dimensions, facts, lifetime, merge, metrics, quality, staging
 from tidemart.operators.store import TableStore
 from tidemart.plans import backfill, customers, funnel, health, increments, products, revenue
 from tidemart.plans.warehouse import StoredWarehouse
@@ -664,6 +664,38 @@ def repeat_customers(t: DriverTables) -> DataFrame:
     return customers.repeat_customers(t)
 
 
+def _lifetime_warehouse(t: DriverTables) -> StoredWarehouse:
+    """Facts stored over eight weeks of load days, a third of the orders a second time on another day;
+    the days are then refreshed in two halves."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "lifetime"), buckets=16)
+    number = F.split_part("order_id", F.lit("-"), F.lit(1)).cast("int")
+
+    def loaded(rows: DataFrame, shift: int) -> DataFrame:
+        day = F.date_add(F.lit(JANUARY[0]).cast("date"), F.pmod(number + shift, F.lit(56)))
+        return rows.withColumn("load_date", day).withColumn("date_id", exprs.date_key(F.col("load_date")))
+
+    again = t.fact_orders.filter(number % 3 == 0)
+    rows = loaded(t.fact_orders, 0).unionByName(loaded(again, 17))
+    first, days = dt.date.fromisoformat(JANUARY[0]), [dt.timedelta(days=n) for n in range(56)]
+    for half in ([first + d for d in days[:30]], [first + d for d in days[30:]]):
+        store.reload_days("warehouse.fact_orders", rows.filter(F.col("load_date").isin(half)), half)
+        lifetime.refresh(store, half)
+    # dim_user is read from the shared tables.
+    warehouse = StoredWarehouse(store)
+    warehouse.dim_user = t.dim_user
+    return warehouse
+
+
+@query
+def lifetime_top_customers(t: DriverTables) -> DataFrame:
+    return customers.top_customers(_lifetime_warehouse(t))
+
+
+@query
+def lifetime_marketing_source(t: DriverTables) -> DataFrame:
+    return customers.marketing_source_performance(_lifetime_warehouse(t))
+
+
 @query
 def tenure_segments(t: DriverTables) -> DataFrame:
     return customers.tenure_segments(t, TENURE_AS_OF)

@@ -176,6 +176,19 @@ _ALL = [
         "order_date DATE, daily_revenue DECIMAL(22,2), load_date DATE",
         key=("order_date", "load_date"), partition="load_date", required=("order_date",),
     ),
+    # Paid orders by user and load day; a folder holds a week of load days.
+    TableContract(
+        "warehouse.mv_user_orders", "daily",
+        "user_id STRING, order_rows BIGINT, revenue DECIMAL(22,2), revenue_rows BIGINT, first_order_ts TIMESTAMP_NTZ, "
+        "last_order_ts TIMESTAMP_NTZ, load_date DATE, load_week DATE",
+        key=("user_id", "load_date"), partition="load_week", required=("user_id", "load_date"),
+    ),
+    # Fact rows of order ids that were loaded on more than one day.
+    TableContract(
+        "warehouse.recurring_orders", "keyed",
+        "order_id STRING, load_date DATE, user_id STRING, status STRING",
+        key=("order_id", "load_date"), bucket_by=("order_id",), required=("order_id", "load_date"),
+    ),
     # ---- audit ------------------------------------------------------------------------
     TableContract(
         "audit.dq_failures", "daily",
