@@ -196,6 +196,12 @@ def test_daily_run_end_to_end(spark, store, tmp_path):
     assert (row.raw_orders_count, row.staging_orders_count, row.fact_orders_count) == (121, 120, 96)
     assert (row.raw_events_count, row.staging_events_count, row.fact_events_count, row.dq_failed_count) == (600, 600, 400, 0)
 
+    report = store.read("audit.constraint_report").collect()
+    assert {r.table_name: r.checked for r in report} == {"staging.orders_clean": 120, "staging.events_clean": 600,
+                                                         "warehouse.fact_orders": 96, "warehouse.fact_events": 400}
+    assert "product_id references warehouse.dim_product" in {r.constraint_name for r in report}
+    assert all(r.violations == 0 and str(r.run_date) == DAY1 for r in report)
+
     # Again: raw grows, everything behind it stays the same.
     again = daily.run_daily(store, str(tmp_path), DAY1)
     assert again.rows["warehouse.fact_orders"] == 96 and store.read("warehouse.fact_orders").count() == 96

@@ -192,3 +192,30 @@ def test_metrics_of_an_empty_day(spark):
     layers = {m: spark.createDataFrame([], f"{d} DATE") for m, d in metrics.METRIC_DAYS.items()}
     row = metrics.daily_metrics(layers, DAY, 12).collect()
     assert len(row) == 1 and row[0].raw_orders_count == 0 and row[0].runtime_seconds == 12
+
+
+def test_constraint_report(spark):
+    day, other = dt.date(2024, 3, 4), dt.date(2024, 3, 5)
+    at = dt.datetime(2024, 3, 4, 10)
+    rows = [("A", "U1", "P1", 20240304, 1, "5.004", at, "paid", day),
+            ("A", "U1", "P1", 20240304, 1, "9999999999.994", at, "paid", day),
+            ("B", None, "P9", 20240304, 1, "9999999999.995", at, "s" * 51, day),
+            ("C", "U9", "P1", 20240301, None, "many", None, None, other)]
+    orders = spark.createDataFrame(rows, "order_id STRING, user_id STRING, product_id STRING, date_id INT, quantity INT, revenue STRING, "
+                                         "order_ts TIMESTAMP_NTZ, status STRING, load_date DATE")
+    dims = {"warehouse.dim_date": spark.createDataFrame([(20240304,)], "date_id INT"),
+            "warehouse.dim_user": spark.createDataFrame([("U1",), ("U2",)], "user_id STRING"),
+            "warehouse.dim_product": spark.createDataFrame([("P1",)], "product_id STRING")}
+    found = quality.constraint_report({"warehouse.fact_orders": orders}, dims).collect()
+    assert {r.checked for r in found if r.run_date == day} == {3}
+    breaches = {(str(r.run_date)[-1], r.constraint_name): r.violations for r in found if r.violations}
+    assert breaches == {
+        ("4", "user_id not null"): 1, ("4", "status length <= 50"): 1, ("4", "revenue numeric(12,2)"): 1,
+        ("4", "product_id references warehouse.dim_product"): 1, ("4", "unique(order_id, load_date)"): 1,
+        ("5", "quantity not null"): 1, ("5", "order_ts not null"): 1, ("5", "revenue numeric(12,2)"): 1,
+        ("5", "date_id references warehouse.dim_date"): 1, ("5", "user_id references warehouse.dim_user"): 1}
+    assert len(found) == 2 * len({r.constraint_name for r in found})
+    users = spark.createDataFrame([("U1", "x" * 300), ("U1", "y")], "user_id STRING, city STRING")
+    whole = {r.constraint_name: (r.run_date, r.violations) for r in quality.constraint_report({"warehouse.dim_user": users}, {}).collect()}
+    assert whole["unique(user_id)"] == (None, 1) and whole["city length <= 256"] == (None, 1)
+    assert quality.constraint_report({"warehouse.fact_orders": orders.limit(0)}, dims).collect() == []

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -206,3 +206,65 @@ def constraint_violations(df: DataFrame, contract: TableContract) -> DataFrame:
         for n, c in zip(names, columns)
     ])
     return totals.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _breaches(df: DataFrame, contract: TableContract) -> dict[str, Column]:
+    """What breaks each rule of a row by itself: NOT NULL, length, NUMERIC(p,s)."""
+    rules = {f"{name} not null": F.col(name).isNull() for name in contract.required if name in df.columns}
+    rules |= {f"{name} length <= {limit}": F.char_length(name) > limit
+              for name, limit in contract.max_length.items() if name in df.columns}
+    for name, (precision, scale) in contract.decimals.items():
+        if name in df.columns:
+            # A value is stored rounded to its scale; it breaks the type when that needs too many digits.
+            exact = F.col(name).try_cast(f"decimal(38,{scale})")
+            limit = F.lit(10 ** (precision - scale)).cast(f"decimal(38,{scale})")
+            rules[f"{name} numeric({precision},{scale})"] = F.col(name).isNotNull() & (exact.isNull() | (F.abs(exact) >= limit))
+    return rules
+
+
+def table_constraints(df: DataFrame, contract: TableContract, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """All declared rules of a table by its day: (run_date, constraint_name, checked, violations).
+
+    One pass: the unique key of each referenced dimension flags the rows through a left
+    join, all breaches are counted by key first (which partial aggregation keeps small
+    even for a hot key), then summed by day.  A NULL reference breaks NOT NULL where that
+    is declared, and no reference.  Days come from the partition column; a table without
+    one has a single row of each rule, with no day.
+    """
+    flagged, rules = df, _breaches(df, contract)
+    for key, table in contract.references.items():
+        name = f"_has_{key}"
+        flagged = flagged.join(dimensions[table].select(key).withColumn(name, F.lit(True)), key, "left")
+        rules[f"{key} references {table}"] = F.col(key).isNotNull() & F.col(name).isNull()
+    day = F.col(contract.partition) if contract.partition in df.columns else F.lit(None).cast("date")
+    names = list(rules)
+    flags = [F.count_if(rules[r]).alias(f"r{i}") for i, r in enumerate(names)]
+    level = [day.alias("run_date"), *[F.col(k) for k in contract.key if k != contract.partition]]
+    per_key = flagged.groupBy(*level).agg(F.count(F.lit(1)).alias("n"), *flags)
+    totals = per_key.groupBy("run_date").agg(
+        F.sum("n").alias("checked"), F.sum(F.col("n") - 1).alias("repeats"),
+        *[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(names))])
+    counted = {r: F.col(f"r{i}") for i, r in enumerate(names)}
+    if contract.key:
+        counted[f"unique({', '.join(contract.key)})"] = F.col("repeats")
+    rows = F.array(*[F.struct(F.lit(r).alias("constraint_name"), c.cast("bigint").alias("violations")) for r, c in counted.items()])
+    return totals.select("run_date", "checked", F.explode(rows).alias("r")).select(
+        "run_date", "r.constraint_name", "checked", "r.violations")
+
+
+def constraint_report(tables: dict[str, DataFrame], dimensions: dict[str, DataFrame]) -> DataFrame:
+    """``table_constraints`` of several tables, in the shape of ``audit.constraint_report``.
+
+    ``tables`` maps contract names to rows, ``dimensions`` the referenced tables to theirs.
+    """
+    parts = [table_constraints(df, CONTRACTS[name], dimensions).withColumn("table_name", F.lit(name))
+             for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts).select(*CONTRACTS["audit.constraint_report"].column_names)
+
+
+def stored_constraints(read: Callable[[str], DataFrame], days: list[dt.date]) -> DataFrame:
+    """The report over staging and facts of some days; ``read`` opens a table by name."""
+    names = ("staging.orders_clean", "staging.events_clean", "warehouse.fact_orders", "warehouse.fact_events")
+    referenced = {table for name in names for table in CONTRACTS[name].references.values()}
+    return constraint_report({name: read(name).filter(F.col("load_date").isin(days)) for name in names},
+                             {table: read(table) for table in sorted(referenced)})

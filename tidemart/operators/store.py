@@ -206,7 +206,7 @@ class TableStore:
         contract, observed = self.contract(name), Observation()
         self._recover_folders(name)
         values = F.collect_set(F.array(*[F.col(p).cast("string") for p in contract.partitions]))
-        df.select(*contract.column_names).hint("rebalance", *contract.partitions) \
+        self._typed(contract, df).hint("rebalance", *contract.partitions) \
             .observe(observed, F.count(F.lit(1)).alias("rows"), values.alias("folders")) \
             .write.mode("overwrite").partitionBy(*contract.partitions).parquet(self._pending(name, "folders"))
         self._recover_folders(name)
@@ -302,6 +302,11 @@ class TableStore:
         number = numbers[0] if numbers else self.buckets
         return f"{self.path(name)}/of={number}", number
 
+    @staticmethod
+    def _typed(contract: TableContract, df: DataFrame) -> DataFrame:
+        """The contract's columns in its types, so that what is written aside reads back as it was."""
+        return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in (d.split(" ", 1) for d in contract.column_definitions)])
+
     def _bucket(self, name: str) -> Column:
         contract = self.contract(name)
         keys = [F.col(c).cast("string") for c in contract.bucket_by]
@@ -341,7 +346,7 @@ class TableStore:
         self._recover(name)
         contract, observed = self.contract(name), Observation()
         levels = [*contract.partitions, "bucket"]
-        df.select(*contract.column_names, self._bucket(name).alias("bucket")).hint("rebalance", *levels) \
+        self._typed(contract, df).select("*", self._bucket(name).alias("bucket")).hint("rebalance", *levels) \
             .observe(observed, F.count(F.lit(1)).alias("rows")) \
             .write.mode("overwrite").partitionBy(*levels).parquet(self._pending(name, extent))
         self._recover(name)
@@ -387,7 +392,8 @@ class TableStore:
         for name, contract in CONTRACTS.items():
             typed = [definition.split(" ", 1) for definition in contract.column_definitions]
             location = self.location(name)
-            if location is None:
+            # A bucketed table without rows has no file that a view could take its columns from.
+            if location is None or (contract.bucket_by and not path_exists(self.spark, f"{location}/*=*")):
                 columns = ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in typed)
                 query = f"SELECT {columns} WHERE false"
             else:

@@ -152,6 +152,8 @@ class _Backfill:
         # A table has one writer at a time.
         self.log.run("reject_fact_events", lambda: store.reload_days(
             "audit.bad_records", facts.reject_fact_events(events, dates, users), passed, "fact_events"))
+        self.log.run("constraint_report", lambda: store.reload_days(
+            "audit.constraint_report", quality.stored_constraints(read, passed), passed))
         loaded = self.rows("warehouse.fact_orders", passed)
         self.log.together({
             "refresh_orders_summary": lambda: store.reload_days(

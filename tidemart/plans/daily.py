@@ -192,6 +192,8 @@ class _Run:
         for name, rows in rejects.items():
             self.log.run(f"reject_{name}", functools.partial(
                 self.reload, "audit.bad_records", rows, name, f"{name} rejected"))
+        self.log.run("constraint_report", lambda: self.reload(
+            "audit.constraint_report", quality.stored_constraints(read, [dt.date.fromisoformat(day)])))
         loaded = read("warehouse.fact_orders")
         self.log.together({
             "refresh_orders_summary": lambda: self.reload(

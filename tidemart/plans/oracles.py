@@ -420,6 +420,39 @@ ORACLES: dict[str, str] = {
                CAST(0 AS BIGINT) AS violations
         UNION ALL SELECT 'unique(order_id, load_date)',
                (SELECT COUNT(*) FROM lines) - (SELECT COUNT(*) FROM (SELECT DISTINCT order_id, run_date FROM lines))"""),
+    "constraint_report": with_ctes("latest ev prod good days", """
+        , o AS (
+            SELECT order_id, CASE WHEN l_tax <> 0 THEN user_id END AS user_id, product_id, date_id, quantity,
+                   CAST(quantity AS HUGEINT) * price_cents * CASE WHEN l_discount = 0.1 THEN 100000 ELSE 1 END AS cents,
+                   CASE WHEN l_returnflag = 'R' THEN repeat(status, 9) ELSE status END AS status,
+                   CAST(date_trunc('year', o_orderdate) AS DATE) AS load_date, n
+            FROM (SELECT *, CAST(strftime(o_orderdate, '%Y%m%d') AS BIGINT) AS date_id,
+                         CASE WHEN l_linenumber = 1 THEN 2 ELSE 1 END AS n FROM latest)),
+        x AS (
+            SELECT load_date, SUM(n) AS checked, unnest([
+                {'c': 'order_id not null', 'v': 0}, {'c': 'user_id not null', 'v': SUM(n) FILTER (user_id IS NULL)},
+                {'c': 'product_id not null', 'v': 0}, {'c': 'date_id not null', 'v': 0}, {'c': 'quantity not null', 'v': 0},
+                {'c': 'revenue not null', 'v': 0}, {'c': 'order_ts not null', 'v': 0}, {'c': 'load_date not null', 'v': 0},
+                {'c': 'order_id length <= 256', 'v': 0}, {'c': 'user_id length <= 256', 'v': 0}, {'c': 'product_id length <= 256', 'v': 0},
+                {'c': 'status length <= 50', 'v': SUM(n) FILTER (length(status) > 50)},
+                {'c': 'revenue numeric(12,2)', 'v': SUM(n) FILTER (abs(cents) >= 1000000000000)},
+                {'c': 'date_id references warehouse.dim_date', 'v': SUM(n) FILTER (date_id NOT IN (SELECT date_id FROM days WHERE year >= 1997))},
+                {'c': 'user_id references warehouse.dim_user', 'v': SUM(n) FILTER (user_id NOT IN (SELECT user_id FROM good))},
+                {'c': 'product_id references warehouse.dim_product', 'v': SUM(n) FILTER (product_id NOT IN (SELECT product_id FROM prod WHERE p_size <= 25))},
+                {'c': 'unique(order_id, load_date)', 'v': SUM(n - 1)}]) AS r, 'warehouse.fact_orders' AS t
+            FROM o GROUP BY load_date
+            UNION ALL
+            SELECT CAST(date_trunc('month', load_date) AS DATE), COUNT(*), unnest([
+                {'c': 'event_id not null', 'v': 0}, {'c': 'user_id not null', 'v': COUNT(*) FILTER (user_id IS NULL)}, {'c': 'date_id not null', 'v': 0},
+                {'c': 'event_type not null', 'v': 0}, {'c': 'event_ts not null', 'v': 0}, {'c': 'load_date not null', 'v': 0},
+                {'c': 'event_id length <= 256', 'v': 0}, {'c': 'user_id length <= 256', 'v': 0}, {'c': 'product_id length <= 256', 'v': 0},
+                {'c': 'event_type length <= 100', 'v': 0},
+                {'c': 'date_id references warehouse.dim_date', 'v': 0},
+                {'c': 'user_id references warehouse.dim_user', 'v': COUNT(*) FILTER (user_id NOT IN (SELECT user_id FROM good))},
+                {'c': 'unique(event_id, load_date)', 'v': COUNT(*) - COUNT(DISTINCT event_id)}]), 'warehouse.fact_events'
+            FROM ev GROUP BY 1)
+        SELECT t AS table_name, r.c AS constraint_name, CAST(checked AS BIGINT) AS checked, CAST(COALESCE(r.v, 0) AS BIGINT) AS violations,
+               strftime(load_date, '%Y-%m-%d') AS run_date FROM x"""),
     # ---- dimensions
     "dim_date": f"""
         SELECT {_CALENDAR_OUT} FROM ({_CALENDAR} FROM (

@@ -356,6 +356,25 @@ def constraint_violations_loaded(t: DriverTables) -> DataFrame:
     return quality.constraint_violations(t.loaded_orders, CONTRACTS["staging.orders_clean"])
 
 
+@query
+def constraint_report(t: DriverTables) -> DataFrame:
+    """Order lines with every kind of breach and the events, by year and month of load, against
+    dimensions that do not know them all."""
+    price = F.col("l_extendedprice").cast("decimal(30,2)")
+    lines = t.latest_lines.select(
+        "order_id", F.when(F.col("l_tax") != 0, F.col("user_id")).alias("user_id"), "product_id",
+        exprs.date_key(F.col("o_orderdate")).alias("date_id"), "quantity",
+        (F.col("quantity") * price * F.when(F.col("l_discount") == 0.1, 100_000).otherwise(1)).cast("decimal(38,2)").alias("revenue"),
+        F.col("o_orderdate").alias("order_ts"), F.when(F.col("l_returnflag") == "R", F.repeat("status", F.lit(9))).otherwise(F.col("status")).alias("status"),
+        F.trunc("o_orderdate", "year").alias("load_date"), "l_linenumber")
+    orders = lines.unionByName(lines.filter("l_linenumber = 1")).drop("l_linenumber")
+    events = t.fact_events.withColumn("load_date", F.trunc("load_date", "month"))
+    return quality.constraint_report(
+        {"warehouse.fact_orders": orders, "warehouse.fact_events": events},
+        {"warehouse.dim_date": t.dim_date.filter("year >= 1997"), "warehouse.dim_user": t.good_users,
+         "warehouse.dim_product": t.listed_products})
+
+
 # ---- dimensions ------------------------------------------------------------------------
 
 

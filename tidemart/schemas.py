@@ -28,6 +28,18 @@ class TableContract:
     spread_by: str | None = None  # what buckets the rows without a key, so that they do not share one
     required: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
+    references: dict[str, str] = field(default_factory=dict)  # key column -> the dimension that must have it
+
+    @property
+    def decimals(self) -> dict[str, tuple[int, int]]:
+        """Precision and scale of the NUMERIC columns."""
+        found = {}
+        for definition in self.column_definitions:
+            name, kind = definition.split(" ", 1)
+            if kind.upper().startswith("DECIMAL("):
+                precision, scale = kind[len("DECIMAL("):-1].split(",")
+                found[name] = int(precision), int(scale)
+        return found
 
     @property
     def ddl(self) -> str:
@@ -151,6 +163,8 @@ _ALL = [
         key=("order_id", "load_date"), partition="load_date", split="date_id",
         required=("order_id", "user_id", "product_id", "date_id", "quantity", "revenue", "order_ts",
                   "load_date"),
+        max_length={"order_id": 256, "user_id": 256, "product_id": 256, "status": 50},
+        references={"date_id": "warehouse.dim_date", "user_id": "warehouse.dim_user", "product_id": "warehouse.dim_product"},
     ),
     TableContract(
         "warehouse.fact_events", "daily",
@@ -158,6 +172,8 @@ _ALL = [
         "event_ts TIMESTAMP_NTZ, load_date DATE",
         key=("event_id", "load_date"), partition="load_date", split="date_id",
         required=("event_id", "user_id", "date_id", "event_type", "event_ts", "load_date"),
+        max_length={"event_id": 256, "user_id": 256, "product_id": 256, "event_type": 100},
+        references={"date_id": "warehouse.dim_date", "user_id": "warehouse.dim_user"},
     ),
     TableContract(
         "warehouse.daily_metrics", "keyed",
@@ -176,12 +192,12 @@ _ALL = [
         "order_date DATE, daily_revenue DECIMAL(22,2), load_date DATE",
         key=("order_date", "load_date"), partition="load_date", required=("order_date",),
     ),
-    # Paid orders by user and load day; a folder holds a week of load days.
+    # Paid orders by user and load day; a folder holds a month of load days.
     TableContract(
         "warehouse.mv_user_orders", "daily",
         "user_id STRING, order_rows BIGINT, revenue DECIMAL(22,2), revenue_rows BIGINT, first_order_ts TIMESTAMP_NTZ, "
-        "last_order_ts TIMESTAMP_NTZ, load_date DATE, load_week DATE",
-        key=("user_id", "load_date"), partition="load_week", required=("user_id", "load_date"),
+        "last_order_ts TIMESTAMP_NTZ, load_date DATE, load_month DATE",
+        key=("user_id", "load_date"), partition="load_month", required=("user_id", "load_date"),
     ),
     # Fact rows of order ids that were loaded on more than one day.
     TableContract(
@@ -196,6 +212,12 @@ _ALL = [
         "details STRING, run_date DATE",
         key=("run_date", "check_name"), partition="run_date", required=("run_date", "check_name"),
     ),
+    TableContract(
+        "audit.constraint_report", "daily",
+        "table_name STRING, constraint_name STRING, checked BIGINT, violations BIGINT, run_date DATE",
+        key=("run_date", "table_name", "constraint_name"), partition="run_date",
+        required=("run_date", "table_name", "constraint_name"),
+    ),
     TableContract(
         "audit.bad_records", "daily",
         "source_table STRING, record_id STRING, failure_reason STRING, failed_value STRING, "
