@@ -220,9 +220,15 @@ CTES: dict[str, tuple[str, str]] = {
     # nested documents
     "cart": ("", """
         SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_custkey AS VARCHAR) END AS user_id,
-               o_orderdate, o_totalprice, o_orderstatus, o_custkey % 4 AS size FROM orders"""),
+               o_orderdate, o_totalprice, o_orderstatus, size, total_quantity
+        FROM orders JOIN (
+            SELECT o_orderkey, COUNT(l_orderkey) AS size, CAST(COALESCE(SUM(CAST(l_quantity AS BIGINT)), 0) AS BIGINT) AS total_quantity
+            FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey) USING (o_orderkey)"""),
     "item": ("cart", """
-        SELECT c.*, i, (id * 7 + i) % 200 AS product FROM cart c, range(0, 3) AS r(i) WHERE i < size"""),
+        SELECT c.*, l_partkey AS product, CAST(l_quantity AS BIGINT) AS quantity,
+               CAST(ROUND(CAST(l_extendedprice AS DECIMAL(14,2)) * 100) AS BIGINT) AS price_cents,
+               ROW_NUMBER() OVER (PARTITION BY id ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice) - 1 AS i
+        FROM cart c JOIN lineitem ON l_orderkey = id"""),
     "stocked": ("", """
         SELECT p_name AS product_name, p_type AS category, p_size AS stock,
                CAST(ROUND(CAST(p_retailprice AS DECIMAL(14,2)) * 100) AS BIGINT) AS price_cents,
@@ -316,12 +322,12 @@ ORACLES: dict[str, str] = {
     "carts_to_orders": with_ctes("cart", """
         SELECT 'CART_' || id AS order_id, COALESCE(user_id, 'unknown') AS user_id, size AS products,
                o_totalprice AS total, CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END AS discounted_total,
-               size AS total_products, CAST(0 AS BIGINT) AS total_quantity,
+               size AS total_products, total_quantity,
                '2001-08-01 12:00:00.000000' AS timestamp, 'completed' AS status FROM cart"""),
     "cart_order_lines": with_ctes("item", f"""
         SELECT 'CART_' || id || '-' || (i + 1) AS order_id, COALESCE(user_id, 'unknown') AS user_id,
-               CAST(product AS VARCHAR) AS product_id, i + 1 AS quantity, CAST(i + 1.5 AS DOUBLE) AS unit_price,
-               CAST((i + 1) * (i + 1.5) AS DOUBLE) AS revenue, '2001-08-01 12:00:00.000000' AS order_ts,
+               CAST(product AS VARCHAR) AS product_id, quantity, {money('price_cents')} AS unit_price,
+               {money('quantity * price_cents')} AS revenue, '2001-08-01 12:00:00.000000' AS order_ts,
                'completed' AS status, '2001-08-01' AS load_date FROM item"""),
     "catalog_normalize": """
         SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,

@@ -168,22 +168,27 @@ def weekly_snapshot_filter(t: DriverTables) -> DataFrame:
 
 
 def _carts(t: DriverTables) -> DataFrame:
-    """Orders as cart documents with none to three items each, built row by row."""
-    key = F.col("o_orderkey")
-    items = F.array(*[
-        F.struct(((key * 7 + i) % 200).alias("productId"), F.lit(i + 1).alias("quantity"),
-                 F.lit(f"{i + 1}.50").alias("price"))
-        for i in range(3)
-    ])
-    size = (F.col("o_custkey") % 4).cast("int")
-    docs = t.table("orders").select(F.to_json(F.struct(
-        key.alias("id"),
+    """Orders as cart documents, their items gathered from all order lines in a fixed order.
+
+    An order has few lines, so a cart is small; partial aggregation starts it in the map
+    tasks.  Orders without lines are empty carts.
+    """
+    line = [F.col(c) for c in ("l_linenumber", "l_partkey", "l_quantity", "l_extendedprice")]
+    items = t.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sort_array(F.collect_list(F.struct(*line))).alias("lines"))
+    products = F.transform("lines", lambda x: F.struct(
+        x["l_partkey"].alias("productId"), x["l_quantity"].cast("int").alias("quantity"),
+        x["l_extendedprice"].cast("decimal(12,2)").cast("string").alias("price")))
+    orders = t.table("orders").join(items, "o_orderkey", "left").withColumn("products", F.coalesce(products, F.array()))
+    docs = orders.select(F.to_json(F.struct(
+        F.col("o_orderkey").alias("id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("userId"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
         F.col("o_totalprice").alias("total"),
         F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice")).alias("discountedTotal"),
-        size.alias("totalProducts"),
-        F.slice(items, F.lit(1), size).alias("products"),
+        F.size("products").alias("totalProducts"),
+        F.aggregate("products", F.lit(0), lambda n, x: n + x["quantity"]).alias("totalQuantity"),
+        "products",
     )).alias("raw_json"))
     return documents.parse_documents(docs, documents.CART_SCHEMA)
 
