@@ -73,6 +73,10 @@ def test_deliveries_give_what_a_load_of_the_days_gives(spark, store):
         increments.merge_deliveries(store, DAYS)
         check(store)
     assert increments.merge_deliveries(store, DAYS) == 0
+    facts_now = store.read("warehouse.fact_orders", identified=True)
+    assert facts_now.select("fact_orders_id").distinct().count() == facts_now.count()
+    # Rows that were not touched keep the time they were loaded at.
+    assert facts_now.select("created_at").distinct().count() > 1
     assert {r.status for r in store.read("staging.orders_clean").filter("order_id = 'A2' AND load_date = '2024-03-04'").collect()} == {"pending"}
 
 

@@ -13,6 +13,7 @@ from tidemart.operators import dimensions, quality
 from tidemart.operators.store import TableStore
 from tidemart.plans import daily, funnel, products, revenue
 from tidemart.plans.warehouse import StoredWarehouse
+from tidemart.sources import documents
 from tidemart.streaming import ingest
 
 DAY1, DAY2 = "2024-03-04", "2024-03-05"
@@ -233,6 +234,28 @@ def test_daily_run_end_to_end(spark, store, tmp_path):
     assert store.scalar(store.read("warehouse.mv_daily_orders_summary").agg(F.sum("units_sold"))) == 192
 
 
+def test_alternative_sources_and_row_ids(spark, store, tmp_path):
+    land(tmp_path, DAY1, 120, 600)  # no catalogue has landed on this Monday
+    catalogue = spark.createDataFrame([(f"P{i}", "n") for i in range(10)], "product_id STRING, product_name STRING")
+    asked = []
+
+    def service(day):
+        asked.append(day)
+        return documents.to_raw_products(catalogue, day)
+
+    run = daily.run_daily(store, str(tmp_path), DAY1, alternatives={
+        "products": [lambda day: service(day).limit(0), service], "orders": [lambda day: spark.createDataFrame(
+            [], "file_name STRING, ingested_at TIMESTAMP_NTZ, raw_json STRING, run_date DATE")]})
+    assert run.rows["raw.products_json"] == 10 and run.rows["warehouse.fact_orders"] == 120 and set(asked) == {DAY1}
+    first = {r.order_id: (r.fact_orders_id, r.created_at) for r in store.read("warehouse.fact_orders", identified=True).collect()}
+    daily.run_daily(store, str(tmp_path), DAY1)
+    again = {r.order_id: (r.fact_orders_id, r.created_at) for r in store.read("warehouse.fact_orders", identified=True).collect()}
+    assert {k: v[0] for k, v in first.items()} == {k: v[0] for k, v in again.items()}
+    assert len({v[0] for v in first.values()}) == 120 and min(v[1] for v in again.values()) > max(v[1] for v in first.values())
+    raw = store.read("raw.orders_json", identified=True)
+    assert raw.count() == raw.select("raw_orders_id").distinct().count() == 240 and raw.filter("created_at IS NULL").count() == 0
+
+
 def test_date_filter_reaches_the_scan(spark, store, tmp_path):
     land(tmp_path, DAY1, 100, 500, products=10)
     daily.run_daily(store, str(tmp_path), DAY1)

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.functions import day_column
+from tidemart.functions.exprs import surrogate_id
 from tidemart.operators import merge
 from tidemart.schemas import CONTRACTS, TableContract
 from tidemart.sources.landing import path_exists
@@ -100,13 +101,42 @@ class TableStore:
         return self.path(name) if self.exists(name) else None
 
     # ---- reading -----------------------------------------------------------------
-    def read(self, name: str) -> DataFrame:
-        """The table with its contract's columns; empty when nothing was written yet."""
+    def read(self, name: str, identified: bool = False) -> DataFrame:
+        """The table with its contract's columns; empty when nothing was written yet.
+
+        ``identified`` adds the row id and load time that the store keeps with the rows of
+        raw tables and facts.
+        """
         contract = self.contract(name)
+        ddl = contract.identified_ddl if identified else contract.ddl
         location = self.location(name)
         if location is None:
-            return self.spark.createDataFrame([], contract.ddl)
-        return self.spark.read.schema(contract.ddl).parquet(location).select(*contract.column_names)
+            return self.spark.createDataFrame([], ddl)
+        extra = [contract.identity, "created_at"] if identified and contract.identity else []
+        return self.spark.read.schema(ddl).parquet(location).select(*contract.column_names, *extra)
+
+    @staticmethod
+    def _identified(contract: TableContract, df: DataFrame, delivery: str | None = None) -> DataFrame:
+        """Rows with the id and load time of a table that keeps them.
+
+        The id of a row with a key is a digest of the key, the same after every rerun.  Raw
+        rows have no key and may repeat: theirs counts the rows of the delivery.  Rows that
+        come with a load time keep it.
+        """
+        if not contract.identity:
+            return df
+        if contract.key:
+            row = surrogate_id(*contract.key)
+        else:
+            row = F.md5(F.concat_ws("\x1f", F.lit(delivery), F.monotonically_increasing_id().cast("string")).cast("binary"))
+        now = F.current_timestamp().cast("timestamp_ntz")
+        stamp = F.coalesce("created_at", now) if "created_at" in df.columns else now
+        return df.withColumns({contract.identity: row, "created_at": stamp})
+
+    @staticmethod
+    def _kept_columns(contract: TableContract, df: DataFrame) -> list[str]:
+        """The contract's columns, and the load time if the rows carry one."""
+        return [*contract.column_names, *(["created_at"] if contract.identity and "created_at" in df.columns else [])]
 
     def scalar(self, df: DataFrame):
         """The first value of the first row, or None."""
@@ -126,9 +156,11 @@ class TableStore:
         """
         contract, observed = self.contract(name), Observation()
         # The rows written are counted in the same job, not by a second pass.
-        rows = df.select(*contract.column_names).observe(observed, F.count(F.lit(1)).alias("rows"))
+        name_of_delivery = delivery or f"load-{uuid.uuid4().hex}"
+        rows = self._identified(contract, df.select(*contract.column_names), name_of_delivery) \
+            .observe(observed, F.count(F.lit(1)).alias("rows"))
         if contract.within:
-            rows = rows.withColumn(contract.within, F.lit(delivery or f"load-{uuid.uuid4().hex}"))
+            rows = rows.withColumn(contract.within, F.lit(name_of_delivery))
         writer = rows.write.partitionBy(*contract.partitions)
         if delivery and contract.within:
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -206,7 +238,8 @@ class TableStore:
         contract, observed = self.contract(name), Observation()
         self._recover_folders(name)
         values = F.collect_set(F.array(*[F.col(p).cast("string") for p in contract.partitions]))
-        self._typed(contract, df).hint("rebalance", *contract.partitions) \
+        stamped = [F.col("created_at")] if "created_at" in self._kept_columns(contract, df) else []
+        self._typed(contract, df, *stamped).hint("rebalance", *contract.partitions) \
             .observe(observed, F.count(F.lit(1)).alias("rows"), values.alias("folders")) \
             .write.mode("overwrite").partitionBy(*contract.partitions).parquet(self._pending(name, "folders"))
         self._recover_folders(name)
@@ -219,7 +252,9 @@ class TableStore:
     def _recover_folders(self, name: str) -> None:
         contract, aside = self.contract(name), self._pending(name, "folders")
         if path_exists(self.spark, f"{aside}/_SUCCESS"):
-            self._day_writer(contract, self.spark.read.schema(contract.ddl).parquet(aside).select(*contract.column_names))
+            stamped = ["created_at"] if contract.identity else []
+            ddl = contract.ddl + (", created_at TIMESTAMP_NTZ" if stamped else "")
+            self._day_writer(contract, self.spark.read.schema(ddl).parquet(aside).select(*contract.column_names, *stamped))
         if path_exists(self.spark, aside):
             self._drop(aside)
 
@@ -243,7 +278,7 @@ class TableStore:
                 self._drop(f"{folder}/{stale}")
 
     def _day_writer(self, contract: TableContract, df: DataFrame) -> None:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        self._identified(contract, df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy(*contract.partitions).parquet(self.path(contract.name))
 
     def _overwrite_days(self, contract: TableContract, df: DataFrame) -> int:
@@ -303,9 +338,10 @@ class TableStore:
         return f"{self.path(name)}/of={number}", number
 
     @staticmethod
-    def _typed(contract: TableContract, df: DataFrame) -> DataFrame:
+    def _typed(contract: TableContract, df: DataFrame, *more: Column) -> DataFrame:
         """The contract's columns in its types, so that what is written aside reads back as it was."""
-        return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in (d.split(" ", 1) for d in contract.column_definitions)])
+        typed = [F.col(c).cast(kind).alias(c) for c, kind in (d.split(" ", 1) for d in contract.column_definitions)]
+        return df.select(*typed, *more)
 
     def _bucket(self, name: str) -> Column:
         contract = self.contract(name)
@@ -390,7 +426,8 @@ class TableStore:
         for layer in dict.fromkeys(n.split(".")[0] for n in CONTRACTS):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/_catalog/{layer}'")
         for name, contract in CONTRACTS.items():
-            typed = [definition.split(" ", 1) for definition in contract.column_definitions]
+            extra = [f"{contract.identity} STRING", "created_at TIMESTAMP_NTZ"] if contract.identity else []
+            typed = [definition.split(" ", 1) for definition in [*contract.column_definitions, *extra]]
             location = self.location(name)
             # A bucketed table without rows has no file that a view could take its columns from.
             if location is None or (contract.bucket_by and not path_exists(self.spark, f"{location}/*=*")):

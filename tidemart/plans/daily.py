@@ -92,8 +92,9 @@ class _Run:
 
         def step(kind: str, table: str, read: Callable[[str], DataFrame]) -> Callable[[], None]:
             def action() -> None:
-                self.result.rows[table] = self.store.append(
-                    table, read(landing.landing_path(self.root, kind, day)))
+                landed = read(landing.landing_path(self.root, kind, day))
+                others = [source(day) for source in self.options["alternatives"].get(kind, ())]
+                self.result.rows[table] = self.store.append(table, landing.first_available(landed, *others))
             return action
 
         self.log.together({f"extract_{k}": step(k, table, read) for k, (table, read) in readers.items()})
@@ -211,6 +212,7 @@ def run_daily(
     orders_range: tuple[int, int] = (quality.ORDERS_MIN, quality.ORDERS_MAX),
     events_range: tuple[int, int] = (quality.EVENTS_MIN, quality.EVENTS_MAX),
     scratch: str | None = None,
+    alternatives: dict[str, list[Callable[[str], DataFrame]]] | None = None,
 ) -> RunResult:
     """Load one day; raises ``QualityGateError`` when a check fails.
 
@@ -219,12 +221,16 @@ def run_daily(
     stops the run, failures, metrics and the run log are still written.  No ``run_date``
     means today (UTC).  ``scratch`` is a folder that all executors reach; the one named by
     ``spark.checkpoint.dir`` if not given.  Tables that are published are published again.
+
+    ``alternatives`` names what to read where a day's files are missing or empty: for
+    orders, events or products a list of functions from the day to rows of the raw table;
+    the first that has rows is taken (``documents.to_raw_*`` shape other sources so).
     """
     now = F.lit(as_of or _utc_now()).cast("timestamp_ntz")
     run = _Run(store, landing_root, str(run_date or _utc_now().date()), now, {
         "whole_file": whole_file, "strict": strict, "check_types": check_types,
         "user_attributes": user_attributes, "orders_range": orders_range, "events_range": events_range,
-        "scratch": scratch})
+        "scratch": scratch, "alternatives": alternatives or {}})
     store.recover()
     try:
         run.extract()

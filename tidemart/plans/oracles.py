@@ -329,6 +329,9 @@ ORACLES: dict[str, str] = {
                CAST(product AS VARCHAR) AS product_id, quantity, {money('price_cents')} AS unit_price,
                {money('quantity * price_cents')} AS revenue, '2001-08-01 12:00:00.000000' AS order_ts,
                'completed' AS status, '2001-08-01' AS load_date FROM item"""),
+    "first_available_source": """
+        SELECT '2001-07-23' AS run_date, CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name FROM part WHERE p_size <= 25
+        UNION ALL SELECT '2001-07-30', CAST(p_partkey AS VARCHAR), p_name FROM part""",
     "catalog_normalize": """
         SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
                CASE WHEN p_size >= 10 THEN p_type ELSE 'uncategorized' END AS category,
@@ -555,6 +558,9 @@ ORACLES: dict[str, str] = {
     "stream_late_recovery": with_ctes("ev", f"""
         SELECT event_id, user_id, NULLIF(product_id, '') AS product_id, event_type, {stamp('event_ts')} AS event_ts,
                '2024-01-31' AS load_date FROM ev"""),
+    "fact_row_ids": with_ctes("fact", """
+        SELECT md5(order_id || chr(31) || day) AS fact_orders_id, order_id, day AS load_date, CAST(1 AS BIGINT) AS stamped
+        FROM (SELECT order_id, strftime(DATE '2024-01-01' + CAST(split_part(order_id, '-', 1) AS INTEGER) % 30, '%Y-%m-%d') AS day FROM fact)"""),
     "mv_daily_orders_summary": with_ctes("fact", f"""
         SELECT date_id, COUNT(*) AS order_count, {money('SUM(cents)')} AS daily_revenue,
                CAST(SUM(quantity) AS BIGINT) AS units_sold FROM fact GROUP BY date_id"""),

@@ -147,6 +147,24 @@ def raw_products_scan(t: DriverTables) -> DataFrame:
     return rows.select("run_date", doc.alias("d")).select("run_date", "d.*")
 
 
+@query
+def first_available_source(t: DriverTables) -> DataFrame:
+    """Two catalogue days: one has landed; the other has not and comes from nested documents."""
+    root = scratch_dir(t.spark, "landing")
+    landed = landing.landing_path(root, "products", "2001-07-23")
+    smaller = t.table("part").filter("p_size <= 25").select(
+        F.col("p_partkey").cast("string").alias("product_id"), F.col("p_name").alias("product_name"))
+    smaller.select(F.to_json(F.struct("product_id", "product_name"))).write.text(landed)
+    days = []
+    for day in ("2001-07-23", "2001-07-30"):
+        file = landing.read_products(t.spark, landing.landing_path(root, "products", day), day)
+        catalogue = documents.to_raw_products(documents.normalize_catalog(_catalog(t)), day, _seen())
+        days.append(landing.first_available(file, file.limit(0), catalogue))
+    raw = days[0].unionByName(days[1])
+    return staging.document_fields(raw, ("product_id", "product_name")).select(
+        "run_date", F.col("doc_product_id").alias("product_id"), F.col("doc_product_name").alias("product_name"))
+
+
 @query
 def events_raw_line(t: DriverTables) -> DataFrame:
     rows = _event_text(t)
@@ -509,6 +527,18 @@ def fact_events_rejects(t: DriverTables) -> DataFrame:
     return facts.reject_fact_events(t.staged_events, t.dim_date, t.good_users).select(*NO_RAW)
 
 
+@query
+def fact_row_ids(t: DriverTables) -> DataFrame:
+    """Stored facts with the ids that the store gives them, after a day was loaded twice."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "ids"))
+    day = F.date_add(F.lit(JANUARY[0]).cast("date"), F.pmod(F.split_part("order_id", F.lit("-"), F.lit(1)).cast("int"), F.lit(30)))
+    rows = t.fact_orders.withColumn("load_date", day).withColumn("date_id", exprs.date_key(day))
+    store.reload_days("warehouse.fact_orders", rows)
+    store.reload_day("warehouse.fact_orders", rows.filter(F.col("load_date") == F.lit(JANUARY[0])), JANUARY[0])
+    return store.read("warehouse.fact_orders", identified=True).select(
+        "fact_orders_id", "order_id", "load_date", F.col("created_at").isNotNull().alias("stamped"))
+
+
 @query
 def mv_daily_orders_summary(t: DriverTables) -> DataFrame:
     return facts.daily_orders_summary(facts.orders_summary_parts(t.fact_orders))

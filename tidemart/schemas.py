@@ -29,6 +29,13 @@ class TableContract:
     required: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
     references: dict[str, str] = field(default_factory=dict)  # key column -> the dimension that must have it
+    # Name of a row id that the store adds to what it writes, with the time of the load
+    # (``created_at``); ``TableStore.read(name, identified=True)`` and the SQL views show both.
+    identity: str | None = None
+
+    @property
+    def identified_ddl(self) -> str:
+        return self.columns + (f", {self.identity} STRING, created_at TIMESTAMP_NTZ" if self.identity else "")
 
     @property
     def decimals(self) -> dict[str, tuple[int, int]]:
@@ -77,19 +84,19 @@ _ALL = [
     TableContract(
         "raw.orders_json", "append",
         "file_name STRING, ingested_at TIMESTAMP_NTZ, raw_json STRING, run_date DATE",
-        partition="run_date", within="delivery", required=("run_date", "ingested_at", "raw_json"),
+        identity="raw_orders_id", partition="run_date", within="delivery", required=("run_date", "ingested_at", "raw_json"),
     ),
     TableContract(
         "raw.events_csv", "append",
         "file_name STRING, ingested_at TIMESTAMP_NTZ, raw_line STRING, event_id STRING, user_id STRING, "
         "product_id STRING, event_type STRING, event_ts TIMESTAMP_NTZ, run_date DATE",
-        partition="run_date", within="delivery", required=("run_date", "ingested_at"),
+        identity="raw_events_id", partition="run_date", within="delivery", required=("run_date", "ingested_at"),
         max_length={"event_id": 256, "user_id": 256, "product_id": 256, "event_type": 100},
     ),
     TableContract(
         "raw.products_json", "append",
         "fetched_at TIMESTAMP_NTZ, raw_json STRING, run_date DATE",
-        partition="run_date", within="delivery", required=("run_date", "fetched_at", "raw_json"),
+        identity="raw_products_id", partition="run_date", within="delivery", required=("run_date", "fetched_at", "raw_json"),
     ),
     # ---- staging: typed, cleaned, one row per key and day ---------------------------
     TableContract(
@@ -160,7 +167,7 @@ _ALL = [
         "warehouse.fact_orders", "daily",
         "order_id STRING, user_id STRING, product_id STRING, date_id INT, quantity INT, "
         "revenue DECIMAL(12,2), order_ts TIMESTAMP_NTZ, status STRING, load_date DATE",
-        key=("order_id", "load_date"), partition="load_date", split="date_id",
+        key=("order_id", "load_date"), identity="fact_orders_id", partition="load_date", split="date_id",
         required=("order_id", "user_id", "product_id", "date_id", "quantity", "revenue", "order_ts",
                   "load_date"),
         max_length={"order_id": 256, "user_id": 256, "product_id": 256, "status": 50},
@@ -170,7 +177,7 @@ _ALL = [
         "warehouse.fact_events", "daily",
         "event_id STRING, user_id STRING, product_id STRING, date_id INT, event_type STRING, "
         "event_ts TIMESTAMP_NTZ, load_date DATE",
-        key=("event_id", "load_date"), partition="load_date", split="date_id",
+        key=("event_id", "load_date"), identity="fact_events_id", partition="load_date", split="date_id",
         required=("event_id", "user_id", "date_id", "event_type", "event_ts", "load_date"),
         max_length={"event_id": 256, "user_id": 256, "product_id": 256, "event_type": 100},
         references={"date_id": "warehouse.dim_date", "user_id": "warehouse.dim_user"},
