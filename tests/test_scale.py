@@ -7,13 +7,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.operators import dimensions, facts, quality, staging
+from tidemart.operators import dimensions, facts, merge, quality, staging
 from tidemart.plans import customers, funnel, health, products, registry, revenue
 from tidemart.plans.warehouse import Warehouse
 from tidemart.schemas import CONTRACTS
 
 # Queries that run jobs while they are being built (files landed, streams).
-BUILDS_FILES = {n for n in registry.QUERIES if n.startswith("stream_") or n.endswith("_scan")} | {"reload_day_idempotent"}
+BUILDS_FILES = {n for n in registry.QUERIES if n.startswith("stream_") or n.endswith("_scan")} | {"reload_day_idempotent", "backfill_days"}
 N = 6_000
 START = dt.datetime(2024, 3, 1)
 
@@ -190,3 +190,33 @@ def test_quarantine_reads_and_parses_once(spark):
     plan = registry.run("quarantine_orders", spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("json_tuple") == 1
     assert len([line for line in plan.splitlines() if "Relation" in line and "l_orderkey" in line]) == 1
+
+
+def test_as_of_join_spreads_a_busy_product_of_many_versions(spark, no_small_sides):
+    # A third of the sales go to one product whose price changes every three days.
+    history = spark.range(1000).selectExpr(
+        "'hot' AS product_id", "id AS version", "date_add(DATE '2015-01-01', CAST(id * 3 AS INT)) AS effective_from",
+        "CASE WHEN id < 999 THEN date_add(DATE '2015-01-01', CAST(id * 3 + 3 AS INT)) END AS effective_to").unionByName(
+        spark.range(50).selectExpr("CONCAT('P', id) AS product_id", "-id AS version", "DATE '2014-06-01' AS effective_from",
+                                   "CAST(NULL AS DATE) AS effective_to"))
+    sales = spark.range(30_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CONCAT('P', id % 60) END AS product_id",
+        "CASE WHEN id % 1000 <> 7 THEN TIMESTAMP_NTZ '2014-01-01 00:00:00' + make_dt_interval(CAST(id * 7919 % 3700 AS INT), CAST(id % 24 AS INT)) END AS at")
+    joined = merge.as_of_version(sales, history, "product_id", "at")
+    got = {r.id: r.version for r in joined.collect()}
+    start, expected = dt.date(2015, 1, 1), {}
+    for r in sales.collect():
+        if r.at is None:
+            continue
+        if r.product_id == "hot" and r.at.date() >= start:
+            expected[r.id] = min((r.at.date() - start).days // 3, 999)
+        elif r.product_id != "hot" and int(r.product_id[1:]) < 50 and r.at.date() >= dt.date(2014, 6, 1):
+            expected[r.id] = -int(r.product_id[1:])
+    assert got == expected
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        share = [r.n for r in merge.as_of_version(sales, history, "product_id", "at")
+                 .groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(share) == 8 and max(share) < 2 * sum(share) / 8

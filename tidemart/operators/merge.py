@@ -113,16 +113,23 @@ def merge_snapshots(history: DataFrame, snapshots: DataFrame, keys: list[str], t
     return history.filter(~is_open).unionByName(versions.select(*history.columns))
 
 
-def as_of_version(facts: DataFrame, history: DataFrame, key: str, at: str) -> DataFrame:
+def as_of_version(facts: DataFrame, history: DataFrame, key: str, at: str, bucket_days: int = 32) -> DataFrame:
     """Each fact row with the version of ``key`` valid at its ``at`` time (inner join).
 
-    An equi join on the key with the validity range as a residual: a row meets only the
-    versions of its own key, and the history is joined unhinted, so a history too large
-    to broadcast becomes a sort-merge join whose skewed fact partitions AQE splits.
+    Time is cut into buckets of days.  The buckets in which a key occurs (a distinct over
+    two columns) meet its versions first: what comes out are the few versions that overlap
+    a bucket.  The fact rows then join by key and bucket, and the range is checked among
+    those.  So the rows of one busy product spread over its buckets instead of one task, and
+    none of them is compared with a thousand versions.  Facts without a time match nothing.
     """
-    at_day = F.col(at).cast("timestamp_ntz")
-    starts = F.col("effective_from").cast("timestamp_ntz")
-    ends = F.col("effective_to").cast("timestamp_ntz")
-    valid = (at_day >= starts) & (ends.isNull() | (at_day < ends))
-    versions = history.withColumnRenamed(key, "_key")
-    return facts.join(versions, (F.col(key) == F.col("_key")) & valid, "inner").drop("_key")
+    rows = facts.withColumn("_bucket", F.floor(F.unix_date(F.col(at).cast("date")) / bucket_days).cast("int"))
+    met = rows.select(F.col(key).alias("_key"), F.col("_bucket").alias("_met")).distinct()
+    first_day = F.date_from_unix_date(F.col("_met") * bucket_days)
+    overlaps = (F.col("effective_from") < F.date_add(first_day, bucket_days)) \
+        & (F.col("effective_to").isNull() | (F.col("effective_to") > first_day))
+    versions = met.join(history.withColumnRenamed(key, "_key"), "_key").filter(overlaps)
+    at_time = F.col(at).cast("timestamp_ntz")
+    starts, ends = (F.col(c).cast("timestamp_ntz") for c in ("effective_from", "effective_to"))
+    valid = (at_time >= starts) & (ends.isNull() | (at_time < ends))
+    same = (F.col(key) == F.col("_key")) & (F.col("_bucket") == F.col("_met"))
+    return rows.join(versions, same & valid, "inner").drop("_key", "_met", "_bucket")
