@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,22 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def own_names(step):
+    """Lets ``step(rows, ...)`` use column names with a leading underscore for itself.
+
+    Columns of the caller that begin so are renamed on the way in and back on the way out; without any, nothing is changed.
+    """
+    @functools.wraps(step)
+    def run(rows: DataFrame, *args, **kwargs) -> DataFrame:
+        named = {a for a in (*args, *kwargs.values()) if isinstance(a, str)}
+        aside = {c: f"column {n} of the caller" for n, c in enumerate(rows.columns) if c.startswith("_") and c not in named}
+        if not aside:
+            return step(rows, *args, **kwargs)
+        return step(rows.withColumnsRenamed(aside), *args, **kwargs).withColumnsRenamed({v: k for k, v in aside.items()})
+
+    return run
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint if a count shows at most ``rows`` rows; the frame as it is (shuffled join) beyond."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import ITEM_GAP, lower_ascii, small, split_words, stored
+from tidemart.llm.common import ITEM_GAP, lower_ascii, own_names, small, split_words, stored
 
 WINDOW = 13
 SHINGLE = 5
@@ -105,6 +105,7 @@ def contamination_table(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         contaminated(F.coalesce("n_hit", F.lit(0)), F.col("n_words")).alias("contaminated"))
 
 
+@own_names
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
     counted, hits = contamination(docs, benchmark)

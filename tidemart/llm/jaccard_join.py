@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.llm import text_arrays as A
-from tidemart.llm.common import small, stored
+from tidemart.llm.common import own_names, small, stored
 from tidemart.llm.components import components, extended
 
 SHINGLE = 5
@@ -442,6 +442,7 @@ def near_duplicate_table(docs: DataFrame) -> DataFrame:
                         F.when(F.col("first") != NO_ID, F.col("first")).alias("component_id"))
 
 
+@own_names
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id, with all its columns.
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import lower_ascii, stored
+from tidemart.llm.common import lower_ascii, own_names, stored
 
 # Runs of one level that are merged into one run of the next.
 FAN_IN = 3
@@ -80,6 +80,7 @@ class LineRuns:
         return self.merged(self.runs()).where(F.col("n_docs") >= min_docs).select("k1", "k2", "keeper")
 
 
+@own_names
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = BATCHES) -> DataFrame:
     """``docs`` with ``text`` without repeated lines, plus ``n_lines`` (before) and ``n_dropped``.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import SPACES, WORD, small, split_words, stored
+from tidemart.llm.common import SPACES, WORD, own_names, small, split_words, stored
 
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS = 50
@@ -188,6 +188,7 @@ def quality_table(docs: DataFrame) -> DataFrame:
     return judge_statistics(stats).select("doc_id", *[F.col(f"_stats.{n}").alias(n) for n in names], F.col("_kept").alias("kept"))
 
 
+@own_names
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that ``quality_table`` keeps, with all their columns."""
     stats = stored(text_statistics(docs), "statistics")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tidemart.llm.common import lower_ascii
+from tidemart.llm.common import lower_ascii, own_names
 
 RULE_SCHEMA = StructType([StructField(n, StringType()) for n in ("host", "path", "verdict")])
 
@@ -30,6 +30,7 @@ def rules_frame(spark: SparkSession, rules: Sequence[tuple[str, str, str]]) -> D
     return spark.createDataFrame(list(rules), RULE_SCHEMA)
 
 
+@own_names
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
     """Every row of ``pages`` with ``host``, ``path``, ``rule`` and ``verdict`` appended (columns of those names are replaced).
 
