@@ -1,4 +1,4 @@
-"""Substring dedup by longest-previous-factor arrays over suffixes in order."""
+"""Substring dedup by grouping all windows of a fixed length by their hashes, in place of longest-previous-factor arrays."""
 
 from __future__ import annotations
 
@@ -21,12 +21,12 @@ def byte_values(chunk: A.Chunk, family: int = 0) -> tuple[np.ndarray, np.ndarray
     return A.BYTE_VALUES[family][chunk.data], chunk.bounds
 
 
-def factor_arrays(w1: np.ndarray, w2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each suffix has an earlier and a later one with the same first ``length`` bytes, which ``w1`` and ``w2`` hash.
+def neighbours(w1: np.ndarray, w2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each window has an equal one earlier and one later in the text order of the part.
 
-    Entries come in text order.  Put in suffix order, those with a common prefix of that length stand together, by position.  The
-    previous smaller position of an entry is then the entry before it, and its longest previous factor reaches the length exactly
-    if that entry's prefix is equal; the same holds for later copies.
+    Entries come in text order; ``w1`` and ``w2`` hash their windows.  A stable sort by both hashes puts equal windows side by
+    side, by position, so equality with the neighbours answers both.  Hashes have no suffix order, and no factor lengths or
+    smaller positions are computed: whether a byte goes depends on equality at one length only.
     """
     order = np.lexsort((w2, w1))
     same = (w1[order[1:]] == w1[order[:-1]]) & (w2[order[1:]] == w2[order[:-1]])
@@ -51,7 +51,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, keep_first: bool = Fa
         if part.empty:
             return
         row, pos, w1, w2 = part.row, part.pos, part.w1, part.w2
-        earlier, later = factor_arrays(w1, w2)
+        earlier, later = neighbours(w1, w2)
         gone = np.flatnonzero(earlier if keep_first else earlier | later)
         # Windows of one stretch follow each other: their union is cut where a window is missing.
         if len(gone):

@@ -1,4 +1,4 @@
-"""Substring dedup by prefix-partitioned suffix trees over words."""
+"""Substring dedup by grouping word windows depth by depth, in place of prefix-partitioned suffix trees."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from tidemart.llm.common import stored
 
 WINDOW = 50
 GRAM = 8
-# Depths (in words) at which a subtree branches; nodes at the window's length are the deep ones.
+# Depths (in words) at which windows are grouped before their whole length.
 DEPTHS = (8, 16, 32)
 SPANS = "array<struct<lo:bigint,hi:bigint>>"
 
@@ -31,11 +31,11 @@ def word_values(chunk: A.Chunk, family: int = 0) -> tuple[np.ndarray, np.ndarray
     return A.word_hashes(chunk, starts, ends, family), bounds
 
 
-def deep_nodes(part: R.Part) -> tuple[np.ndarray, np.ndarray]:
-    """Leaves below internal nodes of the part's suffix tree at full depth, and their node, nodes in order.
+def equal_windows(part: R.Part) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of the part that equal another one, and their group, groups in order.
 
-    The tree is grown from the root down: leaves are ordered by node and by the words up to the next depth, and only nodes with
-    two leaves or more are entered, so most leaves stop early.
+    Windows are grouped by hashes of their first words, then of more, then of all; groups of one are left behind at each
+    depth, so most windows stop early.  These are the levels of a tree of windows, not the nodes of a suffix tree.
     """
     leaves = np.arange(len(part.row))
     node = np.zeros(len(leaves), np.int64)
@@ -51,9 +51,9 @@ def deep_nodes(part: R.Part) -> tuple[np.ndarray, np.ndarray]:
 def later_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """(t1, t2, lo, hi): words of each distinct text inside windows that also start in a text whose first doc_id is smaller.
 
-    Suffixes are dealt by a prefix: the anchor of their window, 8 words long.  A prefix with more suffixes than a part should
-    hold is dealt further by salt; each part then decides what it can, and what is left meets by its longest prefix, the whole
-    window, with the smallest doc_id summed up before the shuffle.
+    Windows are dealt by their anchor, 8 words inside the window.  An anchor with more windows than a part should hold is dealt
+    further by salt; each part then decides what it can, and what is left meets by the whole window, with the smallest doc_id
+    taken before the shuffle.
     """
 
     def cut(chunk: A.Chunk, i: int, at: np.ndarray, n: np.ndarray) -> list[bytes]:
@@ -66,7 +66,7 @@ def later_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
         if part.empty:
             return
         gone = np.zeros(len(part.row), bool)
-        leaves, node = deep_nodes(part)
+        leaves, node = equal_windows(part)
         if len(leaves):
             node = np.cumsum(np.append(True, node[1:] != node[:-1])) - 1
             owner = part.owner[part.row[leaves]]
