@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import sys
 from array import array
 from collections.abc import Iterator
@@ -11,8 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pieces and token pairs a task remembers; a full memory is emptied, which changes no result.
-MEMORY = 200_000
+# Pieces a worker remembers twice over (those met lately and those before them), and token pairs it remembers; forgetting
+# changes no result.
+MEMORY = 150_000
 REMEMBERED_CHARS = 64
 # Start positions whose matches are held at once: bounds the memory of a piece of megabytes.
 BLOCK = 4096
@@ -132,6 +134,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.longest = max(self.length.values())
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def compatible(self, left: int, right: int) -> bool:
@@ -157,10 +160,8 @@ class Encoder:
         if (whole := self.ranks.get(data)) is not None:
             return array("I", [whole])
         text, n = data.decode("latin-1"), len(data)
-        given_up = bytearray(n + 1)
-        ids, ranks_left = array("I"), array("I")
+        length, pairs, compatible = self.length, self.pairs, self.compatible
         blocks: dict[int, list[list[int]]] = {}
-        length, compatible = self.length, self.compatible
 
         def in_blocks(position: int) -> list[int]:
             block, place = divmod(position, BLOCK)
@@ -171,54 +172,75 @@ class Encoder:
             return blocks[block][place]
 
         at = self.matches(text).__getitem__ if n <= BLOCK else in_blocks
-        position = 0
-        while position < n:
-            choices = at(position)
-            left = len(choices)
-            last = ids[-1] if ids else None
-            while True:
-                while left:
-                    left -= 1
-                    token = choices[left]
-                    if not given_up[position + length[token]] and (last is None or compatible(last, token)):
-                        break
-                else:
-                    # Nothing fits here: the token before gives way to a shorter one.
-                    given_up[position] = 1
-                    position -= length[ids.pop()]
-                    left = ranks_left.pop()
-                    choices = at(position)
-                    last = ids[-1] if ids else None
+        # Tokens so far, and how many shorter ones were left to try in the place of each.
+        ids: list[int] = []
+        untried: list[int] = []
+        given_up: set[int] = set()
+        position, last = 0, None
+        choices = at(0)
+        left = len(choices)
+        while True:
+            while left:
+                left -= 1
+                token = choices[left]
+                end = position + length[token]
+                if end in given_up:
                     continue
+                if last is not None:
+                    fits = pairs.get((last, token))
+                    if not (compatible(last, token) if fits is None else fits):
+                        continue
+                ids.append(token)
+                if end == n:
+                    return array("I", ids)
+                untried.append(left)
+                position, last = end, token
+                choices = at(position)
+                left = len(choices)
                 break
-            ids.append(token)
-            ranks_left.append(left)
-            position += length[token]
-        return ids
+            else:
+                # Nothing fits here: the token before gives way to a shorter one.
+                given_up.add(position)
+                position -= length[ids.pop()]
+                left = untried.pop()
+                choices = at(position)
+                last = ids[-1] if ids else None
 
     def split(self, text: str) -> list[str]:
         if text.isascii() or self.odd.isdisjoint(text):
             return self.pieces.findall(text)
         return [text[m.start():m.end()] for m in self.pieces.finditer(text.translate(self.stand_ins))]
 
+    def packed(self, piece: str) -> bytes:
+        ids = self.merged(piece.encode("utf-8"))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         known, out = self.known, []
         for piece in self.split(text):
             ids = known.get(piece)
             if ids is None:
-                found = self.merged(piece.encode("utf-8"))
-                if sys.byteorder == "big":
-                    found.byteswap()
-                ids = found.tobytes()
+                ids = self.older.get(piece) or self.packed(piece)
                 if len(piece) <= REMEMBERED_CHARS:
                     if len(known) >= MEMORY:
-                        known.clear()
+                        # Pieces that are still in use come back from the older ones.
+                        self.older, self.known = known, {}
+                        known = self.known
                     known[piece] = ids
             out.append(ids)
         return b"".join(out)
 
 
+@functools.lru_cache(maxsize=2)
+def worker_encoder(ranks_path: str, pattern: str, stand_ins: tuple[tuple[int, str], ...]) -> Encoder:
+    """One encoder for each Python worker: its tables and memories serve all tasks that run there."""
+    ranks = read_ranks(ranks_path)
+    return Encoder(ranks, MergeTable(ranks), pattern, dict(stand_ins))
+
+
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids (binary: little-endian unsigned 32-bit token ids of the whole text).
 
@@ -226,11 +248,11 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     tasks hold the vocabulary, a bounded memory of pieces and pairs, and the text at hand.  Null and empty texts have no ids;
     repeated rows repeat; other columns do not matter.
     """
-    ranks = read_ranks(ranks_path)
-    table, stand_ins = MergeTable(ranks), class_stand_ins(pattern)
+    MergeTable(read_ranks(ranks_path))  # refuses a vocabulary here, not in every task
+    stand_ins = tuple(class_stand_ins(pattern).items())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(ranks, table, pattern, stand_ins)
+        encoder = worker_encoder(ranks_path, pattern, stand_ins)
         for batch in batches:
             ids = [encoder.encode(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
@@ -245,9 +267,9 @@ def decode_ids(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
     An id that the vocabulary lacks raises, like a file cut inside an id.
     """
-    tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
         for batch in batches:
             data = [b"".join(map(tokens.__getitem__, memoryview(ids or b"").cast("I"))) for ids in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())],
