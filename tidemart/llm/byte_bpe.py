@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import functools
 import sys
 from array import array
 from collections.abc import Iterator
@@ -12,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Pieces a worker remembers twice over (those met lately and those before them), and token pairs it remembers; forgetting
+# Pieces a task remembers twice over (those met lately and those before them), and token pairs it remembers; forgetting
 # changes no result.
-MEMORY = 150_000
+MEMORY = 100_000
 REMEMBERED_CHARS = 64
 # Start positions whose matches are held at once: bounds the memory of a piece of megabytes.
 BLOCK = 4096
@@ -234,13 +233,6 @@ class Encoder:
         return b"".join(out)
 
 
-@functools.lru_cache(maxsize=2)
-def worker_encoder(ranks_path: str, pattern: str, stand_ins: tuple[tuple[int, str], ...]) -> Encoder:
-    """One encoder for each Python worker: its tables and memories serve all tasks that run there."""
-    ranks = read_ranks(ranks_path)
-    return Encoder(ranks, MergeTable(ranks), pattern, dict(stand_ins))
-
-
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Per document: doc_id, n_tokens, ids (binary: little-endian unsigned 32-bit token ids of the whole text).
 
@@ -249,10 +241,11 @@ def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     repeated rows repeat; other columns do not matter.
     """
     MergeTable(read_ranks(ranks_path))  # refuses a vocabulary here, not in every task
-    stand_ins = tuple(class_stand_ins(pattern).items())
+    stand_ins = class_stand_ins(pattern)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(ranks_path, pattern, stand_ins)
+        ranks = read_ranks(ranks_path)
+        encoder = Encoder(ranks, MergeTable(ranks), pattern, stand_ins)
         for batch in batches:
             ids = [encoder.encode(text) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(i) // 4 for i in ids], pa.int64()),
