@@ -1,4 +1,4 @@
-"""Substring dedup by grouping all windows of a fixed length by their hashes, in place of longest-previous-factor arrays."""
+"""Substring dedup by longest previous factors: previous and next smaller positions in suffix order."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemart.llm import repeats as R
 from tidemart.llm import text_arrays as A
 from tidemart.llm.common import stored
+from tidemart.llm.suffixes import Suffixes, packed, previous_factors
 
 LENGTH = 400
 GRAM = 32
@@ -21,25 +22,14 @@ def byte_values(chunk: A.Chunk, family: int = 0) -> tuple[np.ndarray, np.ndarray
     return A.BYTE_VALUES[family][chunk.data], chunk.bounds
 
 
-def neighbours(w1: np.ndarray, w2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each window has an equal one earlier and one later in the text order of the part.
-
-    Entries come in text order; ``w1`` and ``w2`` hash their windows.  A stable sort by both hashes puts equal windows side by
-    side, by position, so equality with the neighbours answers both.  Hashes have no suffix order, and no factor lengths or
-    smaller positions are computed: whether a byte goes depends on equality at one length only.
-    """
-    order = np.lexsort((w2, w1))
-    same = (w1[order[1:]] == w1[order[:-1]]) & (w2[order[1:]] == w2[order[:-1]])
-    earlier, later = np.zeros(len(order), bool), np.zeros(len(order), bool)
-    earlier[order[1:]] = same
-    later[order[:-1]] = same
-    return earlier, later
-
-
 def repeated_spans(texts: DataFrame, length: int = LENGTH, keep_first: bool = False) -> DataFrame:
     """(t1, t2, lo, hi): bytes of each distinct text inside ``length``-byte strings that start elsewhere too.
 
     With ``keep_first`` only later copies count, in the order of (owner, text hash, position).  Exact copies of a whole text are not compared with each other here.
+
+    Windows of ``length`` bytes that may occur again are dealt by an anchor inside them.  A part orders the suffixes of its distinct
+    stretches; a window repeats an earlier one if its longest previous factor is ``length`` or more, and the place that has the
+    factor is repeated by it.
     """
 
     def cut(chunk: A.Chunk, i: int, at: np.ndarray, n: np.ndarray) -> list[bytes]:
@@ -47,25 +37,42 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, keep_first: bool = Fa
         return [chunk.data[x:y].tobytes() for x, y in zip(lo, lo + n + length - 1, strict=True)]
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = R.Part(batches, byte_values, length)
+        part = R.Part(batches)
         if part.empty:
             return
-        row, pos, w1, w2 = part.row, part.pos, part.w1, part.w2
-        earlier, later = neighbours(w1, w2)
-        gone = np.flatnonzero(earlier if keep_first else earlier | later)
-        # Windows of one stretch follow each other: their union is cut where a window is missing.
-        if len(gone):
-            new = np.ones(len(gone), bool)
-            new[1:] = (gone[1:] != gone[:-1] + 1) | (row[gone[1:]] != row[gone[:-1]])
-            at = np.flatnonzero(new)
-            r, last = row[gone[at]], gone[np.append(at[1:], len(gone)) - 1]
-            yield R.found_batch(part.t1[r], part.t2[r], pos[gone[at]], pos[last] + length, 0 * r, 0 * r, part.owner[r], np.zeros(len(r), bool))
+        data, bounds = part.chunk.data, part.chunk.bounds
+        width = min(8, length)
+        suffixes = Suffixes(packed(data, width), bounds, length, width)
+        factor, source = previous_factors(suffixes)
+        long_ = factor >= length
+        earlier = np.zeros(len(data), bool)
+        earlier[suffixes.order[long_]] = True
+        again = earlier.copy()
+        again[source[long_]] = True
+        # The first place of each string goes where its factors say; the others, and the first too unless it is to stay, repeat it.
+        string, lo, hi = part.runs(earlier if keep_first else again, bounds)
+        copies = np.bincount(part.string)
+        others = np.ones(len(part.string), bool)
+        others[part.first] = False
+        if not keep_first:
+            others |= copies[part.string] > 1
+        r = np.append(part.first[string], np.flatnonzero(others))
+        size = np.diff(bounds)[part.string[others]]
+        lo, hi = np.append(lo, 0 * size), np.append(hi + length - 1, size)
+        if len(r):
+            yield R.found_batch(part.t1[r], part.t2[r], part.at[r] + lo, part.at[r] + hi, 0 * r, 0 * r, part.owner[r], np.zeros(len(r), bool))
         # Of anchors that are split over parts, the first of each distinct window goes on.
-        split = np.flatnonzero(~earlier & (part.salt[row] > 0))
+        if not part.salt.any():
+            return
+        window = np.zeros(len(data), bool)
+        window[suffixes.order] = True
+        split = np.flatnonzero(window & ~earlier & np.repeat(part.salt[part.first] > 0, np.diff(bounds)))
+        w1, w2 = (A.window_hashes(A.BYTE_VALUES[family][data], length, family).view(np.int64) for family in (0, 1))
         for k in range(0, len(split), 100_000):
             s = split[k:k + 100_000]
-            r = row[s]
-            yield R.found_batch(part.t1[r], part.t2[r], pos[s], 0 * r, w1[s].view(np.int64), w2[s].view(np.int64), part.owner[r], np.ones(len(s), bool))
+            string = np.searchsorted(bounds, s, "right") - 1
+            r = part.first[string]
+            yield R.found_batch(part.t1[r], part.t2[r], part.at[r] + s - bounds[string], 0 * r, w1[s], w2[s], part.owner[r], np.ones(len(s), bool))
 
     stretches = R.repeated_stretches(texts, byte_values, length, GRAM, cut, bytes_each=700)
     found = stored(stretches.mapInArrow(solve, R.FOUND), "factors")

@@ -6,6 +6,7 @@ have equal anchors; only windows whose anchor occurs in two places are shipped,
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ from tidemart.llm.common import stored
 
 NO_ID = -(1 << 63)
 # An anchor with more places than this is split over parts, and its windows are compared across parts afterwards.  Bounded by
-# a task's memory: 20,000 places have some 4 million windows of about 40 bytes each.
+# a task's memory: 20,000 places have some 12 MB of text, and a suffix order takes about 50 bytes for each byte of distinct strings.
 GROUP_PLACES = 20_000
 # Bytes of text that a part holds on average.
 PART_BYTES = 4 << 20
@@ -88,7 +89,8 @@ def repeated_stretches(texts: DataFrame, values: Values, window: int, gram: int,
                     held = marks[row].as_py()
                     at, n = np.array([m["at"] for m in held]), np.array([m["n"] for m in held])
                     for m, data in zip(held, cut(chunk, i, at, n), strict=True):
-                        out.append((m["a"], 0 if m["salts"] < 2 else 1 + t1[row] % m["salts"], t1[row], t2[row], owner[row], m["at"], m["n"], data))
+                        # Equal strings of a split anchor go to the same part, where they are held once.
+                        out.append((m["a"], 0 if m["salts"] < 2 else 1 + zlib.crc32(data) % m["salts"], t1[row], t2[row], owner[row], m["at"], m["n"], data))
                 if out:
                     kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)],
@@ -117,46 +119,52 @@ def found_batch(t1, t2, lo, hi, w1, w2, owner, spread) -> pa.RecordBatch:
 
 
 class Part:
-    """The stretches of one part as arrays: one entry for each window, one row for each stretch.
+    """The stretches of one part: a row for each place, in the order of places, and the distinct strings that they hold.
 
-    ``w1`` and ``w2`` hash the whole window; ``levels`` hash its first values, for each length in ``prefixes``.
+    Places are in the order of (owner, text hash, position).  Strings are numbered and laid end to end in the order of their first
+    places, so a hot group of copies is held once.  ``string`` is the number of each row's string, ``first`` the first row of each.
     """
 
-    def __init__(self, batches: Iterator[pa.RecordBatch], values: Values, window: int, prefixes: tuple[int, ...] = ()) -> None:
-        columns: list[list] = [[] for _ in range(7)]
-        first, second, sizes = [], [], []
-        levels: list[list] = [[] for _ in prefixes]
+    def __init__(self, batches: Iterator[pa.RecordBatch]) -> None:
+        columns: list[list] = [[] for _ in range(5)]
+        strings: dict[bytes, int] = {}
+        numbers: list[int] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            for held, i in zip(columns, range(7), strict=True):
+            for held, i in zip(columns, range(1, 6), strict=True):
                 held.append(batch.column(i).to_numpy(zero_copy_only=False))
-            for chunk in A.chunks(batch.column(7)):
-                for family, out in ((0, first), (1, second)):
-                    v, bounds = values(chunk, family)
-                    h, n = A.window_hashes(v, window, family), np.diff(bounds) - window + 1
-                    inside = np.repeat(bounds[:-1] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    out.append(h[inside])
-                    if family == 0:
-                        for prefix, level in zip(prefixes, levels, strict=True):
-                            level.append(A.window_hashes(v, prefix, 0)[inside])
-                sizes.append(n)
-        self.empty = not first
+            numbers.extend(strings.setdefault(data, len(strings)) for data in batch.column(7).to_pylist())
+        self.empty = not numbers
         if self.empty:
             return
-        salt, t1, t2, owner, at, n = (np.concatenate(c) for c in columns[1:])
-        assert (np.concatenate(sizes) == n).all()
-        begins = np.cumsum(n) - n
-        # Stretches in the order of their places, so that windows are in that order too; rows that repeat each other bring the
-        # same stretch twice.
+        salt, t1, t2, owner, at = (np.concatenate(c) for c in columns)
         order = np.lexsort((at, t2, t1, owner))
-        again = np.zeros(len(n), bool)
+        # Rows that repeat each other bring the same stretch twice.
+        again = np.zeros(len(order), bool)
         again[1:] = (at[order[1:]] == at[order[:-1]]) & (t1[order[1:]] == t1[order[:-1]]) & (t2[order[1:]] == t2[order[:-1]])
         order = order[~again]
-        self.salt, self.t1, self.t2, self.owner, at, n, begins = (x[order] for x in (salt, t1, t2, owner, at, n, begins))
-        self.row = np.repeat(np.arange(len(n), dtype=np.int32), n)
-        within = np.arange(len(self.row)) - np.repeat(np.cumsum(n) - n, n)
-        self.pos = at[self.row] + within
-        within += begins[self.row]
-        self.w1, self.w2 = np.concatenate(first)[within], np.concatenate(second)[within]
-        self.levels = [np.concatenate(level)[within] for level in levels]
+        self.salt, self.t1, self.t2, self.owner, self.at = (x[order] for x in (salt, t1, t2, owner, at))
+        _, first, number = np.unique(np.array(numbers)[order], return_index=True, return_inverse=True)
+        by_place = np.argsort(first)
+        self.first = first[by_place]
+        self.string = np.argsort(by_place)[number]
+        held = list(strings)
+        texts = [held[n] for n in np.array(numbers)[order][self.first]]
+        bounds = np.cumsum([0, *map(len, texts)])
+        self.chunk = A.Chunk(0, np.frombuffer(b"".join(texts), np.uint8), bounds)
+
+    def runs(self, gone: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(string, from, to) of the runs of ``gone``, which has an entry for each value of the strings cut by ``bounds``."""
+        places = np.flatnonzero(gone)
+        string = np.searchsorted(bounds, places, "right") - 1
+        new = np.ones(len(places), bool)
+        new[1:] = (places[1:] != places[:-1] + 1) | (string[1:] != string[:-1])
+        at = np.flatnonzero(new)
+        last = np.append(at[1:], len(places)) - 1 if len(at) else at
+        return string[at], places[at] - bounds[string[at]], places[last] + 1 - bounds[string[at]]
+
+
+def each_row(strings: np.ndarray, of_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, entry) for every row of ``of_rows`` and entry of the ascending ``strings`` that have the same string."""
+    lo, hi = np.searchsorted(strings, of_rows, "left"), np.searchsorted(strings, of_rows, "right")
+    row = np.repeat(np.arange(len(of_rows)), hi - lo)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[row]

@@ -1,4 +1,4 @@
-"""Substring dedup by grouping word windows depth by depth, in place of prefix-partitioned suffix trees."""
+"""Substring dedup by suffix trees over words: deep internal nodes give the repeats."""
 
 from __future__ import annotations
 
@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from tidemart.llm import repeats as R
 from tidemart.llm import text_arrays as A
 from tidemart.llm.common import stored
+from tidemart.llm.suffixes import Suffixes
 
 WINDOW = 50
 GRAM = 8
-# Depths (in words) at which windows are grouped before their whole length.
-DEPTHS = (8, 16, 32)
 SPANS = "array<struct<lo:bigint,hi:bigint>>"
 
 
@@ -31,29 +30,32 @@ def word_values(chunk: A.Chunk, family: int = 0) -> tuple[np.ndarray, np.ndarray
     return A.word_hashes(chunk, starts, ends, family), bounds
 
 
-def equal_windows(part: R.Part) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of the part that equal another one, and their group, groups in order.
+def word_numbers(chunk: A.Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word of the chunk, equal for equal words (by 128 bits of hash), and ``bounds`` in words."""
+    starts, ends, bounds = _words(chunk)
+    first, second = (A.word_hashes(chunk, starts, ends, family) for family in (0, 1))
+    order = np.lexsort((second, first))
+    numbers = np.zeros(len(order), np.int64)
+    numbers[order] = A.runs_of([first[order], second[order]]) if len(order) else order
+    return numbers, bounds
+
 
-    Windows are grouped by hashes of their first words, then of more, then of all; groups of one are left behind at each
-    depth, so most windows stop early.  These are the levels of a tree of windows, not the nodes of a suffix tree.
+def deep_nodes(suffixes: Suffixes) -> np.ndarray:
+    """The number of the subtree at the tree's full depth that each entry of ``suffixes.order`` is a leaf of.
+
+    Neighbours in suffix order share a node as deep as what they have in common: maximal runs that share ``depth`` or more are
+    the leaves under one internal node of that depth, the maximal repeats that long; runs of one are leaves alone.
     """
-    leaves = np.arange(len(part.row))
-    node = np.zeros(len(leaves), np.int64)
-    for keys in [*[(level,) for level in part.levels], (part.w1, part.w2)]:
-        order = np.lexsort((*(k[leaves] for k in keys), node))
-        leaves, node = leaves[order], node[order]
-        node = A.runs_of([node, *(k[leaves] for k in keys)])
-        branching = (np.bincount(node) > 1)[node] if len(node) else np.zeros(0, bool)
-        leaves, node = leaves[branching], node[branching]
-    return leaves, node
+    return np.cumsum(suffixes.common < suffixes.depth) - 1
 
 
 def later_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """(t1, t2, lo, hi): words of each distinct text inside windows that also start in a text whose first doc_id is smaller.
 
-    Windows are dealt by their anchor, 8 words inside the window.  An anchor with more windows than a part should hold is dealt
-    further by salt; each part then decides what it can, and what is left meets by the whole window, with the smallest doc_id
-    taken before the shuffle.
+    Windows that may occur again are dealt by an anchor, 8 words inside the window.  A part splits the suffixes of its distinct
+    stretches by prefixes, longer ones where more than one suffix is left, into the subtrees of their common windows.  An anchor
+    with more windows than a part should hold is dealt further by salt; each part then decides what it can, and what is left
+    meets by the whole window, with the smallest doc_id taken before the shuffle.
     """
 
     def cut(chunk: A.Chunk, i: int, at: np.ndarray, n: np.ndarray) -> list[bytes]:
@@ -62,30 +64,37 @@ def later_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
         return [chunk.data[x:y].tobytes() for x, y in zip(starts[lo], ends[lo + n + window - 2], strict=True)]
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = R.Part(batches, word_values, window, tuple(d for d in DEPTHS if d < window))
+        part = R.Part(batches)
         if part.empty:
             return
-        gone = np.zeros(len(part.row), bool)
-        leaves, node = equal_windows(part)
-        if len(leaves):
-            node = np.cumsum(np.append(True, node[1:] != node[:-1])) - 1
-            owner = part.owner[part.row[leaves]]
-            least = np.full(node[-1] + 1, np.iinfo(np.int64).max)
-            np.minimum.at(least, node, owner)
-            gone[leaves[owner > least[node]]] = True
-        w = np.flatnonzero(gone)
-        if len(w):
-            row, pos = part.row[w], part.pos[w]
-            new = np.ones(len(w), bool)
-            new[1:] = (w[1:] != w[:-1] + 1) | (row[1:] != row[:-1])
-            at = np.flatnonzero(new)
-            r, last = row[at], np.append(at[1:], len(w)) - 1
-            yield R.found_batch(part.t1[r], part.t2[r], pos[at], pos[last] + window, 0 * r, 0 * r, part.owner[r], np.zeros(len(r), bool))
-        left = np.flatnonzero(~gone & (part.salt[part.row] > 0))
-        for k in range(0, len(left), 100_000):
-            w = left[k:k + 100_000]
-            r = part.row[w]
-            yield R.found_batch(part.t1[r], part.t2[r], part.pos[w], 0 * r, part.w1[w].view(np.int64), part.w2[w].view(np.int64), part.owner[r], np.ones(len(w), bool))
+        numbers, bounds = word_numbers(part.chunk)
+        suffixes = Suffixes(numbers, bounds, window)
+        string = np.repeat(np.arange(len(part.first)), np.diff(bounds))
+        owner = part.owner[part.first][string]
+        node = deep_nodes(suffixes)
+        least = np.minimum.reduceat(owner[suffixes.order], np.flatnonzero(np.diff(node, prepend=-1)))[node]
+        gone = np.zeros(len(numbers), bool)
+        gone[suffixes.order] = owner[suffixes.order] > least
+        # Rows of a string's smallest doc_id lose what a smaller one has; all other rows repeat that doc_id's.
+        lowest = part.owner == part.owner[part.first][part.string]
+        rows, others = np.flatnonzero(lowest), np.flatnonzero(~lowest)
+        of, lo, hi = part.runs(gone, bounds)
+        row, entry = R.each_row(of, part.string[rows])
+        r = np.append(rows[row], others)
+        size = np.diff(bounds)[part.string[others]]
+        lo, hi = np.append(lo[entry], 0 * size), np.append(hi[entry] + window - 1, size)
+        if len(r):
+            yield R.found_batch(part.t1[r], part.t2[r], part.at[r] + lo, part.at[r] + hi, 0 * r, 0 * r, part.owner[r], np.zeros(len(r), bool))
+        if not part.salt.any():
+            return
+        left = np.zeros(len(numbers), bool)
+        left[suffixes.order] = True
+        left = np.flatnonzero(left & ~gone & (part.salt[part.first] > 0)[string])
+        w1, w2 = (A.window_hashes(word_values(part.chunk, family)[0], window, family).view(np.int64) for family in (0, 1))
+        for k in range(0, len(rows), 1_000):
+            row, entry = R.each_row(string[left], part.string[rows[k:k + 1_000]])
+            r, w = rows[k + row], left[entry]
+            yield R.found_batch(part.t1[r], part.t2[r], part.at[r] + w - bounds[string[w]], 0 * r, w1[w], w2[w], part.owner[r], np.ones(len(r), bool))
 
     stretches = R.repeated_stretches(texts, word_values, window, GRAM, cut, bytes_each=500)
     found = stored(stretches.mapInArrow(solve, R.FOUND), "subtrees")
