@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from helpers import DOCS, ODD_TEXTS, collected, documents, words
+from pyspark.sql import functions as F
 
 from tidemart.llm import bpe_count, line_runs, mixing, queries, url_rules
 
@@ -67,8 +68,10 @@ def brute_targets(sizes, cycle=(5, 2, 1)):
     return share
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_mix_matches_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "most"), [(1, 20_000), (2, 20_000), (3, 3), (4, 1)])
+def test_mix_matches_brute_force(spark, monkeypatch, seed, most):
+    monkeypatch.setattr(mixing, "SLICE_ROWS", most)
+    monkeypatch.setattr(mixing, "SLICES", 8)
     rng = random.Random(seed)
     names = ["a", "b", "Z", "é", None, "empty", "tiny"]
     rows = [(i, words(rng, rng.choice([1, 5, 40, 300])) + (" #$%" * rng.randrange(3)), "en", rng.choices(names[:5], [60, 5, 5, 2, 5])[0], 1)
@@ -99,6 +102,24 @@ def test_mix_matches_brute_force(spark, seed):
     assert Counter((r["doc_id"], r["size"], r["source_size"], round(r["target"], 6), r["taken"]) for r in got) == want
 
 
+def test_budget_of_a_noisy_source_ends_in_few_rows(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE_ROWS", 100)
+    key = F.when(F.col("id") % 3 == 0, 40.0).otherwise(1.0) * -F.log((F.xxhash64("id") % 1_000_000 + 1_000_001) / 2_000_002.0)
+    sized = spark.range(40_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 > 0, F.lit("noisy")).alias("source"),
+                                       (F.col("id") % 7).alias("size"), key.alias("_key")).cache()
+    plan = sized.groupBy(F.col("source").alias("_s")).agg(
+        F.floor(0.8 * F.sum("size")).alias("_rest"), F.min("_key").alias("_lo"), F.max("_key").alias("_hi"), F.lit(0).cast("long").alias("_done"),
+        F.count(F.lit(1)).alias("_rows"))
+    ends = mixing.budget_ends(sized, plan).collect()
+    assert {r["_s"] for r in ends} == {None, "noisy"}
+    rows = [tuple(r) for r in sized.select("source", "_key", "size").collect()]
+    for r in ends:
+        inside = [n for s, k, n in rows if s == r["_s"] and r["_lo"] <= k <= r["_hi"]]
+        assert len(inside) == r["_rows"] <= 100
+        assert r["_done"] == sum(n for s, k, n in rows if s == r["_s"] and k < r["_lo"])
+        assert r["_done"] < r["_rest"] <= r["_done"] + sum(inside)
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mix_sources(documents(spark, [])).collect() == []
     assert [r["taken"] for r in mixing.mix_sources(documents(spark, [None, ""])).collect()] == [0, 0]

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemart.llm.common import WORD, small, stored
 
-# Rows of one source that share a slice of the key range are ordered in one task; about so many at most on average.
-SLICE_ROWS = 20_000
+# Rows of one source that are ordered in one task; the range of keys in which a budget ends is sliced until it has no more.
+SLICE_ROWS, SLICES = 20_000, 256
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -48,14 +48,34 @@ def source_targets(sizes: DataFrame, cycle: Sequence[int] = (5, 2, 1), share: fl
     return ranked.select("source", "source_size", "w", target.cast("double").alias("target"))
 
 
+def budget_ends(sized: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per source: the closed range of keys (``_lo``, ``_hi``) in which its budget ``_rest`` ends, the words of smaller keys
+    (``_done``) and the rows of the range (``_rows``).
+
+    A range with more than ``SLICE_ROWS`` rows is cut into slices of equal width, and the slice in which the budget ends is the
+    next range, by the least and greatest key that it holds.  Only sums of slices are accumulated.  Every round leaves out rows
+    until a range has few, or rows of one key only, whatever the spread of keys: a noisy source needs a round more.
+    """
+    wide = (F.col("_rows") > SLICE_ROWS) & (F.col("_lo") < F.col("_hi"))
+    while not plan.where(wide).isEmpty():
+        held = sized.join(small(plan.where(wide)), F.col("source").eqNullSafe(F.col("_s"))).where("_key BETWEEN _lo AND _hi")
+        nth = F.least(F.floor(SLICES * (F.col("_key") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))), F.lit(SLICES - 1))
+        slices = held.groupBy("_s", "_rest", nth.alias("_slice"), F.col("_done").alias("_start")).agg(
+            F.min("_key").alias("_lo"), F.max("_key").alias("_hi"), F.sum("size").alias("_words"), F.count(F.lit(1)).alias("_rows"))
+        earlier = Window.partitionBy("_s").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        ends = (slices.withColumn("_done", F.col("_start") + F.coalesce(F.sum("_words").over(earlier), F.lit(0)))
+                .where("_done < _rest AND _rest <= _done + _words"))
+        plan = stored(ends.select(*plan.columns).unionByName(plan.where(~wide)), "mixends")
+    return plan
+
+
 def mix_sources(docs: DataFrame, cycle: Sequence[int] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken (words the mix takes of it, repeats counted).
 
     Complete epochs of a source come first.  What is left of its target is a sample without replacement whose odds follow
     ``quality_weight`` (Efraimidis-Spirakis: the smallest ``-ln(u) / weight``): documents are taken whole in key order until the
-    budget ends, and the last one in part.  The key's range is cut into slices; only sums of slices are accumulated per
-    source, and only documents of the slice in which the budget ends are put in order, so a source with most rows needs no
-    single task.  ``u`` is a hash of the document: reruns agree.
+    budget ends, and the last one in part.  Only documents of the narrow range of keys in which the budget ends are put in order
+    (``budget_ends``), so a source with most rows needs no single task.  ``u`` is a hash of the document: reruns agree.
 
     Null texts and texts without words have size 0 and are taken 0 times; null sources form a source of their own; rows that
     repeat each other count separately.  An empty table gives an empty result.
@@ -64,26 +84,22 @@ def mix_sources(docs: DataFrame, cycle: Sequence[int] = (5, 2, 1), share: float
     size = F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
     key = -F.log(uniform(F.col("doc_id"), text)) / quality_weight(text, F.col("size"))
     sized = stored(docs.select("doc_id", "source", "text", size.alias("size")).select("doc_id", "source", "size", key.alias("_key")), "mix")
-    slices = 256
-    while slices * SLICE_ROWS < sized.count():
-        slices *= 2
-    sized = sized.withColumn("_slice", F.floor(slices * (1 - F.exp(-F.col("_key")))))
-    per_slice = sized.groupBy("source", "_slice").agg(F.sum("size").alias("_words"))
-    targets = (source_targets(per_slice.groupBy("source").agg(F.sum("_words").alias("source_size")), cycle, share, most)
-               .withColumn("_budget", F.floor(F.col("target") + 0.5))
-               .withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("_budget") / F.col("source_size"))).otherwise(F.lit(0)))
-               .withColumn("_rest", F.col("_budget") - F.col("_epochs") * F.col("source_size")))
-    upto = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    ends = (per_slice.withColumn("_done", F.coalesce(F.sum("_words").over(upto), F.lit(0)))
-            .join(targets.select(F.col("source").alias("_s"), "_rest"), F.col("source").eqNullSafe(F.col("_s")))
-            .where("_done < _rest AND _rest <= _done + _words").select("_s", F.col("_slice").alias("_end"), "_done"))
+    sources = stored(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.min("_key").alias("_lo"), F.max("_key").alias("_hi"),
+                                                 F.count(F.lit(1)).alias("_rows")), "sources")
+    targets = stored(source_targets(sources, cycle, share, most)
+                     .withColumn("_budget", F.floor(F.col("target") + 0.5))
+                     .withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("_budget") / F.col("source_size"))).otherwise(F.lit(0)))
+                     .withColumn("_rest", F.col("_budget") - F.col("_epochs") * F.col("source_size")), "targets")
+    named = targets.where("_rest > 0").select(F.col("source").alias("_s"), "_rest")
+    whole = named.join(sources, F.col("source").eqNullSafe(F.col("_s"))).select("_s", "_rest", "_lo", "_hi", F.lit(0).cast("long").alias("_done"), "_rows")
+    ends = budget_ends(sized, stored(whole, "mixends")).drop("_rest", "_rows")
     plan = stored(targets.join(ends, F.col("source").eqNullSafe(F.col("_s")), "left")
-                  .select(F.col("source").alias("_source"), "source_size", "target", "_epochs", "_rest", "_end", F.coalesce("_done", F.lit(0)).alias("_done")), "mixplan")
+                  .select(F.col("source").alias("_source"), "source_size", "target", "_epochs", "_rest", "_lo", "_hi", F.coalesce("_done", F.lit(0)).alias("_done")), "mixplan")
     placed = sized.join(small(plan), F.col("source").eqNullSafe(F.col("_source")))
-    at_end = F.coalesce(F.col("_slice") == F.col("_end"), F.lit(False))
+    at_end = F.coalesce(F.col("_key").between(F.col("_lo"), F.col("_hi")), F.lit(False))
     order = Window.partitionBy("source").orderBy("_key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     last = (placed.where(at_end).withColumn("_before", F.col("_done") + F.coalesce(F.sum("size").over(order), F.lit(0)))
             .withColumn("_part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before")))).drop("_before"))
-    others = placed.where(~at_end).withColumn("_part", F.when(F.col("_slice") < F.col("_end"), F.col("size")).otherwise(F.lit(0)))
+    others = placed.where(~at_end).withColumn("_part", F.when(F.col("_key") < F.col("_lo"), F.col("size")).otherwise(F.lit(0)))
     return last.unionByName(others).select(
         "doc_id", "source", "size", "source_size", "target", (F.col("_epochs") * F.col("size") + F.col("_part")).cast("long").alias("taken"))
