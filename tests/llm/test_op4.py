@@ -31,7 +31,6 @@ def brute_kept(rows):
     stats = [brute_stats(r[1]) for r in rows]
     vectors = {i: [whole(v * Q.UNIT) for v in (math.log(s[1] / s[0]), math.sqrt(s[2] / s[0]), math.sqrt(s[3] / n), math.sqrt(s[4] / s[0]))]
                for i, (s, n) in enumerate(stats) if not s[5]}
-    pairs, langs = Counter((rows[i][2], rows[i][3]) for i in vectors), Counter(rows[i][2] for i in vectors)
     floors, fits, kept = np.array(Q.FLOORS), {}, []
 
     def members(group):
@@ -51,17 +50,25 @@ def brute_kept(rows):
                 mean = h.mean(axis=0)
                 cov = Q.CONSISTENCY * np.cov(h.T, bias=True) + np.diag(floors**2)
             found.append((np.linalg.slogdet(cov)[1], mean, cov))
-        return min(found, key=lambda f: round(f[0], 9))
+        _, mean, cov = min(found, key=lambda f: round(f[0], 9))
+        return len(x), mean, cov
+
+    def toward(own, wider):
+        n, mean, cov = own
+        w = n / (n + Q.SHRINK)
+        return n, wider[1] + w * (mean - wider[1]), wider[2] + w * (cov - wider[2])
 
     for i, (s, _) in enumerate(stats):
         if s[5]:
             kept.append(False)
             continue
         pair = rows[i][2:4]
-        group = "all" if langs[pair[0]] < Q.MIN_GROUP else (pair[0],) if pairs[pair] < Q.MIN_GROUP else pair
-        if group not in fits:
-            fits[group] = fit(members(group))
-        _, mean, cov = fits[group]
+        for group in ("all", pair[:1], pair):
+            if group not in fits:
+                fits[group] = fit(members(group))
+                if group != "all":
+                    fits[group] = toward(fits[group], fits["all" if len(group) == 1 else pair[:1]])
+        _, mean, cov = fits[pair]
         diff = np.array(vectors[i]) / Q.UNIT - mean
         kept.append(bool(diff @ np.linalg.inv(cov) @ diff <= Q.CUT))
     return Counter((r[0], *s, k) for r, (s, _), k in zip(rows, stats, kept, strict=True))

@@ -24,9 +24,12 @@ SUPPORT = 0.75
 CONSISTENCY = 1.4866
 # Squared distance above which a vector is an outlier: one normal vector in a million lies beyond.
 CUT = 33.38
-# Groups with fewer vectors are judged by their language, languages with fewer by all documents together.
-MIN_GROUP = 40
+# An estimate from n vectors weighs n / (n + SHRINK) against that of its language, and the language's so against all documents'.
+SHRINK = 40
 STEPS = 3
+CENTRE = [f"_m{i}" for i in range(DIMENSIONS)]
+COVARIANCE = [f"_c{i}{j}" for i in range(DIMENSIONS) for j in range(i + 1)]
+FACTOR = [f"_f{i}{j}" for i in range(DIMENSIONS) for j in range(i + 1)]
 # Distances are ranked in units of 1/64, up to a bound beyond which their order does not matter.
 RANK_UNIT, RANK_MAX = 64, 1 << 17
 
@@ -96,7 +99,7 @@ def distance(xs: list[Column], centre: str = "_m", factor: str = "_f") -> Column
 
 
 def moments(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Centre ``_m<i>``, Cholesky factor ``_f<i><j>`` and determinant of each group, from exact sums of integers."""
+    """Centre ``_m<i>``, covariance ``_c<i><j>`` with its factor and determinant of each group, from exact sums of integers."""
     d = range(DIMENSIONS)
     sums = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), *[F.sum(f"_x{i}").alias(f"_s{i}") for i in d],
@@ -104,6 +107,12 @@ def moments(rows: DataFrame, keys: list[str]) -> DataFrame:
     out = sums.withColumns({f"_m{i}": F.col(f"_s{i}") / F.col("_n") / UNIT for i in d})
     out = out.withColumns({f"_c{i}{j}": CONSISTENCY * (F.col(f"_p{i}{j}") / F.col("_n") / UNIT**2 - F.col(f"_m{i}") * F.col(f"_m{j}"))
                            + (FLOORS[i] ** 2 if i == j else 0.0) for i in d for j in d if j <= i})
+    return factored(out).select(*keys, "_n", *CENTRE, *COVARIANCE, *FACTOR, "_det")
+
+
+def factored(out: DataFrame) -> DataFrame:
+    """Adds the Cholesky factor ``_f<i><j>`` of the covariance ``_c<i><j>`` and the logarithm of its determinant's root."""
+    d = range(DIMENSIONS)
     for i in d:
         for j in range(i + 1):
             left = F.col(f"_c{i}{j}")
@@ -111,8 +120,7 @@ def moments(rows: DataFrame, keys: list[str]) -> DataFrame:
                 left = left - F.col(f"_f{i}{k}") * F.col(f"_f{j}{k}")
             # Rounding cannot take a pivot below a small part of its floor.
             out = out.withColumn(f"_f{i}{j}", F.sqrt(F.greatest(left, F.lit(FLOORS[i] ** 2 / 16))) if i == j else left / F.col(f"_f{j}{j}"))
-    log_det = sum((F.log(F.col(f"_f{i}{i}")) for i in d), F.lit(0.0))
-    return out.select(*keys, *[f"_m{i}" for i in d], *[f"_f{i}{j}" for i in d for j in d if j <= i], log_det.alias("_det"))
+    return out.withColumn("_det", sum((F.log(F.col(f"_f{i}{i}")) for i in d), F.lit(0.0)))
 
 
 def covariance_estimates(vectors: DataFrame) -> DataFrame:
@@ -151,26 +159,35 @@ def covariance_estimates(vectors: DataFrame) -> DataFrame:
     return fits.groupBy("_group").agg(best).select("_group", *[F.col(f"_best.{c}").alias(c) for c in d_all])
 
 
+def shrunk(own: DataFrame, wider: dict[str, Column]) -> DataFrame:
+    """``own`` estimates (``_size`` vectors each) with centre and covariance drawn toward ``wider`` ones, less so the larger they are."""
+    weight = F.col("_size") / (F.col("_size") + SHRINK)
+    return own.withColumns({c: wider[c] + weight * (F.col(c) - wider[c]) for c in (*CENTRE, *COVARIANCE)})
+
+
 def judge_statistics(stats: DataFrame) -> DataFrame:
     """``stats`` (with ``_stats``, lang, source; stored, as it is read several times) with a boolean ``_kept``.
 
-    Groups are (lang, source), nulls forming groups of their own; small ones are pooled as ``MIN_GROUP`` says.
+    Groups are (lang, source), nulls forming groups of their own.  Every group, language and the whole have an estimate; a
+    group's is drawn toward its language's, and that toward the whole's, by weights that vary smoothly with size (``SHRINK``).
     """
     vectors = (stats.where(~F.col("_stats.base_failed"))
                .select("lang", "source", *[x.alias(f"_x{i}") for i, x in enumerate(_vector())]))
-    one = F.to_json(F.struct("lang", "source"))
-    pooled = F.to_json(F.struct("lang", F.lit(1).alias("pooled")))
-    counts = vectors.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("_n"))
-    per_lang = counts.groupBy(F.col("lang").alias("_lang")).agg(F.sum("_n").alias("_ln"))
-    groups = stored(counts.join(per_lang, F.col("lang").eqNullSafe(F.col("_lang"))).select(
-        F.coalesce(one, F.lit("")).alias("_pair"), F.coalesce(pooled, F.lit("")).alias("_pool"),
-        F.when(F.col("_ln") < MIN_GROUP, F.lit("all")).when(F.col("_n") < MIN_GROUP, pooled).otherwise(one).alias("_group")), "groups")
-    # Each pair names the estimates it is judged by and those it counts for; a pooled estimate uses all rows of its pool.
-    pools = groups.select(F.explode(F.array("_group")).alias("_group")).distinct()
-    belongs = vectors.withColumns({"_member": F.explode(F.array(F.coalesce(one, F.lit("")), F.coalesce(pooled, F.lit("")), F.lit("all")))})
-    grouped = stored(belongs.join(small(pools), belongs["_member"] == pools["_group"]).select("_group", *_xs()), "vectors")
-    fits = covariance_estimates(grouped)
-    judged_by = stored(groups.join(fits, "_group").drop("_group", "_pool"), "estimates")
+    pair = F.coalesce(F.to_json(F.struct("lang", "source")), F.lit(""))
+    pool = F.coalesce(F.to_json(F.struct("lang", F.lit(1).alias("pooled"))), F.lit(""))
+    grouped = stored(vectors.withColumn("_group", F.explode(F.array(pair, pool, F.lit("all")))).select("_group", *_xs()), "vectors")
+    estimates = covariance_estimates(grouped).join(grouped.groupBy("_group").agg(F.count(F.lit(1)).alias("_size")).withColumnRenamed("_group", "_g"), F.col("_group") == F.col("_g"))
+    fits = stored(estimates.select("_group", "_size", *CENTRE, *COVARIANCE), "fits")
+    members = vectors.select(pair.alias("_pair"), pool.alias("_pool")).distinct()
+    names = [*CENTRE, *COVARIANCE]
+    # One row, or none if no document has a vector.
+    whole = fits.where("_group = 'all'").first()
+    langs = shrunk(fits.join(small(members.select("_pool").distinct()), F.col("_group") == F.col("_pool")),
+                   {c: F.lit(whole[c] if whole else 0.0) for c in names})
+    langs = stored(langs.select(F.col("_pool").alias("_wider"), *[F.col(c).alias(f"{c}w") for c in names]), "languages")
+    pairs = fits.join(members, F.col("_group") == F.col("_pair")).join(small(langs), F.col("_pool") == F.col("_wider"))
+    pairs = shrunk(pairs, {c: F.col(f"{c}w") for c in names})
+    judged_by = stored(factored(pairs).select("_pair", *CENTRE, *FACTOR), "estimates")
     placed = stats.withColumn("_me", F.coalesce(F.to_json(F.struct("lang", "source")), F.lit("")))
     placed = placed.withColumns({f"_x{i}": x for i, x in enumerate(_vector())}).join(small(judged_by), F.col("_me") == F.col("_pair"), "left")
     kept = F.when(F.col("_stats.base_failed"), F.lit(False)).otherwise(distance(_xs()) <= CUT)
