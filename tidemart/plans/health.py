@@ -112,16 +112,23 @@ def bad_records_audit(bad_records: DataFrame, as_of: DateLike = None, days: int
     One bad source can hold most of the rows, so its ids are never gathered: rows are
     counted per id, every task keeps its lowest ids per reason (a group limit), and only
     those few are collected.
+
+    Totals and ids use the same columns of the counts, a NULL id (last, and not collected)
+    included, and are stacked: what differs between them, like the filters of a join, would
+    keep Spark from evaluating the records once.
     """
     keys = ["source_table", "failure_reason"]
     per_id = _since(bad_records, as_of, days).groupBy(*keys, "record_id").agg(F.count("*").alias("n"))
     totals = per_id.groupBy(*keys).agg(F.sum("n").alias("bad_record_count"))
-    rank = F.row_number().over(W.partitionBy(*keys).orderBy("record_id"))
-    lowest = per_id.filter(F.col("record_id").isNotNull()).withColumn("_r", rank) \
-        .filter(F.col("_r") <= samples).groupBy(*keys) \
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy(F.asc_nulls_last("record_id"), "n"))
+    lowest = per_id.withColumn("_r", rank).filter(F.col("_r") <= samples).groupBy(*keys) \
         .agg(F.sort_array(F.collect_list("record_id")).alias("sample_ids"))
-    return totals.join(lowest, keys, "left").select(
-        *keys, "bad_record_count", F.coalesce("sample_ids", F.array().cast("array<string>")).alias("sample_ids")
+    both = totals.unionByName(lowest, allowMissingColumns=True).groupBy(*keys).agg(
+        F.max("bad_record_count").alias("bad_record_count"), F.first("sample_ids", ignorenulls=True).alias("_ids"))
+    # A record without a table or reason has no samples.
+    named = F.when(F.col(keys[0]).isNotNull() & F.col(keys[1]).isNotNull(), F.col("_ids"))
+    return both.select(
+        *keys, "bad_record_count", F.coalesce(named, F.array().cast("array<string>")).alias("sample_ids")
     ).orderBy(F.desc("bad_record_count"), *keys)
 
 
