@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.operators import dimensions, facts, lifetime, metrics, quality, staging
-from tidemart.operators.store import TableStore
+from tidemart.operators.store import CODEC, TableStore
 from tidemart.plans.daily import _RunLog, _utc_now
 from tidemart.schemas import CONTRACTS
 from tidemart.session import scratch_dir
@@ -51,7 +51,7 @@ class _Backfill:
 
     def aside(self, df: DataFrame, purpose: str) -> DataFrame:
         path = scratch_dir(self.spark, purpose, self.options["scratch"])
-        df.write.parquet(path)
+        df.write.option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def extract(self) -> None:
@@ -62,7 +62,8 @@ class _Backfill:
             def action() -> None:
                 rows = landing.read_days(self.spark, self.root, kind, self.days[0], self.days[-1],
                                          whole_file=kind != "events" and self.options["whole_file"])
-                self.store.append(RAW[kind], rows.hint("rebalance", "run_date"), delivery)
+                # Landed files are of one day each, so without a shuffle no more files come out.
+                self.store.append(RAW[kind], rows, delivery)
             return action
 
         self.log.together({f"extract_{kind}": step(kind) for kind in RAW})
