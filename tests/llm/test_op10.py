@@ -118,7 +118,7 @@ def test_components_of_long_chains(spark):
 
 
 def test_much_the_same_sets_have_few_links(spark):
-    """A large group of near copies meets in many long lists; each set is compared with one centre first."""
+    """A large group of near copies meets in many lists; each set is compared with one partner first."""
     rng = random.Random(5)
     rows = []
     for n in range(360):
@@ -131,9 +131,9 @@ def test_much_the_same_sets_have_few_links(spark):
     frequent = J.frequent_shingles(texts, 4)
     sets = J.set_table(texts, 4, frequent)
     found = J.candidates(sets, 0, 4, frequent).cache()
-    links = found.where("token = 0 and n = 1").select("a", "b").distinct().count()
-    first = J.first_links(found).distinct().count() - found.where("token = 0 and n = 0").select("a", "b").distinct().count()
-    assert 0 < first <= 360 < links
+    pairs = found.where("token = 0").select("a", "b").distinct()
+    first = J.first_links(pairs).count()
+    assert 0 < first < 360 < pairs.count()
     found.unpersist()
     result = J.near_duplicate_table(docs).select("doc_id", "component_id").collect()
     assert len(result) == 360 and all(r.component_id == r.doc_id % 6 for r in result)

@@ -181,8 +181,7 @@ PAIRS = "token long, a long, b long, n int, pos int"
 
 
 def candidates(sets: DataFrame, small_up_to: int, bits: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """PAIRS rows: candidate pairs (a, b) with token 0, of which those with n 1 are links of a set a to the centre b of a list that
-    was too long for all pairs, and entries (token, a) of such lists, with b 0.
+    """PAIRS rows: candidate pairs (a, b) with token 0, and entries (token, a) of lists that were too long for all pairs, with b 0.
 
     Small sets meet in enumerated subsets as large as their intersection must be: sets with a subset in common are similar, so one
     link for each to the first is enough.  Large sets, and small ones that a large one may be similar to, meet in the inverted
@@ -278,11 +277,10 @@ def _pairs_of_lists(token, owner, size, place, small_up_to, part_of_list) -> Ite
     run = np.cumsum(new) - 1
     subset = place[first] < 0
     pairs: list[tuple[np.ndarray, np.ndarray]] = []
-    to_centre: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def listed(x: np.ndarray, y: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+    def listed(x: np.ndarray, y: np.ndarray) -> None:
         ok = may_match(size[x], size[y], place[x], place[y]) & (np.maximum(size[x], size[y]) > small_up_to)
-        found.append((owner[x[ok]], owner[y[ok]]))
+        pairs.append((owner[x[ok]], owner[y[ok]]))
 
     light = np.flatnonzero((length <= LIGHT_LIST)[run] & ~subset[run])
     for step in range(1, min(LIGHT_LIST, len(token))):
@@ -290,7 +288,7 @@ def _pairs_of_lists(token, owner, size, place, small_up_to, part_of_list) -> Ite
         x = x[run[x] == run[x + step]]
         if not len(x):
             break
-        listed(x, x + step, pairs)
+        listed(x, x + step)
     # A centre for each long list: of the sets near its middle size, so that most lengths fit, the one with the least id, so
     # that lists of much the same sets have the same centre and give the same pairs.
     long_ = np.flatnonzero((length > LIGHT_LIST) & ~subset) if not part_of_list else np.flatnonzero(~subset)
@@ -304,7 +302,7 @@ def _pairs_of_lists(token, owner, size, place, small_up_to, part_of_list) -> Ite
         centres[run[heads]] = heads
         centre = centres[run[members]]
         apart = members != centre
-        listed(members[apart], centre[apart], to_centre)
+        listed(members[apart], centre[apart])
     # Subsets in common: each smaller set links to the first larger one and each larger one to the first smaller one; sets of
     # one size link to the first if the subset was made for pairs of that size, which the check of pairs decides.
     s = np.flatnonzero(subset[run])
@@ -315,14 +313,12 @@ def _pairs_of_lists(token, owner, size, place, small_up_to, part_of_list) -> Ite
         first_larger[run[larger]] = larger
         partner = np.where(size[s] == size[least], first_larger[run[s]], least)
         pairs.append((owner[s], owner[partner]))
-    for kind, found in enumerate((pairs, to_centre)):
-        a, b = (np.concatenate([p[i] for p in found]) for i in (0, 1)) if found else (np.zeros(0, np.int64),) * 2
-        if not kind:
-            a, b = np.minimum(a, b), np.maximum(a, b)
-        keep = a != b
-        both = np.unique(np.stack([a[keep], b[keep]], 1), axis=0)
-        zero = np.zeros(len(both), np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(zero.astype(np.int64)), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(zero + np.int32(kind)), pa.array(zero)], names=["token", "a", "b", "n", "pos"])
+    a, b = (np.concatenate([p[i] for p in pairs]) for i in (0, 1)) if pairs else (np.zeros(0, np.int64),) * 2
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    keep = low != high
+    both = np.unique(np.stack([low[keep], high[keep]], 1), axis=0)
+    zero = np.zeros(len(both), np.int32)
+    yield pa.RecordBatch.from_arrays([pa.array(zero.astype(np.int64)), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(zero), pa.array(zero)], names=["token", "a", "b", "n", "pos"])
     if len(members):
         zero = np.zeros(len(members), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(token[members].view(np.int64)), pa.array(owner[members]), pa.array(zero), pa.array(size[members]), pa.array(place[members])],
@@ -373,19 +369,17 @@ def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long")
 
 
-def first_links(found: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are compared first: all of short lists and subsets, and one centre for each set of a long list."""
-    centre = found.where("token = 0 and n = 1").groupBy("a").agg(F.min("b").alias("b"))
-    return found.where("token = 0 and n = 0").select("a", "b").unionByName(
-        centre.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+def first_links(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b), a < b, that are compared first: each set with its least partner, if that is less than itself."""
+    return pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
 
 
 def _still_apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (a, b), in ascending order, whose ends are in different components."""
+    """The pairs (a, b) whose ends are in different components."""
     for end in ("a", "b"):
         own = labels.select(F.col("v").alias(f"_v{end}"), F.col("label").alias(f"_l{end}"))
         pairs = pairs.join(own, F.col(end) == F.col(f"_v{end}"), "left").withColumn(f"_l{end}", F.coalesce(f"_l{end}", end))
-    return pairs.where("_la <> _lb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.where("_la <> _lb").select("a", "b")
 
 
 def _with_labels(lists: DataFrame, labels: DataFrame) -> DataFrame:
@@ -398,10 +392,10 @@ def _with_labels(lists: DataFrame, labels: DataFrame) -> DataFrame:
 def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(owner, twin, n, id) of every row of ``docs``, and (v, label): the component of each set id that has a link.
 
-    Rows with equal sets are one set.  Sets in long lists first link to one centre each, then to their other centres from which
-    they are still apart; of a group of much the same sets, which meet in many lists, that leaves few links a set.  Sets of a
-    list that ended in different components are compared with each other's first, and what is then still apart, pair by pair: no
-    similar pair is left in two components.
+    Rows with equal sets are one set.  Long lists first link to their centre.  Of all these pairs each set is compared with its
+    least partner first, and with the others from which it is still apart then: a group of much the same sets, which meet in many
+    lists and subsets, has few links a set.  Sets of a long list that ended in different components are compared with each other's
+    first, and what is then still apart, pair by pair: no similar pair is left in two components.
     """
     text = F.coalesce("text", F.lit(""))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("owner"), F.xxhash64(text).alias("twin"), text.alias("text"))
@@ -418,9 +412,10 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     twins = texts.join(small(wanted), (F.col("owner") == F.col("_o")) & (F.col("twin") == F.col("_t"))).select("id", "text")
     # Repeated rows bring a text twice: the same set, so any one will do.
     known = stored(twins.groupBy("id").agg(F.first("text").alias("text")), "texts")
-    of_centres = found.where("token = 0 and n = 1").select("a", "b").distinct()
-    labels = components(verified(first_links(found), known))
-    further = stored(_still_apart(of_centres, labels), "further")
+    pairs = found.where("token = 0").select("a", "b").distinct()
+    first = stored(first_links(pairs), "first")
+    labels = components(verified(first, known))
+    further = stored(_still_apart(pairs.join(first.withColumnsRenamed({"a": "_a", "b": "_b"}), F.col("b") == F.col("_b")).where("a <> _a").select("a", "b"), labels), "further")
     if not further.isEmpty():
         labels = extended(labels, stored(verified(further, known), "links"))
     lists = found.where("token <> 0")
