@@ -114,3 +114,31 @@ def test_bounds():
 def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 99)], "a long, b long")
     assert {(r["v"], r["label"]) for r in components(links).collect()} == {(i, 0) for i in range(41)} | {(99, 99), (100, 99)}
+
+
+@pytest.mark.parametrize("most_in_a_task", [8_192, 40])
+def test_borderline_group_is_compared_in_few_pairs(spark, monkeypatch, most_in_a_task):
+    """Texts that all share lists, few of them similar: compared pairs stay in proportion to the sets, and no link is lost."""
+    rng = random.Random(11)
+    base = words(rng, 136, 10_000).split()
+    rows = []
+    for n in range(150):
+        text = base[rng.randrange(4):136 - rng.randrange(4)]
+        for at in rng.sample(range(len(text)), 3):
+            text[at] = f"x{n}y{at}"
+        again = list(text)
+        again[rng.randrange(len(again))] = f"z{n}"
+        rows += [(2 * n, " ".join(text), None, None, 1), (2 * n + 1, " ".join(again), None, None, 1)]
+    # Sets on both sides of a map width, so that maps are folded.
+    assert len({J.map_width(len(shingles(r[1]))) for r in rows}) == 2
+    compared, verified = [], J.verified
+
+    def counted(pairs, known):
+        compared.append(pairs.distinct().count())
+        return verified(pairs, known)
+
+    monkeypatch.setattr(J, "verified", counted)
+    monkeypatch.setattr(J, "SLICE", most_in_a_task, raising=False)
+    got = J.near_duplicate_table(spark.createDataFrame(rows, DOCS).repartition(3))
+    assert Counter(tuple(r) for r in got.collect()) == brute(rows)
+    assert sum(compared) <= 10 * len(rows)

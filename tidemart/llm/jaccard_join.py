@@ -28,6 +28,12 @@ LIGHT_LIST = 16
 RANGE_BYTES, CENTRE_PARTNERS = 4 << 20, 1_000
 # Entries of an inverted list that one task holds; longer lists are split, and their parts meet in later rounds.
 LIST_ENTRIES = 50_000
+# Bits of a set's parity map for each shingle, and the bounds of its width; past some 7,000 shingles it tells nothing.
+MAP_BITS, LEAST_MAP, MOST_MAP = 4, 512, 4096
+# Entries of a list that meet in one task; longer lists are cut into slices, and each two of them meet in a task.
+SLICE = 8_192
+# Sets of lists are compared only with the nearest one in another component while that links this share of them; then come all others.
+NEAREST_SHARE = 8
 # Shingles in so many texts are put last, most frequent last.  Their number, which is broadcast, is bounded.
 FREQUENT, MOST_FREQUENT = 8, 1 << 20
 # Shingles or list entries that a task gathers before it sends them on.
@@ -326,12 +332,11 @@ def _pairs_of_lists(token, owner, size, place, small_up_to, part_of_list) -> Ite
 
 
 def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar, by their whole sets.  ``known``: (id, text) of one text for each set.
+    """Of ``pairs`` (a, b), stored and distinct, those that are similar, by their whole sets.  ``known``: (id, text) of one text for each set.
 
     The texts of b come to the text of a in one task, one after the other; a set with many partners has its text sent to several
     tasks.
     """
-    pairs = stored(pairs.select("a", "b").distinct(), "pairs")
     # The end with more partners becomes the centre.
     degree = stored(pairs.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("d")), "degrees")
     turned = (pairs.join(degree.select(F.col("v").alias("a"), F.col("d").alias("da")), "a").join(degree.select(F.col("v").alias("b"), F.col("d").alias("db")), "b")
@@ -369,6 +374,39 @@ def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long")
 
 
+def map_width(n: int) -> int:
+    return min(MOST_MAP, max(LEAST_MAP, 1 << (MAP_BITS * n - 1).bit_length()))
+
+
+def parity_maps(chunk: A.Chunk) -> list[bytes]:
+    """A bitmap of each text of the chunk, in which each shingle of its set turns one bit.
+
+    The maps of two sets differ in no more bits than the sets in shingles, which bounds their intersection without their texts.
+    The two halves of a map, one xored with the other, are the map of half the width, so sets of unlike size can be compared.
+    """
+    text, h = shingle_sets(chunk)
+    cuts = np.searchsorted(text, np.arange(len(chunk.bounds)))
+    places = A.mixed(h)
+    out = []
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        width = map_width(int(hi - lo))
+        turned = np.bincount((places[lo:hi] & np.uint64(width - 1)).astype(np.int64), minlength=width)
+        out.append(np.packbits((turned & 1).astype(np.uint8)).tobytes())
+    return out
+
+
+def map_table(known: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, map): the parity map of each set of ``ids``.  ``known``: (id, text) of one text for each set."""
+
+    def maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in A.chunks(batch.column(1)):
+                rows = len(chunk.bounds) - 1
+                yield pa.RecordBatch.from_arrays([batch.column(0)[chunk.first:chunk.first + rows], pa.array(parity_maps(chunk), pa.binary())], names=["id", "map"])
+
+    return known.join(small(ids), "id").select("id", "text").mapInArrow(maps, "id long, map binary")
+
+
 def _with_labels(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Entries of lists that still hold more than one component, with their component ``label``."""
     held = lists.join(labels, F.col("a") == F.col("v"), "left").select("token", "a", "n", "pos", F.coalesce("label", "a").alias("label"))
@@ -376,11 +414,100 @@ def _with_labels(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(held.join(mixed, "token"), "mixed")
 
 
+def near_pairs(apart: DataFrame, maps: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of sets that share a list, are in different components and may be similar by size, position and parity map.
+
+    ``nearest``: of each set's pairs only the one whose bound is highest, so that there are no more pairs than sets.  Sets are
+    compared where their list is gathered, a bounded slice of it with another, and only what passes becomes a row.
+    """
+    slices = apart.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
+    own = F.pmod(F.hash("a"), F.col("slices"))
+    met = apart.join(slices, "token").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    dealt = (met.join(maps, F.col("a") == F.col("id"))
+             .select("token", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "a", "label", "n", "pos", "map")
+             .repartition("token", "x", "y").sortWithinPartitions("token", "x", "y", "n"))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], 1).astype(np.int64)
+            if not len(keys):
+                continue
+            new = np.flatnonzero(np.append(last is None or (keys[0] != last).any(), (keys[1:] != keys[:-1]).any(axis=1)))
+            last = keys[-1]
+            # Whole groups go on together once they fill a slice.
+            if len(new) and sum(map(len, held)) + int(new[-1]) >= SLICE:
+                held.append(batch.slice(0, int(new[-1])))
+                yield from _near_in_lists(held, nearest)
+                held = [batch.slice(int(new[-1]))]
+            else:
+                held.append(batch)
+        if held:
+            yield from _near_in_lists(held, nearest)
+
+    found = dealt.mapInArrow(find, "a long, b long, spare int")
+    if nearest:
+        found = found.groupBy("a").agg(F.max_by("b", "spare").alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _near_in_lists(batches: list[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
+    """(a, b, spare) for the entries of whole groups, ordered by group and size; ``spare``: what the bound leaves above the need."""
+
+    def found(a: np.ndarray, b: np.ndarray, spare: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(spare.astype(np.int32))], names=["a", "b", "spare"])
+
+    held = pa.Table.from_batches(batches).combine_chunks()
+    token, x, y, own, owner, label, size, place = (held.column(i).to_numpy().astype(np.int64) for i in range(8))
+    maps = held.column(8).to_pylist()
+    width = np.array([8 * len(m) for m in maps], np.int64)
+    tables = {}
+    for v in np.unique(width).tolist():
+        rows = np.flatnonzero(width >= v)
+        tables[v] = np.zeros((len(width), v // 64), np.uint64)
+        for w in np.unique(width[rows]).tolist():
+            these = rows[width[rows] == w]
+            whole = np.frombuffer(b"".join(maps[i] for i in these), np.uint64).reshape(len(these), w // v, v // 64)
+            tables[v][these] = np.bitwise_xor.reduce(whole, axis=1)
+    run = np.cumsum(np.append(False, (token[1:] != token[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])))
+    best, partner = np.full(len(run), -1), np.zeros(len(run), np.int64)
+    i, step = np.arange(len(run)), 1
+    while True:
+        i = i[i + step < len(run)]
+        # Sizes grow within a group, so a set that is too small for this one is too small for all further ones.
+        i = i[(run[i] == run[i + step]) & (needed(size[i], size[i + step]) <= size[i])]
+        if not len(i):
+            break
+        p = i[(label[i] != label[i + step]) & ((x[i] == y[i]) | (own[i] != own[i + step])) & may_match(size[i], size[i + step], place[i], place[i + step])]
+        q = p + step
+        differ = np.zeros(len(p), np.int64)
+        narrow = np.minimum(width[p], width[q])
+        for v in np.unique(narrow).tolist():
+            these = narrow == v
+            differ[these] = np.bitwise_count(tables[v][p[these]] ^ tables[v][q[these]]).sum(axis=1)
+        spare = (size[p] + size[q] - differ) // 2 - needed(size[p], size[q])
+        ok = spare >= 0
+        p, q, spare = p[ok], q[ok], spare[ok]
+        if not nearest:
+            if len(p):
+                yield found(owner[p], owner[q], spare)
+        else:
+            for e, f in ((p, q), (q, p)):
+                better = spare > best[e]
+                best[e[better]], partner[e[better]] = spare[better], owner[f[better]]
+        step += 1
+    if nearest:
+        has = best >= 0
+        yield found(owner[has], partner[has], best[has])
+
+
 def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(owner, twin, n, id) of every row of ``docs``, and (v, label): the component of each set id that has a link.
 
-    Rows with equal sets are one set.  Long lists first link to their centre; their sets that ended in different components are
-    compared with each other's first, and what is then still apart, pair by pair: no similar pair is left in two components.
+    Rows with equal sets are one set.  Long lists first link to their centre.  Their sets that ended in different components are
+    compared with the nearest one by parity map, round by round while that links many, and then with every one that the map does
+    not rule out: no similar pair is left in two components.
     """
     text = F.coalesce("text", F.lit(""))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("owner"), F.xxhash64(text).alias("twin"), text.alias("text"))
@@ -397,28 +524,39 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     twins = texts.join(small(wanted), (F.col("owner") == F.col("_o")) & (F.col("twin") == F.col("_t"))).select("id", "text")
     # Repeated rows bring a text twice: the same set, so any one will do.
     known = stored(twins.groupBy("id").agg(F.first("text").alias("text")), "texts")
-    labels = components(verified(found.where("token = 0"), known))
+    labels = components(verified(stored(found.where("token = 0").select("a", "b").distinct(), "pairs"), known))
     lists = found.where("token <> 0")
     if not lists.isEmpty():
-        apart = _with_labels(lists, labels)
-        if not apart.isEmpty():
-            one = apart.groupBy("token", "label").agg(F.min("a").alias("m"))
-            middle = one.groupBy("token").agg(F.min("m").alias("c"))
-            more = one.join(middle, "token").where("m <> c").select(F.least("m", "c").alias("a"), F.greatest("m", "c").alias("b"))
-            labels = extended(labels, stored(verified(more, known), "links"))
-            apart = _with_labels(apart.drop("label"), labels)
-        if not apart.isEmpty():
-            labels = extended(labels, stored(verified(_across(apart), known), "links"))
+        labels = _joined_lists(lists, labels, known)
     return every.select("owner", "twin", "n", "id"), labels
 
 
-def _across(apart: DataFrame) -> DataFrame:
-    """Pairs of a list in different components that pass the length and position bounds."""
-    x, y = apart.alias("x"), apart.alias("y")
-    least = F.ceil(UP * (F.col("x.n") + F.col("y.n")) / (UP + DOWN))
-    return (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.label") < F.col("y.label"))
-                   & (least <= F.least("x.n", "y.n")) & (1 + F.least(F.col("x.n") - 1 - F.col("x.pos"), F.col("y.n") - 1 - F.col("y.pos")) >= least))
-            .select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")))
+def _joined_lists(lists: DataFrame, labels: DataFrame, known: DataFrame) -> DataFrame:
+    """``labels`` with all links between sets of one list: none that is similar is left in another component."""
+    apart = _with_labels(lists, labels)
+    if apart.isEmpty():
+        return labels
+    ids = stored(apart.select(F.col("a").alias("id")).distinct(), "ids")
+    maps = stored(map_table(known, ids), "maps")
+    enough, nearest, compared = ids.count() / NEAREST_SHARE, True, None
+    while True:
+        pairs = near_pairs(apart, maps, nearest)
+        if not nearest:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "near")
+        if pairs.isEmpty():
+            return labels
+        links = stored(verified(pairs, known), "links")
+        linked = links.count()
+        if linked:
+            labels = extended(labels, links)
+        if not nearest:
+            return labels
+        nearest, compared = linked >= enough, compared.unionByName(pairs) if compared else pairs
+        if linked:
+            apart = _with_labels(apart.drop("label"), labels)
+            if apart.isEmpty():
+                return labels
 
 
 def groups(docs: DataFrame) -> DataFrame:
