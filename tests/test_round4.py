@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from tidemart.operators import dimensions, facts, staging
-from tidemart.plans import increments
+from tidemart.plans import backfill, increments
 
 DAY = dt.date(2024, 3, 4)
 
@@ -126,3 +126,24 @@ def test_only_broken_documents_carry_their_text_through_the_shuffle(spark, tmp_p
         assert exchanges and not any("raw_json" in columns for columns in exchanges)
         assert {(r.record_id, json.loads(r.raw_data)["order_id"]) for r in staged.bad.collect()} == {("A1", "A1"), (None, None)}
         assert staged.good.count() == 3
+
+
+def test_a_load_of_many_days_takes_what_it_wrote_aside_along(spark, store, tmp_path, monkeypatch):
+    landed = tmp_path / "incoming" / "orders" / str(DAY)
+    landed.mkdir(parents=True)
+    (landed / "a.json").write_text("\n".join(document(n) for n in range(5)))
+    scratch, held = tmp_path / "scratch", {}
+    write = store.reload_days
+
+    def watched(name, *args):
+        held[name] = {p.name for p in scratch.glob("*/*")}
+        assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+        return write(name, *args)
+
+    monkeypatch.setattr(store, "reload_days", watched)
+    passed = backfill.backfill_days(store, str(tmp_path), DAY, DAY, orders_range=(0, 9), events_range=(0, 9),
+                                    as_of=dt.datetime(2024, 4, 1), scratch=str(scratch))
+    assert passed == {str(DAY): True} and not list(scratch.glob("*"))
+    # Staged rows are not kept beside staging, nor checked ones beside the facts.
+    assert "checked" in held["warehouse.fact_orders"] and not any(n.startswith("typed") for n in held["warehouse.fact_orders"])
+    assert "checked" not in held["audit.constraint_report"]

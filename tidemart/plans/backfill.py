@@ -23,7 +23,7 @@ from tidemart.operators import dimensions, facts, lifetime, metrics, quality, st
 from tidemart.operators.store import CODEC, TableStore
 from tidemart.plans.daily import _RunLog, _utc_now
 from tidemart.schemas import CONTRACTS
-from tidemart.session import scratch_dir
+from tidemart.session import folders_side_by_side, scratch_dir, shuffles_released
 from tidemart.sources import landing
 from tidemart.streaming import late
 
@@ -41,6 +41,7 @@ class _Backfill:
     def __init__(self, store: TableStore, landing_root: str, days: list[dt.date], now: Column, options: dict):
         self.store, self.spark, self.root, self.days, self.now = store, store.spark, landing_root, days, now
         self.options = options
+        self.scratch = scratch_dir(store.spark, "backfill", options["scratch"])
         self.log = _RunLog(str(days[-1]))
         self.passed: list[dt.date] = []
 
@@ -50,9 +51,11 @@ class _Backfill:
         return self.store.read(table).filter(F.col(day).isin(self.days if days is None else days))
 
     def aside(self, df: DataFrame, purpose: str) -> DataFrame:
-        path = scratch_dir(self.spark, purpose, self.options["scratch"])
-        df.write.option("compression", CODEC).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        df.write.option("compression", CODEC).parquet(self.path_of(purpose))
+        return self.spark.read.schema(df.schema).parquet(self.path_of(purpose))
+
+    def path_of(self, purpose: str) -> str:
+        return f"{self.scratch}/{purpose}"
 
     def extract(self) -> None:
         """Append what landed, all days of a kind as one delivery; notes the days that have a catalogue."""
@@ -89,10 +92,12 @@ class _Backfill:
 
         def step(table: str, load: staging.Staged, days: list[dt.date]):
             def action() -> None:
-                typed = self.aside(load.typed, "typed")
+                purpose = f"typed-{table}"
+                typed = self.aside(load.typed, purpose)
                 halves = staging.divide(typed, table, *staging.SOURCES[table], self.options["strict"])
                 self.store.reload_days(table, halves.good, days)
                 self.store.reload_days("audit.bad_records", halves.bad, days, table.split(".")[1])
+                self.store.drop_scratch(self.path_of(purpose))
             return action
 
         self.log.together({f"transform_{t.split('.')[1]}": step(t, *load) for t, load in staged.items()})
@@ -142,14 +147,18 @@ class _Backfill:
         dates = read("warehouse.dim_date")
         users = dimensions.since(read("warehouse.dim_user"), self.new_users, "user_id")
         items = dimensions.since(read("warehouse.dim_product"), self.new_products, "product_id")
+        # The orders meet the dimensions once, for facts and rejects; events follow, so that less lies on disk at a time.
+        keys = [self.aside(facts.dimension_keys(dim, key), f"keys-{key}")
+                for dim, key in ((dates, "date_id"), (items, "product_id"), (users, "user_id"))]
+        checked = self.aside(facts.check_orders(orders, *keys), "checked")
         self.log.together({
-            "load_fact_orders": lambda: store.reload_days(
-                "warehouse.fact_orders", facts.load_fact_orders(orders, dates, items, users), passed),
-            "load_fact_events": lambda: store.reload_days(
-                "warehouse.fact_events", facts.load_fact_events(events, dates, users), passed),
+            "load_fact_orders": lambda: store.reload_days("warehouse.fact_orders", facts.passed_orders(checked), passed),
             "reject_fact_orders": lambda: store.reload_days(
-                "audit.bad_records", facts.reject_fact_orders(orders, dates, items, users), passed, "fact_orders"),
+                "audit.bad_records", facts.rejected_orders(checked), passed, "fact_orders"),
         })
+        store.drop_scratch(self.path_of("checked"))
+        self.log.run("load_fact_events", lambda: store.reload_days(
+            "warehouse.fact_events", facts.load_fact_events(events, dates, users), passed))
         # A table has one writer at a time.
         self.log.run("reject_fact_events", lambda: store.reload_days(
             "audit.bad_records", facts.reject_fact_events(events, dates, users), passed, "fact_events"))
@@ -197,6 +206,16 @@ def backfill_days(
         "whole_file": whole_file, "strict": strict, "check_types": check_types, "user_attributes": user_attributes,
         "orders_range": orders_range, "events_range": events_range, "scratch": scratch})
     store.recover()
+    try:
+        # What is written aside on the way, and the shuffle files of each step, go again.
+        with shuffles_released(store.spark), folders_side_by_side(store.spark):
+            _load(run)
+    finally:
+        store.drop_scratch(run.scratch)
+    return {str(d): d in run.passed for d in days}
+
+
+def _load(run: _Backfill) -> None:
     try:
         run.extract()
         run.transform()
@@ -211,4 +230,3 @@ def backfill_days(
             stopped.add_note(f"metrics were not written either: {later}")
         raise
     run.finish()
-    return {str(d): d in run.passed for d in days}
